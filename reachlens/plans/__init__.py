@@ -1,6 +1,6 @@
 """Registered queries (name -> Spark query, name -> DuckDB oracle SQL)."""
 
-from reachlens.plans import catalog_features  # noqa: F401  (registers queries)
+from reachlens.plans import catalog_features, catalog_kpi  # noqa: F401  (registers queries)
 from reachlens.plans.registry import HEADLINE, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "HEADLINE"]
