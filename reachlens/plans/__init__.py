@@ -1,6 +1,7 @@
 """Registered queries (name -> Spark query, name -> DuckDB oracle SQL)."""
 
-from reachlens.plans import catalog_cohorts, catalog_features, catalog_kpi  # noqa: F401  (registers queries)
+from reachlens.plans import (  # noqa: F401  (importing registers the queries)
+    catalog_causal, catalog_cohorts, catalog_features, catalog_kpi)
 from reachlens.plans.registry import HEADLINE, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "HEADLINE"]

@@ -30,36 +30,39 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
-def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+def finish(df: DataFrame, digits: int = DIGITS, per_col: dict | None = None) -> DataFrame:
+    per_col = per_col or {}
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            cols.append(F.round(F.col(f.name), per_col.get(f.name, digits)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
 
-def rounded_sql(sql: str, round_cols) -> str:
+def rounded_sql(sql: str, round_cols, digits: int = DIGITS) -> str:
     if not round_cols:
         return sql
-    repl = ", ".join(f"ROUND({c}, {DIGITS}) AS {c}" for c in round_cols)
+    per_col = round_cols if isinstance(round_cols, dict) else {c: digits for c in round_cols}
+    repl = ", ".join(f"ROUND({c}, {d}) AS {c}" for c, d in per_col.items())
     return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS q"
 
 
-def register(name: str, sql: str | None = None, round_cols=(), headline: bool = False):
+def register(name: str, sql: str | None = None, round_cols=(), headline: bool = False,
+             digits: int = DIGITS):
     """Register a query under ``name`` (lower-case survey ID + short name)."""
 
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             prepare(spark)
-            return finish(fn(spark, sf_dir))
+            return finish(fn(spark, sf_dir), digits, round_cols if isinstance(round_cols, dict) else None)
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = rounded_sql(sql, round_cols)
+            ORACLE[name] = rounded_sql(sql, round_cols, digits)
         if headline:
             HEADLINE.append(name)
         return fn
