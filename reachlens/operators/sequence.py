@@ -40,7 +40,7 @@ def _as_list(cols) -> list[str]:
 
 
 def _local_scan(entity: list[str], lags: list[str], cums: list[str],
-                int_cols: set[str]):
+                int_cols: set[str], ffills: list[str] = ()):
     """Per-partition pass: local seq / prev / cum, restarted at each entity."""
 
     def run(batches):
@@ -53,6 +53,7 @@ def _local_scan(entity: list[str], lags: list[str], cums: list[str],
         seq_state = 0
         cum_state = {c: 0 for c in cums}
         last_val = {c: None for c in lags}
+        ff_state = {c: None for c in ffills}
         for pdf in batches:
             n = len(pdf)
             if n == 0:
@@ -89,6 +90,18 @@ def _local_scan(entity: list[str], lags: list[str], cums: list[str],
                     cs = cs + np.where(in_first, cum_state[c], 0)
                 out["cum_" + c] = cs
                 cum_state[c] = cs[-1]
+            for c in ffills:
+                s = pdf[c].astype("Int64") if c in int_cols else pdf[c].astype("float64")
+                before = s.groupby(seg).shift(1).groupby(seg).ffill()
+                upto = s.groupby(seg).ffill()
+                if cont_first and ff_state[c] is not None:
+                    fill = in_first & before.isna().to_numpy()
+                    before = before.mask(fill, ff_state[c])
+                    upto = upto.mask(in_first & upto.isna().to_numpy(), ff_state[c])
+                out["last_" + c] = before
+                out["_ffinc_" + c] = upto
+                v = upto.iloc[-1]
+                ff_state[c] = None if pd.isna(v) else v
             seq_state = int(lseq[-1])
             seg_count = int(seg[-1])
             last_key = tuple(keys.iloc[-1])
@@ -100,17 +113,19 @@ def _local_scan(entity: list[str], lags: list[str], cums: list[str],
 
 def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
              cums: Sequence[str] = (), seq_col: str = "seq",
-             num_partitions: int | None = None) -> DataFrame:
+             num_partitions: int | None = None, ffills: Sequence[str] = ()) -> DataFrame:
     """Add ``seq_col`` (1-based rank inside ``entity`` by ``order``),
-    ``prev_<c>`` for each column in ``lags`` (NULL on an entity's first row) and
-    ``cum_<c>`` (inclusive running sum inside the entity, NULL counted as 0).
+    ``prev_<c>`` for each column in ``lags`` (NULL on an entity's first row),
+    ``cum_<c>`` (inclusive running sum inside the entity, NULL counted as 0)
+    and ``last_<c>`` for each column in ``ffills`` (the last non-NULL value on
+    an earlier row of the entity).
 
     ``order`` should end with a unique column so the order is total; entity
     keys must be non-NULL. Lag and cum columns must be numeric.
     """
     entity = _as_list(entity)
     order = _as_list(order)
-    lags, cums = list(lags), list(cums)
+    lags, cums, ffills = list(lags), list(cums), list(ffills)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     parts = num_partitions or shuffle_partitions(spark)
@@ -122,7 +137,7 @@ def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
         entity = [const]
 
     fields = {f.name: f for f in df.schema.fields}
-    int_cols = {c for c in set(lags) | set(cums) if isinstance(fields[c].dataType, _INTEGRAL)}
+    int_cols = {c for c in set(lags) | set(cums) | set(ffills) if isinstance(fields[c].dataType, _INTEGRAL)}
     out_fields = list(df.schema.fields) + [
         T.StructField("_pid", T.IntegerType()),
         T.StructField("_lpos", T.LongType()),
@@ -133,15 +148,19 @@ def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
         out_fields.append(T.StructField("prev_" + c, T.LongType() if c in int_cols else T.DoubleType()))
     for c in cums:
         out_fields.append(T.StructField("cum_" + c, T.LongType() if c in int_cols else T.DoubleType()))
+    for c in ffills:
+        t = T.LongType() if c in int_cols else T.DoubleType()
+        out_fields += [T.StructField("last_" + c, t), T.StructField("_ffinc_" + c, t)]
 
     keys = entity + order
     ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    local = ranged.mapInPandas(_local_scan(entity, lags, cums, int_cols), T.StructType(out_fields))
+    local = ranged.mapInPandas(_local_scan(entity, lags, cums, int_cols, ffills), T.StructType(out_fields))
     local = local.checkpoint(eager=True)
 
     # one row per partition: its first entity and its last row
     last_fields = [F.col(e) for e in entity] + [F.col("_lseq")] + \
-        [F.col("cum_" + c) for c in cums] + [F.col(c).alias("v_" + c) for c in lags]
+        [F.col("cum_" + c) for c in cums] + [F.col(c).alias("v_" + c) for c in lags] + \
+        [F.col("_ffinc_" + c) for c in ffills]
     summ = local.groupBy("_pid").agg(
         F.min_by(F.struct(*[F.col(e) for e in entity]), F.col("_lpos")).alias("f"),
         F.max_by(F.struct(*last_fields), F.col("_lpos")).alias("l"))
@@ -149,8 +168,10 @@ def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     acc = [F.sum(F.col("l")["_lseq"]).over(w_ent).alias("a_seq")] + \
         [F.sum(F.col("l")["cum_" + c]).over(w_ent).alias("a_" + c) for c in cums]
+    acc += [F.last(F.col("l")["_ffinc_" + c], ignorenulls=True).over(w_ent).alias("ff_" + c) for c in ffills]
     summ = summ.select("_pid", "f", "l", *acc)
-    prev = F.lag(F.struct("l", "a_seq", *["a_" + c for c in cums])).over(Window.orderBy("_pid"))
+    prev = F.lag(F.struct("l", "a_seq", *["a_" + c for c in cums], *["ff_" + c for c in ffills])) \
+        .over(Window.orderBy("_pid"))
     carry = summ.select("_pid", "f", prev.alias("p"))
     same = F.lit(True)
     for e in entity:
@@ -159,7 +180,8 @@ def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
         "_pid",
         F.col("p")["a_seq"].alias("_c_seq"),
         *[F.col("p")["a_" + c].alias("_c_cum_" + c) for c in cums],
-        *[F.col("p")["l"]["v_" + c].alias("_c_prev_" + c) for c in lags])
+        *[F.col("p")["l"]["v_" + c].alias("_c_prev_" + c) for c in lags],
+        *[F.col("p")["ff_" + c].alias("_c_ff_" + c) for c in ffills])
 
     # the carry table has at most one row per partition
     out = local.join(F.broadcast(carry), "_pid", "left")
@@ -172,6 +194,9 @@ def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
     for c in cums:
         cols.append(F.when(cont, F.col("cum_" + c) + F.col("_c_cum_" + c))
                     .otherwise(F.col("cum_" + c)).alias("cum_" + c))
+    for c in ffills:
+        cols.append(F.when(cont & F.col("last_" + c).isNull(), F.col("_c_ff_" + c))
+                    .otherwise(F.col("last_" + c)).alias("last_" + c))
     return out.select(*cols)
 
 
