@@ -40,3 +40,133 @@ def anomaly_summary(flags: DataFrame, flag_col: str = "is_anomaly") -> DataFrame
         (F.avg(F.col(flag_col).cast("double")) * 100).alias("anomaly_pct"),
         F.count_if(F.col("anomaly_type") == "over-performer").alias("over_performers"),
         F.count_if(F.col("anomaly_type") == "under-performer").alias("under_performers"))
+
+
+# M15 / M16 -------------------------------------------------------------------
+def _c_factor(n: float) -> float:
+    """Average path length of an unsuccessful search in a binary search tree of n points."""
+    import math
+    if n <= 1:
+        return 0.0
+    if n == 2:
+        return 1.0
+    return 2.0 * (math.log(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n
+
+
+def _build_tree(features: list[str], psi: int, seed: int):
+    import numpy as np
+    import pandas as pd
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree_id = int(pdf["tree_id"].iloc[0])
+        pdf = pdf.sort_values("_h").head(psi)
+        X = pdf[features].to_numpy(dtype=float)
+        rng = np.random.default_rng([seed, tree_id])
+        max_depth = int(np.ceil(np.log2(max(len(X), 2))))
+        nodes = []   # (feature, threshold, left, right, size)
+
+        def grow(idx, depth):
+            me = len(nodes)
+            nodes.append([-1, 0.0, -1, -1, len(idx)])
+            if depth >= max_depth or len(idx) <= 1:
+                return me
+            sub = X[idx]
+            lo, hi = sub.min(axis=0), sub.max(axis=0)
+            cand = np.flatnonzero(hi > lo)
+            if len(cand) == 0:
+                return me
+            f = int(rng.choice(cand))
+            thr = float(rng.uniform(lo[f], hi[f]))
+            left = idx[sub[:, f] < thr]
+            right = idx[sub[:, f] >= thr]
+            nodes[me][0], nodes[me][1] = f, thr
+            nodes[me][2] = grow(left, depth + 1)
+            nodes[me][3] = grow(right, depth + 1)
+            return me
+
+        grow(np.arange(len(X)), 0)
+        return pd.DataFrame({"tree_id": [tree_id], "feature": [[n[0] for n in nodes]],
+                             "threshold": [[n[1] for n in nodes]], "left": [[n[2] for n in nodes]],
+                             "right": [[n[3] for n in nodes]], "size": [[n[4] for n in nodes]],
+                             "psi": [len(X)]})
+    return run
+
+
+def isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int = 100, psi: int = 256,
+                     contamination: float = 0.05, seed: int = 42) -> DataFrame:
+    """Isolation-forest score and flag per row.
+
+    Each tree draws its own sample by hashing (key, tree) - about 2*psi
+    candidate rows per tree, of which the psi smallest hashes are kept, so a
+    tree's group is bounded. Trees are built with numpy in a grouped map,
+    collected (n_trees small trees) and applied with a vectorised pandas UDF.
+    ``anomaly_score`` is minus the normalised score 2^(-E[h]/c(psi)); rows
+    below the ``contamination`` quantile of the scores are flagged."""
+    from pyspark.sql import types as T
+    from reachlens.operators.sequence import exact_percentiles
+
+    d = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
+    n = d.count()
+    frac = min(1.0, 2.0 * psi / max(n, 1))
+    buckets = 1_000_000
+    pick = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                    lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(buckets)) < F.lit(int(frac * buckets)))
+    samples = d.select("*", F.explode(pick).alias("tree_id")) \
+        .withColumn("_h", F.xxhash64(F.col(key), F.col("tree_id"), F.lit(seed + 1)))
+    schema = T.StructType([T.StructField("tree_id", T.IntegerType()),
+                           T.StructField("feature", T.ArrayType(T.IntegerType())),
+                           T.StructField("threshold", T.ArrayType(T.DoubleType())),
+                           T.StructField("left", T.ArrayType(T.IntegerType())),
+                           T.StructField("right", T.ArrayType(T.IntegerType())),
+                           T.StructField("size", T.ArrayType(T.IntegerType())),
+                           T.StructField("psi", T.IntegerType())])
+    trees = samples.groupBy("tree_id").applyInPandas(_build_tree(features, psi, seed), schema).collect()
+    forest = [(t["feature"], t["threshold"], t["left"], t["right"], t["size"]) for t in trees]
+    psi_eff = max((t["psi"] for t in trees), default=1)
+    c_psi = _c_factor(psi_eff)
+    bc = df.sparkSession.sparkContext.broadcast(forest)
+
+    @F.pandas_udf(T.DoubleType())
+    def path_score(*cols):
+        import numpy as np
+        import pandas as pd
+        X = np.column_stack([c.to_numpy(dtype=float) for c in cols])
+        total = np.zeros(len(X))
+        for feat, thr, left, right, size in bc.value:
+            node = np.zeros(len(X), dtype=int)
+            depth = np.zeros(len(X))
+            active = np.ones(len(X), dtype=bool)
+            feat_a, thr_a = np.asarray(feat), np.asarray(thr)
+            left_a, right_a, size_a = np.asarray(left), np.asarray(right), np.asarray(size)
+            while active.any():
+                f = feat_a[node]
+                leaf = f < 0
+                done = active & leaf
+                if done.any():
+                    depth[done] += np.array([_c_factor(s) for s in size_a[node[done]]])
+                active &= ~leaf
+                if not active.any():
+                    break
+                idx = np.flatnonzero(active)
+                go_left = X[idx, f[idx]] < thr_a[node[idx]]
+                node[idx] = np.where(go_left, left_a[node[idx]], right_a[node[idx]])
+                depth[idx] += 1
+            total += depth
+        mean_depth = total / max(len(bc.value), 1)
+        return pd.Series(-np.power(2.0, -mean_depth / c_psi if c_psi > 0 else 0.0))
+
+    scored = d.withColumn("anomaly_score", path_score(*[F.col(c) for c in features]))
+    cut = exact_percentiles(scored, [], "anomaly_score", [contamination], ["_cut"])
+    return scored.crossJoin(F.broadcast(cut)) \
+        .withColumn("if_anomaly", F.col("anomaly_score") < F.col("_cut")).drop("_cut")
+
+
+def detect_anomalies(videos: DataFrame, entity: str = "channel_id", key: str = "video_id",
+                     contamination: float = 0.05, n_trees: int = 100, seed: int = 42) -> DataFrame:
+    """z-score flags (M14) + isolation forest on (views, engagement) (M15),
+    combined flag and type label (M16)."""
+    z = z_anomalies(videos, entity)
+    forest = isolation_forest(z.select(key, "views", "engagement_rate"), ["views", "engagement_rate"], key,
+                              n_trees=n_trees, contamination=contamination, seed=seed)
+    j = z.join(forest.select(key, "anomaly_score", "if_anomaly"), key)
+    return j.withColumn("is_anomaly", F.col("z_anomaly") | F.col("if_anomaly"))
