@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reachlens.session import ensure_checkpoint_dir, shuffle_partitions
+from reachlens.session import ensure_checkpoint_dir
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -128,7 +128,6 @@ def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
     lags, cums, ffills = list(lags), list(cums), list(ffills)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = num_partitions or shuffle_partitions(spark)
 
     const = None
     if not entity:
@@ -153,7 +152,9 @@ def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
         out_fields += [T.StructField("last_" + c, t), T.StructField("_ffinc_" + c, t)]
 
     keys = entity + order
-    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    # without an explicit count AQE sizes the range partitions from the data
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)) \
+        .sortWithinPartitions(*keys)
     local = ranged.mapInPandas(_local_scan(entity, lags, cums, int_cols, ffills), T.StructType(out_fields))
     local = local.checkpoint(eager=True)
 

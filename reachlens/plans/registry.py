@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reachlens.session import ensure_checkpoint_dir
+from reachlens.session import ensure_checkpoint_dir, ship_package
 
 DIGITS = 6
 
@@ -28,6 +28,7 @@ def prepare(spark: SparkSession) -> None:
     checkpoint folder (the cluster's ``spark.checkpoint.dir`` when set)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
 
 
 def finish(df: DataFrame, digits: int = DIGITS, per_col: dict | None = None) -> DataFrame:
