@@ -168,7 +168,8 @@ def counterfactual_summary(points: DataFrame, entity: str, y: str) -> DataFrame:
 def ols_table(df: DataFrame, y: str, xs: Sequence[str], level: float = 0.95) -> DataFrame:
     """OLS with intercept: coefficient table (term, coef, std_err, t, p_value,
     ci_low, ci_high) from centred cross products aggregated in Spark; the
-    (k+1)x(k+1) system is solved on the driver."""
+    k x k system is solved on the driver with a pseudo-inverse, so exactly
+    collinear features get the minimum-norm solution instead of an error."""
     xs = list(xs)
     d = df.select(*[F.col(c).cast("double").alias(c) for c in xs], F.col(y).cast("double").alias("_y")).dropna()
     s = _centered(d, xs + ["_y"]).collect()[0]
@@ -176,11 +177,11 @@ def ols_table(df: DataFrame, y: str, xs: Sequence[str], level: float = 0.95) ->
     k = len(xs)
     sxx = np.array([[s[f"S_{xs[min(i, j)]}_{xs[max(i, j)]}"] for j in range(k)] for i in range(k)], dtype=float)
     sxy = np.array([s[f"S_{c}__y"] for c in xs], dtype=float)
-    beta = np.linalg.solve(sxx, sxy)
+    inv = np.linalg.pinv(sxx)
+    beta = inv @ sxy
     rss = s["S__y__y"] - float(beta @ sxy)
-    dof = n - k - 1
+    dof = n - np.linalg.matrix_rank(sxx) - 1
     sigma2 = rss / dof
-    inv = np.linalg.inv(sxx)
     xbar = np.array([s[f"m_{c}"] for c in xs], dtype=float)
     b0 = s["m__y"] - float(beta @ xbar)
     var0 = sigma2 * (1.0 / n + float(xbar @ inv @ xbar))
@@ -188,8 +189,8 @@ def ols_table(df: DataFrame, y: str, xs: Sequence[str], level: float = 0.95) ->
     q = t_ppf(0.5 + level / 2, dof)
     rows = []
     for term, b, v in coefs:
-        se = float(np.sqrt(v))
-        t = b / se
+        se = float(np.sqrt(max(v, 0.0)))
+        t = b / se if se > 0 else float("nan")
         rows.append((term, float(b), se, float(t), float(t_sf_two_sided(t, dof)), float(b - q * se), float(b + q * se)))
     return df.sparkSession.createDataFrame(
         rows, "term string, coef double, std_err double, t double, p_value double, ci_low double, ci_high double")

@@ -81,17 +81,11 @@ def growth_regression(feat: DataFrame, target: str = "growth_rate", exclude: Seq
     z = _assemble(standardize(d, cols), cols)
     n = z.count()
 
-    ols = LinearRegression(featuresCol="features", labelCol="_y", solver="normal", regParam=0.0,
-                           standardization=False).fit(z)
-    s = ols.summary
-    coefs = [ols.intercept] + list(ols.coefficients)
-    se = s.coefficientStandardErrors
-    se = [se[-1]] + list(se[:-1])
-    tv = [s.tValues[-1]] + list(s.tValues[:-1])
-    pv = [s.pValues[-1]] + list(s.pValues[:-1])
-    ols_df = spark.createDataFrame([(t, float(c), float(e), float(tt), float(p)) for t, c, e, tt, p in
-                                    zip(["const"] + cols, coefs, se, tv, pv)],
-                                   "term string, coef double, std_err double, t double, p_value double")
+    from reachlens.operators.causal import ols_table
+
+    ols_df = ols_table(z, "_y", cols).withColumn(
+        "term", F.when(F.col("term") == "Intercept", "const").otherwise(F.col("term"))) \
+        .select("term", "coef", "std_err", "t", "p_value")
 
     corr = Correlation.corr(_assemble(d, cols), "features").head()[0].toArray()
     try:

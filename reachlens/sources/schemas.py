@@ -94,5 +94,7 @@ def validate(df: DataFrame, schema: T.StructType) -> list[str]:
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of key values that are NULL or occur more than once (one
     aggregate; the result is usually empty)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) \
-        .where((F.col("n") > 1) | F.greatest(*[F.col(k).isNull() for k in keys]))
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | any_null)
