@@ -205,3 +205,19 @@ def x13(spark, sf_dir):
     pp = CA.flag_top_quantile(_prepost(spark, sf_dir), "pre_views", TREATED_QUANTILE)
     d = pp.select(F.col("treated"), F.log1p("pre_views").alias("log_pre"), F.log1p("post_views").alias("log_post"))
     return CA.ols_table(d, "log_post", ["treated", "log_pre"])
+
+
+@register("x9_anova_pvalues")
+def x9_p(spark, sf_dir):
+    return EX.two_way_anova(_factorial(spark, sf_dir), "weekend", "high_priority", "views", with_p=True)
+
+
+@register("x12_did_ttest")
+def x12_p(spark, sf_dir):
+    return CA.did_prepost(category_weekly(spark, sf_dir), "category", "week_end", "y", "x", CUT, with_p=True)
+
+
+@register("x2_did_pvalue")
+def x2_p(spark, sf_dir):
+    pp = CA.flag_top_quantile(_prepost(spark, sf_dir), "pre_views", TREATED_QUANTILE)
+    return CA.trending_did(pp, with_p=True)
