@@ -37,7 +37,7 @@ def _growth(spark, sf_dir):
     def build():
         v, c = _vc(spark, sf_dir)
         return MO.growth_regression(FE.regression_features(c, v, levels=SEGMENTS))
-    return _memo(("growth", id(spark), sf_dir), build)
+    return _memo(("growth", spark.sparkContext.applicationId, sf_dir), build)
 
 
 def _churn(spark, sf_dir):
@@ -45,7 +45,7 @@ def _churn(spark, sf_dir):
         v, c = _vc(spark, sf_dir)
         feat = FE.churn_features(c, v, CHURN_INACTIVITY_DAYS, levels=SEGMENTS)
         return MO.train_churn_model(feat, max_iter=GBT_ROUNDS)
-    return _memo(("churn", id(spark), sf_dir), build)
+    return _memo(("churn", spark.sparkContext.applicationId, sf_dir), build)
 
 
 @register("m2_ols_table")
@@ -146,7 +146,7 @@ def _video_model(spark, sf_dir):
     def build():
         v, c = _vc(spark, sf_dir)
         return MO.train_video_predictor(FE.video_features(c, v), max_iter=GBT_ROUNDS)
-    return _memo(("video", id(spark), sf_dir), build)
+    return _memo(("video", spark.sparkContext.applicationId, sf_dir), build)
 
 
 @register("m11_video_predictor")
@@ -159,6 +159,12 @@ def m12(spark, sf_dir):
     return _video_model(spark, sf_dir)["importance"]
 
 
+@register("m12_permutation_importance")
+def m12_perm(spark, sf_dir):
+    vm = _video_model(spark, sf_dir)
+    return MO.permutation_importance(vm["model"], vm["test"], MO.VIDEO_FEATURES, "log_views", "video_id")
+
+
 @register("m13_hash_split")
 def m13(spark, sf_dir):
     v = MO.hash_split(A.videos(spark, sf_dir), "video_id")
@@ -194,7 +200,7 @@ def _propensity(spark, sf_dir):
     def build():
         v, c = _vc(spark, sf_dir)
         return MO.propensity_scores(c, v).checkpoint()
-    return _memo(("prop", id(spark), sf_dir), build)
+    return _memo(("prop", spark.sparkContext.applicationId, sf_dir), build)
 
 
 def _pairs(spark, sf_dir):
@@ -202,7 +208,7 @@ def _pairs(spark, sf_dir):
         p = _propensity(spark, sf_dir)
         pairs = MA.match_nearest(p.where("treated = 1"), p.where("treated = 0"))
         return MA.matched_outcomes(pairs, p).checkpoint()
-    return _memo(("pairs", id(spark), sf_dir), build)
+    return _memo(("pairs", spark.sparkContext.applicationId, sf_dir), build)
 
 
 @register("x3_propensity")
