@@ -28,6 +28,7 @@ def test_sql_checked_queries_stay_jvm_side(spark, name):
 
 
 def test_scan_reads_only_needed_columns(spark):
+    spark.catalog.clearCache()          # a cached frame would replace the scans in the plan
     p = plan(A.videos(spark, SF_SMALL).groupBy("channel_id").agg(F.sum("views")))
     orders = [line for line in p.splitlines() if "ReadSchema" in line and "o_" in line]
     assert orders and all("o_orderpriority" not in line and "o_orderstatus" not in line for line in orders)
@@ -35,6 +36,7 @@ def test_scan_reads_only_needed_columns(spark):
 
 
 def test_pushed_filters_reach_the_scan(spark):
+    spark.catalog.clearCache()
     p = plan(A.table(spark, SF_SMALL, "lineitem").where(F.col("l_returnflag") == "R").select("l_orderkey"))
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in p
 
