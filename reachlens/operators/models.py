@@ -78,7 +78,8 @@ def growth_regression(feat: DataFrame, target: str = "growth_rate", exclude: Seq
     cols = numeric_columns(feat, list(exclude))
     d = feat.select(order_key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols],
                     F.col(target).cast("double").alias("_y"))
-    z = _assemble(standardize(d, cols), cols)
+    # one row per creator, reused by every fit below: materialise once
+    z = _assemble(standardize(d, cols), cols).checkpoint()
     n = z.count()
 
     from reachlens.operators.causal import ols_table
@@ -251,7 +252,8 @@ def train_churn_model(feat: DataFrame, max_iter: int = 200, seed: int = 42, excl
     cols = numeric_columns(feat, drop)
     d = feat.select(key, F.col(label).cast("double").alias("label"),
                     *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    d = hash_split(_assemble(d, cols, "raw"), key, seed)
+    # one row per creator, reused by every fit and evaluation: materialise once
+    d = hash_split(_assemble(d, cols, "raw"), key, seed).checkpoint()
     train, test = d.where("is_train"), d.where(~F.col("is_train"))
     n_train = train.count()
     lr = Pipeline(stages=[
@@ -320,7 +322,8 @@ def propensity_scores(channels: DataFrame, videos: DataFrame, treated_quantile:
     df = channels.select(key, "subscribers", "avg_weekly_uploads").join(st, key, "left")
     df = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in PROPENSITY_FEATURES])
     df = flag_top_quantile(df, "avg_engagement", treated_quantile)
-    z = _assemble(standardize(df, PROPENSITY_FEATURES, "_z"), [c + "_z" for c in PROPENSITY_FEATURES])
+    # one row per creator, used by several actions (count, fit, score): materialise once
+    z = _assemble(standardize(df, PROPENSITY_FEATURES, "_z"), [c + "_z" for c in PROPENSITY_FEATURES]).checkpoint()
     n = z.count()
     m = LogisticRegression(featuresCol="features", labelCol="treated", regParam=1.0 / max(n, 1),
                            elasticNetParam=0.0, standardization=False, maxIter=500).fit(
