@@ -229,36 +229,107 @@ def ntile_expr(rank: Column, n: Column, k: int) -> Column:
         .otherwise(r + F.floor((rank - 1 - big) / q) + 1).cast("long")
 
 
-def exact_percentiles(df: DataFrame, group, value: str, qs: Sequence[float],
-                      names: Sequence[str] | None = None) -> DataFrame:
-    """Linear-interpolated quantiles (PERCENTILE_CONT / pandas ``quantile``)
-    per group, exact, without materialising a group in one task.
+def _interpolate(res: DataFrame, group: list[str], names: Sequence[str]) -> DataFrame:
+    outs = [F.col(g) for g in group]
+    for name in names:
+        outs.append((F.col(name + "_lo") + (F.col(name + "_hi") - F.col(name + "_lo")) * F.col(name + "_fr"))
+                    .alias(name))
+    return res.select(*outs)
 
-    NULL values are ignored. One output row per group with one column per q.
-    """
-    group = _as_list(group)
-    names = list(names) if names else [f"p{int(round(q * 100))}" for q in qs]
-    d = df.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+
+def _percentiles_by_full_rank(d: DataFrame, group: list[str], qs: Sequence[float],
+                              names: Sequence[str]) -> DataFrame:
+    """Rank every value (``sequence``) and pick the two order statistics
+    around each quantile position."""
     d = d.withColumn("_tie", F.monotonically_increasing_id())
     s = sequence(d, group, ["_v", "_tie"], seq_col="_r")
     s = with_group_count(s, group, "_n")
-    aggs = []
     conds = F.lit(False)
+    exprs = []
     for q, name in zip(qs, names):
         h = (F.col("_n") - 1) * F.lit(float(q))
-        lo = F.floor(h) + 1
-        hi = F.ceil(h) + 1
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
         conds = conds | (F.col("_r") == lo) | (F.col("_r") == hi)
-        aggs.append((name, h, lo, hi))
-    picked = s.where(conds)
-    exprs = []
-    for name, h, lo, hi in aggs:
         exprs += [F.max(F.when(F.col("_r") == lo, F.col("_v"))).alias(name + "_lo"),
                   F.max(F.when(F.col("_r") == hi, F.col("_v"))).alias(name + "_hi"),
                   F.max(h - F.floor(h)).alias(name + "_fr")]
+    picked = s.where(conds)
     res = picked.groupBy(*group).agg(*exprs) if group else picked.agg(*exprs)
-    outs = [F.col(g) for g in group]
-    for name, *_ in aggs:
-        outs.append((F.col(name + "_lo") + (F.col(name + "_hi") - F.col(name + "_lo")) * F.col(name + "_fr"))
-                    .alias(name))
-    return res.select(*outs)
+    return _interpolate(res, group, names)
+
+
+def exact_percentiles(df: DataFrame, group, value: str, qs: Sequence[float],
+                      names: Sequence[str] | None = None, accuracy: int = 1000) -> DataFrame:
+    """Linear-interpolated quantiles (PERCENTILE_CONT / pandas ``quantile``)
+    per group, exact, without materialising a group in one task and without
+    sorting the whole input.
+
+    1. a ``percentile_approx`` sketch (rank error at most n/accuracy) gives,
+       per group and quantile, a value window [lo, hi] that must contain the
+       needed order statistics;
+    2. one aggregate pass counts the values below each ``lo`` and inside each
+       window (these counts are checkpointed: one row per group);
+    3. only the rows inside a window (about 6n/accuracy per quantile) are
+       ranked with ``sequence``; the global rank is count-below + local rank;
+    4. a group whose window does not cover the needed ranks (the sketch bound
+       failing) is recomputed by ranking all of its values, so the result is
+       always exact.
+
+    NULL values and NULL group keys are ignored. One output row per group.
+    """
+    group = _as_list(group)
+    names = list(names) if names else [f"p{int(round(q * 100))}" for q in qs]
+    d = df.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    for g in group:
+        d = d.where(F.col(g).isNotNull())
+    margin = 3.0 / accuracy
+    lo_p = [max(0.0, q - margin) for q in qs]
+    hi_p = [min(1.0, q + margin) for q in qs]
+    k = len(qs)
+    sketch = [F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", lo_p + hi_p, accuracy).alias("_b")]
+    stats = d.groupBy(*group).agg(*sketch) if group else d.agg(*sketch)
+    stats = stats.select(*group, "_n", *[F.col("_b")[i].alias(f"_lo{i}") for i in range(k)],
+                         *[F.col("_b")[k + i].alias(f"_hi{i}") for i in range(k)])
+    # one row per group (few groups: categories, tiers, windows, or one)
+    j = d.join(stats, group) if group else d.crossJoin(F.broadcast(stats))
+    inside = [(F.col("_v") >= F.col(f"_lo{i}")) & (F.col("_v") <= F.col(f"_hi{i}")) for i in range(k)]
+    counts = (j.groupBy(*group, "_n") if group else j.groupBy("_n")).agg(
+        *[F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in range(k)],
+        *[F.count_if(inside[i]).alias(f"_in{i}") for i in range(k)])
+    for i, q in enumerate(qs):
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        counts = counts.withColumn(f"_rlo{i}", F.floor(h) + 1 - F.col(f"_below{i}")) \
+            .withColumn(f"_rhi{i}", F.ceil(h) + 1 - F.col(f"_below{i}")) \
+            .withColumn(f"_fr{i}", h - F.floor(h))
+    covered = F.lit(True)
+    for i in range(k):
+        covered = covered & (F.col(f"_rlo{i}") >= 1) & (F.col(f"_rhi{i}") <= F.col(f"_in{i}"))
+    counts = counts.withColumn("_covered", covered | (F.col("_n") == 0)).checkpoint()
+
+    # candidates: rows inside at least one window, tagged with the window index
+    tags = F.filter(F.array(*[F.when(inside[i], F.lit(i)) for i in range(k)]), lambda x: x.isNotNull())
+    cands = j.where(F.exists(F.array(*inside), lambda x: x)).select(*group, "_v", F.explode(tags).alias("_k"))
+    cands = cands.withColumn("_tie", F.monotonically_increasing_id())
+    s = sequence(cands, group + ["_k"], ["_v", "_tie"], seq_col="_r")
+    s = s.join(counts, group) if group else s.crossJoin(F.broadcast(counts))
+    pick = F.lit(False)
+    exprs = []
+    for i, name in enumerate(names):
+        at_lo = (F.col("_k") == i) & (F.col("_r") == F.col(f"_rlo{i}"))
+        at_hi = (F.col("_k") == i) & (F.col("_r") == F.col(f"_rhi{i}"))
+        pick = pick | at_lo | at_hi
+        exprs += [F.max(F.when(at_lo, F.col("_v"))).alias(name + "_lo"),
+                  F.max(F.when(at_hi, F.col("_v"))).alias(name + "_hi"),
+                  F.max(F.col(f"_fr{i}")).alias(name + "_fr")]
+    picked = s.where(F.col("_covered") & pick)
+    fast = _interpolate(picked.groupBy(*group).agg(*exprs) if group else picked.agg(*exprs), group, names)
+
+    if not group:
+        if counts.where(~F.col("_covered")).isEmpty():
+            return fast
+        return _percentiles_by_full_rank(d, group, qs, names)
+    fast = fast.join(counts.where("_covered").select(*group), group, "left_semi")
+    missing = counts.where(~F.col("_covered")).select(*group)
+    if missing.isEmpty():
+        return fast
+    return fast.unionByName(_percentiles_by_full_rank(d.join(missing, group, "left_semi"), group, qs, names))

@@ -72,3 +72,20 @@ def test_gini_exact_values(spark):
     assert gini(empty, "x").first()[0] == 0.0
     zeros = spark.createDataFrame([(0.0,)] * 3, "x double")
     assert gini(zeros, "x").first()[0] is None
+
+
+def test_percentile_paths_agree(spark, skewed):
+    from reachlens.operators.sequence import _percentiles_by_full_rank
+
+    pdf = skewed.toPandas().dropna(subset=["v"])
+    want = pdf.groupby("e")["v"].quantile([0.1, 0.5, 0.99]).unstack()
+    d = skewed.select("e", F.col("v").alias("_v")).where("_v IS NOT NULL")
+    full = _percentiles_by_full_rank(d, ["e"], [0.1, 0.5, 0.99], ["a", "b", "c"]).toPandas().set_index("e")
+    coarse = exact_percentiles(skewed, ["e"], "v", [0.1, 0.5, 0.99], ["a", "b", "c"], accuracy=20) \
+        .toPandas().set_index("e")
+    for q, c in zip([0.1, 0.5, 0.99], ["a", "b", "c"]):
+        assert np.allclose(full.loc[want.index, c].to_numpy(), want[q].to_numpy())
+        assert np.allclose(coarse.loc[want.index, c].to_numpy(), want[q].to_numpy())
+    g = exact_percentiles(skewed, [], "v", [0.0, 0.37, 1.0], ["lo", "mid", "hi"]).first()
+    assert (g["lo"], g["hi"]) == (pdf["v"].min(), pdf["v"].max())
+    assert g["mid"] == pytest.approx(pdf["v"].quantile(0.37))
