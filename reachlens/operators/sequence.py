@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 from reachlens.session import ensure_checkpoint_dir
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# Largest candidate window (rows per group and quantile) ranked with a plain window function
+WINDOW_RANK_LIMIT = 1_000_000
 
 
 def _as_list(cols) -> list[str]:
@@ -270,7 +272,9 @@ def exact_percentiles(df: DataFrame, group, value: str, qs: Sequence[float],
     2. one aggregate pass counts the values below each ``lo`` and inside each
        window (these counts are checkpointed: one row per group);
     3. only the rows inside a window (about 6n/accuracy per quantile) are
-       ranked with ``sequence``; the global rank is count-below + local rank;
+       ranked - with a window function when the largest window is at most
+       ``WINDOW_RANK_LIMIT`` rows (checked from the counts), else with
+       ``sequence``; the global rank is count-below + local rank;
     4. a group whose window does not cover the needed ranks (the sketch bound
        failing) is recomputed by ranking all of its values, so the result is
        always exact.
@@ -309,8 +313,16 @@ def exact_percentiles(df: DataFrame, group, value: str, qs: Sequence[float],
     # candidates: rows inside at least one window, tagged with the window index
     tags = F.filter(F.array(*[F.when(inside[i], F.lit(i)) for i in range(k)]), lambda x: x.isNotNull())
     cands = j.where(F.exists(F.array(*inside), lambda x: x)).select(*group, "_v", F.explode(tags).alias("_k"))
-    cands = cands.withColumn("_tie", F.monotonically_increasing_id())
-    s = sequence(cands, group + ["_k"], ["_v", "_tie"], seq_col="_r")
+    # one small collect: the largest candidate window and whether any group needs the fallback
+    probe = counts.agg(F.greatest(*[F.max(f"_in{i}") for i in range(k)], F.lit(0)).alias("_max_in"),
+                       F.max(F.when(~F.col("_covered"), 1).otherwise(0)).alias("_missing")).first()
+    if (probe["_max_in"] or 0) <= WINDOW_RANK_LIMIT:
+        # every (group, quantile) window holds at most WINDOW_RANK_LIMIT rows (checked above)
+        w = Window.partitionBy(*group, "_k").orderBy("_v")
+        s = cands.withColumn("_r", F.row_number().over(w))
+    else:
+        s = sequence(cands.withColumn("_tie", F.monotonically_increasing_id()), group + ["_k"], ["_v", "_tie"],
+                     seq_col="_r")
     s = s.join(counts, group) if group else s.crossJoin(F.broadcast(counts))
     pick = F.lit(False)
     exprs = []
@@ -323,13 +335,10 @@ def exact_percentiles(df: DataFrame, group, value: str, qs: Sequence[float],
                   F.max(F.col(f"_fr{i}")).alias(name + "_fr")]
     picked = s.where(F.col("_covered") & pick)
     fast = _interpolate(picked.groupBy(*group).agg(*exprs) if group else picked.agg(*exprs), group, names)
-
+    if not probe["_missing"]:
+        return fast
     if not group:
-        if counts.where(~F.col("_covered")).isEmpty():
-            return fast
         return _percentiles_by_full_rank(d, group, qs, names)
     fast = fast.join(counts.where("_covered").select(*group), group, "left_semi")
     missing = counts.where(~F.col("_covered")).select(*group)
-    if missing.isEmpty():
-        return fast
     return fast.unionByName(_percentiles_by_full_rank(d.join(missing, group, "left_semi"), group, qs, names))
