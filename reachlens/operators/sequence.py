@@ -113,9 +113,33 @@ def _local_scan(entity: list[str], lags: list[str], cums: list[str],
     return run
 
 
+def _sequence_by_window(df: DataFrame, entity: list[str], order: list[str], lags: list[str], cums: list[str],
+                        ffills: list[str], seq_col: str, int_cols: set[str]) -> DataFrame:
+    """The same columns from window functions; used only when the largest
+    entity (or the whole frame, without an entity) is within the checked
+    bound ``WINDOW_RANK_LIMIT``."""
+    w = (Window.partitionBy(*entity) if entity else Window.partitionBy()).orderBy(*order)
+    cols = [F.col(c) for c in df.columns]
+    cols.append(F.row_number().over(w).cast("long").alias(seq_col))
+
+    def typed(c, e):
+        return e.cast("long" if c in int_cols else "double")
+
+    for c in lags:
+        cols.append(typed(c, F.lag(c).over(w)).alias("prev_" + c))
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for c in cums:
+        cols.append(typed(c, F.sum(F.coalesce(F.col(c), F.lit(0))).over(running)).alias("cum_" + c))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    for c in ffills:
+        cols.append(typed(c, F.last(c, ignorenulls=True).over(before)).alias("last_" + c))
+    return df.select(*cols)
+
+
 def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
              cums: Sequence[str] = (), seq_col: str = "seq",
-             num_partitions: int | None = None, ffills: Sequence[str] = ()) -> DataFrame:
+             num_partitions: int | None = None, ffills: Sequence[str] = (),
+             window_limit: int | None = None) -> DataFrame:
     """Add ``seq_col`` (1-based rank inside ``entity`` by ``order``),
     ``prev_<c>`` for each column in ``lags`` (NULL on an entity's first row),
     ``cum_<c>`` (inclusive running sum inside the entity, NULL counted as 0)
@@ -124,12 +148,25 @@ def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
 
     ``order`` should end with a unique column so the order is total; entity
     keys must be non-NULL. Lag and cum columns must be numeric.
+
+    One small aggregate first measures the largest entity (or the frame
+    without an entity). Within ``window_limit`` rows (default
+    ``WINDOW_RANK_LIMIT``; 0 disables the check) plain window functions do the
+    work in one shuffle; above it - a hot entity - the range-partitioned scan
+    below is used.
     """
     entity = _as_list(entity)
     order = _as_list(order)
     lags, cums, ffills = list(lags), list(cums), list(ffills)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    fields0 = {f.name: f for f in df.schema.fields}
+    ints0 = {c for c in set(lags) | set(cums) | set(ffills) if isinstance(fields0[c].dataType, _INTEGRAL)}
+    limit = WINDOW_RANK_LIMIT if window_limit is None else window_limit
+    if limit > 0:
+        sizes = df.groupBy(*entity).count().agg(F.max("count")) if entity else df.agg(F.count(F.lit(1)))
+        if (sizes.first()[0] or 0) <= limit:
+            return _sequence_by_window(df, entity, order, lags, cums, ffills, seq_col, ints0)
 
     const = None
     if not entity:
@@ -204,10 +241,12 @@ def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
 
 
 def global_rank(df: DataFrame, order, cums: Sequence[str] = (), rank_col: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, window_limit: int | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order) and global running sums, computed on
-    balanced range partitions instead of one task."""
-    return sequence(df, [], order, cums=cums, seq_col=rank_col, num_partitions=num_partitions)
+    balanced range partitions instead of one task (a plain window only when
+    the whole frame is within the checked bound)."""
+    return sequence(df, [], order, cums=cums, seq_col=rank_col, num_partitions=num_partitions,
+                    window_limit=window_limit)
 
 
 def with_group_count(df: DataFrame, group, count_col: str = "n") -> DataFrame:

@@ -23,8 +23,11 @@ def skewed(spark):
     return spark.createDataFrame(pdf).withColumn("v", F.when(F.isnan("v"), None).otherwise(F.col("v")))
 
 
-def test_sequence_matches_windows(spark, skewed):
-    s = sequence(skewed, "e", ["t", "id"], lags=["t"], cums=["v"], ffills=["v"], num_partitions=7)
+@pytest.mark.parametrize("limit", [0, 10_000_000])
+def test_sequence_matches_windows(spark, skewed, limit):
+    # limit 0 forces the range-partitioned scan, a large limit the window path
+    s = sequence(skewed, "e", ["t", "id"], lags=["t"], cums=["v"], ffills=["v"], num_partitions=7,
+                 window_limit=limit)
     w = Window.partitionBy("e").orderBy("t", "id")
     ref = skewed.select(
         "id", F.row_number().over(w).alias("r_seq"), F.lag("t").over(w).alias("r_prev"),
@@ -39,7 +42,7 @@ def test_sequence_matches_windows(spark, skewed):
 
 
 def test_hot_entity_is_split_over_partitions(spark, skewed):
-    s = sequence(skewed.where("e = 0"), "e", ["t", "id"], num_partitions=6)
+    s = sequence(skewed.where("e = 0"), "e", ["t", "id"], num_partitions=6, window_limit=0)
     assert s.rdd.getNumPartitions() >= 1
     # seq is a dense 1..n sequence even though the entity spans several partitions
     got = sorted(r[0] for r in s.select("seq").collect())
@@ -47,7 +50,7 @@ def test_hot_entity_is_split_over_partitions(spark, skewed):
 
 
 def test_global_rank_and_ntile(spark, skewed):
-    r = global_rank(skewed, ["t", "id"], rank_col="rk", num_partitions=5).select("id", "rk")
+    r = global_rank(skewed, ["t", "id"], rank_col="rk", num_partitions=5, window_limit=0).select("id", "rk")
     ref = skewed.select("id", F.row_number().over(Window.orderBy("t", "id")).alias("x"))
     assert r.join(ref, "id").where("rk != x").count() == 0
     nt = ntile(skewed.select("id", "t"), ["t", "id"], 7, "b")
