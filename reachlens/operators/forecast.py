@@ -1,10 +1,11 @@
 """Per-creator weekly forecasts for every series in one job.
 
-Series are one row per creator and week, so a group holds at most the number
-of weeks in the data's time span; each group is fitted with numpy inside
-``groupBy(entity).applyInPandas`` (Arrow batches, no per-row Python). The
-pooled autoregressive model is one ``GBTRegressor`` trained on lag windows of
-all series, then rolled forward with one DataFrame pass per step.
+Series are one row per creator and week, so a series holds at most the number
+of weeks in the data's time span. Series are hash-partitioned on the creator,
+sorted by week, and fitted with numpy over whole Arrow batches
+(``mapInPandas``, many series per batch, no per-row Python). The pooled
+autoregressive model is one ``GBTRegressor`` trained on lag windows of all
+series, then rolled forward with one DataFrame pass per step.
 
 Output (long): entity, model, step, week_end, forecast, lower, upper, trend,
 seasonal (the last two only for the trend + seasonality model).
