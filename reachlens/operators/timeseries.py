@@ -71,3 +71,37 @@ def seasonal_naive_eval(series: DataFrame, entity: str = "channel_id", measure:
         F.avg(F.abs(err) / (F.col("_a") + 1)).alias("mape"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.count(F.lit(1)).alias("n_test"))
+
+
+def seasonal_naive_holdout(videos: DataFrame, entity: str = "channel_id", ts: str = "publish_time",
+                           measure: str = "views", train_share: float = 0.8, steps: int = 8,
+                           season: int = SEASON) -> DataFrame:
+    """``seasonal_naive_eval`` computed from the uploads without building the
+    dense weekly series: a series' length follows from its first and last
+    week, so only the last training season and the test weeks (at most
+    ``season + steps`` rows per entity) are generated and filled from the
+    weekly sums."""
+    w = videos.groupBy(entity, week_end(ts).alias("week_end")).agg(F.sum(measure).alias("_y"))
+    span = w.groupBy(entity).agg(F.min("week_end").alias("_a"), F.max("week_end").alias("_b"))
+    n = (F.datediff("_b", "_a") / 7).cast("int") + 1
+    span = span.withColumn("_split", F.floor(n * train_share).cast("int")) \
+        .withColumn("_k", F.least(F.lit(steps), n - F.col("_split"))) \
+        .where((F.col("_split") >= season) & (F.col("_k") > 0))
+    spine = span.select(entity, "_a", "_split",
+                        F.explode(F.sequence(F.col("_split") - season, F.col("_split") + F.col("_k") - 1))
+                        .alias("week_idx"))
+    spine = spine.withColumn("week_end", F.date_add(F.col("_a"), F.col("week_idx") * 7))
+    s = spine.join(w, [entity, "week_end"], "left") \
+        .select(entity, "week_idx", "_split", F.coalesce(F.col("_y"), F.lit(0).cast("long")).alias("_v"))
+    test = s.where(F.col("week_idx") >= F.col("_split")).select(
+        entity, F.col("_v").alias("_a"),
+        (F.col("_split") - season + F.pmod(F.col("week_idx") - F.col("_split"), F.lit(season))).alias("_src"))
+    train = s.where(F.col("week_idx") < F.col("_split")).select(entity, F.col("week_idx").alias("_src"),
+                                                                F.col("_v").alias("_p"))
+    j = test.join(train, [entity, "_src"])
+    err = F.col("_a") - F.col("_p")
+    return j.groupBy(entity).agg(
+        F.lit("seasonal_naive").alias("model"),
+        F.avg(F.abs(err) / (F.col("_a") + 1)).alias("mape"),
+        F.sqrt(F.avg(err * err)).alias("rmse"),
+        F.count(F.lit(1)).alias("n_test"))

@@ -99,3 +99,13 @@ def test_growth_regression_tables(spark, vc):
     assert ols[0]["term"] == "const"
     assert all(0 <= r["p_value"] <= 1 for r in ols if r["p_value"] == r["p_value"])
     assert out["cv"].count() == 2
+
+
+def test_sparse_seasonal_naive_equals_dense(spark, vc):
+    v, _ = vc
+    dense = TS.seasonal_naive_eval(TS.weekly_series(v), steps=8).toPandas().sort_values("channel_id")
+    sparse = TS.seasonal_naive_holdout(v, steps=8).toPandas().sort_values("channel_id")
+    assert list(dense["channel_id"]) == list(sparse["channel_id"])
+    assert (dense["n_test"].to_numpy() == sparse["n_test"].to_numpy()).all()
+    assert dense["mape"].to_numpy() == pytest.approx(sparse["mape"].to_numpy())
+    assert dense["rmse"].to_numpy() == pytest.approx(sparse["rmse"].to_numpy())
