@@ -144,7 +144,6 @@ def fit_holt_winters_block(series: list[np.ndarray], steps: int, season: int = S
         level = np.where(act, new_level, level)
         trend = np.where(act, new_trend, trend)
     best = np.argmin(sse, axis=1)
-    rows = np.arange(m)
     h = np.arange(1, steps + 1)
     for r, i in enumerate(idx):
         j = best[r]
