@@ -95,3 +95,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: later consumers prune columns and push filters into it, and the
+    lineage is cut (a lost executor re-reads the files instead of recomputing
+    the inputs)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
