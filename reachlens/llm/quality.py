@@ -156,7 +156,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **optio
     narrow = with_measures(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", F.col(stratum).cast("string").alias("stratum"), "text"), F.col("text")).drop("text")
     chosen = calibrate(stored(narrow, "measures"), labels, **options).collect()
     rows = docs.select(packed(docs), F.col(stratum).cast("string").alias("stratum"))
-    rows = with_measures(rows, F.col("row.text")).filter(~base_failed() & verdict(chosen))
+    rows = with_measures(rows, F.col("row.text"))
+    # with a column that is not deterministic, the filter does not move below the counts and repeat them
+    rows = rows.withColumn("at", F.monotonically_increasing_id()).filter((F.col("at") >= 0) & ~base_failed() & verdict(chosen))
     return unpacked(rows, docs.columns)
 
 
