@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, language, mixing, packing, quality, simhash, site_lines, warc
+from . import exact_dedup, html_text, language, mixing, packing, quality, simhash, site_lines, suffix_dedup, warc
 from .common import prepare, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -45,6 +45,11 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat strings of documents with smaller ids."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix_table(table(spark, sf_dir, "documents"))
@@ -66,7 +71,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_warc, op4_simhash, op5_html_extraction, op7_mixing, op8_line_dedup, op9_packing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_quality_rules, op3_warc, op4_simhash, op5_html_extraction, op6_suffix_dedup, op7_mixing, op8_line_dedup, op9_packing, op10_exact_dedup)}
 
 _RULES = ",\n".join(f"('{rule}', [{', '.join(map(str, cuts))}])" for rule, (_, cuts) in quality.RULES.items())
 
