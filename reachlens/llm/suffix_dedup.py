@@ -38,12 +38,13 @@ LEFT = WINDOWS - 1
 WIDTH = LENGTH + LEFT
 #: Bytes of text that are worked on at a time; a longer document is a pack of its own.
 PACK_BYTES = 2 << 20
-BUCKET_BITS = 8
+BUCKET_BITS = 9
 #: Place holder for bytes beyond a document's ends; not in any UTF-8 text.
 OUTSIDE = 0xFF
 FULL = np.uint64(1 << 63)
 NO_ID = np.iinfo(np.int64).max
 _BASE = 0x9E3779B97F4A7C15
+_SQUEEZE, _OPEN = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 def _hashes(data: np.ndarray) -> np.ndarray:
@@ -109,7 +110,7 @@ def packs(docs: DataFrame, id_col: str, text_col: str, pack_bytes: int) -> DataF
 
 def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, lengths, ids) of a pack; no id is the largest."""
-    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["data"], max_output_size=max(1, int(sum(row["lengths"])))), np.uint8)
+    data = np.frombuffer(_OPEN.decompress(row["data"], max_output_size=max(1, int(sum(row["lengths"])))), np.uint8)
     return data, np.array(row["lengths"], np.int64), np.array([NO_ID if x is None else x for x in row["ids"]], np.int64)
 
 
@@ -271,7 +272,7 @@ def _order(text: np.ndarray) -> np.ndarray:
 
 
 def _blob(*arrays: np.ndarray, rests: bytes = b"") -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays) + rests)
+    return _SQUEEZE.compress(b"".join(a.tobytes() for a in arrays) + rests)
 
 
 def suffix_runs(packed: DataFrame, bits: int) -> DataFrame:
@@ -321,7 +322,7 @@ def merge_runs(group: pd.DataFrame) -> pd.DataFrame:
     """All runs of a bucket merged; pack, n, run (place, mask) of the strings found."""
     own, at, before, after, runs = [], [], [], [], []
     for n, blob in zip(group["n"], group["run"], strict=True):
-        raw = zstandard.ZstdDecompressor().decompress(blob, max_output_size=int(n) * (19 + WIDTH))
+        raw = _OPEN.decompress(blob, max_output_size=int(n) * (19 + WIDTH))
         own.append(np.frombuffer(raw, "<i8", n))
         at.append(np.frombuffer(raw, "<i8", n, 8 * n))
         lcp, b, a = np.frombuffer(raw, np.uint8, 3 * n, 16 * n).reshape(3, n)
@@ -330,11 +331,11 @@ def merge_runs(group: pd.DataFrame) -> pd.DataFrame:
         prefixes = lcp.tolist()
         runs.append((decoded(prefixes, raw[19 * n:]), prefixes))
     starts = np.concatenate([[0], np.cumsum(group["n"])[:-1]])
-    order = list(merged(runs))
-    text = np.frombuffer(b"".join(runs[r][0][i] for r, i, _ in order), np.uint8).reshape(-1, WIDTH)
-    lcp = np.fromiter((x[2] for x in order), np.uint8, len(order))
-    which = np.fromiter((x[0] for x in order), np.int64, len(order))
-    flat = starts[which] + np.fromiter((x[1] for x in order), np.int64, len(order))
+    order = np.fromiter((r << 40 | i << 8 | known for r, i, known in merged(runs)), np.int64, int(group["n"].sum()))
+    which, number, lcp = order >> 40, order >> 8 & 0xFFFFFFFF, (order & 0xFF).astype(np.uint8)
+    text = np.frombuffer(b"".join(runs[r][0][i] for r, i in zip(which.tolist(), number.tolist(), strict=True)), np.uint8).reshape(-1, WIDTH)
+    runs.clear()
+    flat = starts[which] + number
     masks = covered(text, lcp, np.concatenate(before)[flat].astype(np.int64), np.concatenate(after)[flat].astype(np.int64), np.concatenate(own)[flat])
     hit = masks != 0
     place, masks, which = np.concatenate(at)[flat][hit], masks[hit], which[hit]
@@ -350,7 +351,7 @@ def _removed(data: np.ndarray, lengths: np.ndarray, runs: list[dict]) -> np.ndar
         n = x["n"]
         if not n:
             continue
-        raw = zstandard.ZstdDecompressor().decompress(x["run"], max_output_size=16 * n)
+        raw = _OPEN.decompress(x["run"], max_output_size=16 * n)
         at, mask = np.frombuffer(raw, "<i8", n), np.frombuffer(raw, "<u8", n, 8 * n)
         full = at[mask & FULL != 0]
         doc = np.searchsorted(ends, full, side="right")
