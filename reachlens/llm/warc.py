@@ -28,7 +28,8 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORDS_PER_FILE = 4000
 MEMBER = b"\x1f\x8b\x08"
-START = re.compile(rb"(?:^|(?<=\n))WARC/1\.[01]\r\n|\x1f\x8b\x08")
+#: Anywhere, as a cut record leaves the next one in the middle of a line; what follows must pass all checks.
+START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 #: A header longer than this is taken as damaged.
 MAX_HEADER = 1 << 16
 
