@@ -306,7 +306,7 @@ def suffix_runs(packed: DataFrame, bits: int) -> DataFrame:
             head = np.flatnonzero(~same)
             least = np.minimum.reduceat(own, head)[np.cumsum(~same) - 1]
             done = own > least
-            out = [(1, 0, row["pack"], int(done.sum()), _blob(at[done].astype("<i8"), np.full(int(done.sum()), FULL).astype("<u8")))]
+            out = [(1, row["pack"] % (1 << bits), row["pack"], int(done.sum()), _blob(at[done].astype("<i8"), np.full(int(done.sum()), FULL).astype("<u8")))]
             edges = np.searchsorted(bucket[~done], np.arange((1 << bits) + 1))
             rows, before, after, own, at = (x[~done] for x in (rows, before, after, own, at))
             for b in np.flatnonzero(np.diff(edges)).tolist():
@@ -319,7 +319,10 @@ def suffix_runs(packed: DataFrame, bits: int) -> DataFrame:
 
 
 def merge_runs(group: pd.DataFrame) -> pd.DataFrame:
-    """All runs of a bucket merged; pack, n, run (place, mask) of the strings found."""
+    """All runs of a bucket merged; pack, n, run (place, mask) of the strings found. Settled rows pass through."""
+    settled, group = group.loc[group["kind"] == 1, ["pack", "n", "run"]], group[group["kind"] == 0]
+    if group.empty:
+        return settled
     own, at, before, after, runs = [], [], [], [], []
     for n, blob in zip(group["n"], group["run"], strict=True):
         raw = _OPEN.decompress(blob, max_output_size=int(n) * (19 + WIDTH))
@@ -340,7 +343,7 @@ def merge_runs(group: pd.DataFrame) -> pd.DataFrame:
     hit = masks != 0
     place, masks, which = np.concatenate(at)[flat][hit], masks[hit], which[hit]
     out = [(int(group["pack"].iloc[r]), int((which == r).sum()), _blob(place[which == r].astype("<i8"), masks[which == r].astype("<u8"))) for r in np.unique(which).tolist()]
-    return pd.DataFrame(out, columns=["pack", "n", "run"])
+    return pd.concat([pd.DataFrame(out, columns=["pack", "n", "run"]), settled])
 
 
 def _removed(data: np.ndarray, lengths: np.ndarray, runs: list[dict]) -> np.ndarray:
@@ -375,9 +378,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     prepare(docs.sparkSession)
     packed = stored(packs(docs, id_col, text_col, pack_bytes), "packs")
     found = stored(shared(packed, bucket_bits), "shared-anchors")
-    runs = stored(suffix_runs(packed.join(found, "pack", "left"), bucket_bits), "suffix-runs")
-    merged_runs = runs.filter("kind = 0").groupBy("bucket").applyInPandas(merge_runs, "pack long, n long, run binary")
-    spans = merged_runs.unionByName(runs.filter("kind = 1").select("pack", "n", "run"))
+    runs = suffix_runs(packed.join(found, "pack", "left"), bucket_bits)
+    spans = runs.groupBy("bucket").applyInPandas(merge_runs, "pack long, n long, run binary")
     spans = stored(spans.groupBy("pack").agg(F.collect_list(F.struct("n", "run")).alias("runs")), "repeat-spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
