@@ -92,6 +92,12 @@ def _build_tree(features: list[str], psi: int, seed: int):
     return run
 
 
+def sample_limit(n: int, wanted: int) -> int:
+    """Limit on a 63-bit hash that about ``wanted`` of ``n`` rows stay below;
+    integer arithmetic, so it is exact for any table size."""
+    return min((1 << 63) - 1, (wanted << 63) // max(n, 1))
+
+
 def isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int = 100, psi: int = 256,
                      contamination: float = 0.05, seed: int = 42) -> DataFrame:
     """Isolation-forest score and flag per row.
@@ -107,10 +113,9 @@ def isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int
 
     d = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
     n = d.count()
-    frac = min(1.0, 2.0 * psi / max(n, 1))
-    buckets = 1_000_000
+    limit = sample_limit(n, 2 * psi)
     pick = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                    lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(buckets)) < F.lit(int(frac * buckets)))
+                    lambda t: F.shiftrightunsigned(F.xxhash64(F.col(key), t, F.lit(seed)), 1) < F.lit(limit))
     samples = d.select("*", F.explode(pick).alias("tree_id")) \
         .withColumn("_h", F.xxhash64(F.col(key), F.col("tree_id"), F.lit(seed + 1)))
     schema = T.StructType([T.StructField("tree_id", T.IntegerType()),
@@ -121,7 +126,7 @@ def isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int
                            T.StructField("size", T.ArrayType(T.IntegerType())),
                            T.StructField("psi", T.IntegerType())])
     trees = samples.groupBy("tree_id").applyInPandas(_build_tree(features, psi, seed), schema).collect()
-    forest = [(t["feature"], t["threshold"], t["left"], t["right"], t["size"]) for t in trees]
+    forest = [(t["feature"], t["threshold"], t["left"], t["right"], [_c_factor(s) for s in t["size"]]) for t in trees]
     psi_eff = max((t["psi"] for t in trees), default=1)
     c_psi = _c_factor(psi_eff)
     bc = df.sparkSession.sparkContext.broadcast(forest)
@@ -132,18 +137,18 @@ def isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int
         import pandas as pd
         X = np.column_stack([c.to_numpy(dtype=float) for c in cols])
         total = np.zeros(len(X))
-        for feat, thr, left, right, size in bc.value:
+        for feat, thr, left, right, rest in bc.value:
             node = np.zeros(len(X), dtype=int)
             depth = np.zeros(len(X))
             active = np.ones(len(X), dtype=bool)
             feat_a, thr_a = np.asarray(feat), np.asarray(thr)
-            left_a, right_a, size_a = np.asarray(left), np.asarray(right), np.asarray(size)
+            left_a, right_a, rest_a = np.asarray(left), np.asarray(right), np.asarray(rest, dtype=float)
             while active.any():
                 f = feat_a[node]
                 leaf = f < 0
                 done = active & leaf
                 if done.any():
-                    depth[done] += np.array([_c_factor(s) for s in size_a[node[done]]])
+                    depth[done] += rest_a[node[done]]
                 active &= ~leaf
                 if not active.any():
                     break

@@ -74,14 +74,14 @@ def trending_did(prepost: DataFrame, treated: str = "treated", with_p: bool = Tr
     s = _centered(d, ["x1", "x2", "y"])
     j = means.crossJoin(s)
     det = F.col("S_x1_x1") * F.col("S_x2_x2") - F.col("S_x1_x2") * F.col("S_x1_x2")
-    b1 = (F.col("S_x2_x2") * F.col("S_x1_y") - F.col("S_x1_x2") * F.col("S_x2_y")) / det
-    b2 = (F.col("S_x1_x1") * F.col("S_x2_y") - F.col("S_x1_x2") * F.col("S_x1_y")) / det
+    b1 = F.try_divide(F.col("S_x2_x2") * F.col("S_x1_y") - F.col("S_x1_x2") * F.col("S_x2_y"), det)
+    b2 = F.try_divide(F.col("S_x1_x1") * F.col("S_x2_y") - F.col("S_x1_x2") * F.col("S_x1_y"), det)
     rss = F.col("S_y_y") - b1 * F.col("S_x1_y") - b2 * F.col("S_x2_y")
-    se = F.sqrt(rss / (F.col("n") - 3) * F.col("S_x2_x2") / det)
+    se = F.sqrt(F.try_divide(F.try_divide(rss, F.col("n") - 3) * F.col("S_x2_x2"), det))
     out = j.select(((F.col("tp") - F.col("tq")) - (F.col("cp") - F.col("cq"))).alias("did_estimate"),
                    "treated_count", "control_count", b1.alias("treated_coef"), se.alias("treated_se"),
                    (F.col("n") - 3).alias("_df"))
-    out = out.withColumn("treated_t", F.col("treated_coef") / F.col("treated_se"))
+    out = out.withColumn("treated_t", F.try_divide("treated_coef", "treated_se"))
     if with_p:
         out = out.withColumn("treated_pval", t_pvalue_udf(F.col("treated_t"), F.col("_df").cast("double")))
     return out.drop("_df")
@@ -90,8 +90,9 @@ def trending_did(prepost: DataFrame, treated: str = "treated", with_p: bool = Tr
 # X5 / X12 --------------------------------------------------------------------
 def pooled_t(m1, m2, v1, v2, n1, n2):
     """Equal-variance two-sample t statistic from means, sample variances, counts."""
-    sp2 = ((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)
-    return (m1 - m2) / F.sqrt(sp2 * (1.0 / n1 + 1.0 / n2))
+    sp2 = F.try_divide((n1 - 1) * v1 + (n2 - 1) * v2, n1 + n2 - 2)
+    one = F.lit(1.0)
+    return F.try_divide(m1 - m2, F.sqrt(sp2 * (F.try_divide(one, n1) + F.try_divide(one, n2))))
 
 
 def att_ttest(pairs: DataFrame, treated: str = "treated_views", control: str = "control_views",
@@ -122,7 +123,7 @@ def did_prepost(series: DataFrame, entity: str, period: str, y: str, x: str, cut
         F.count_if(~post).alias("n_pre"), F.count_if(post).alias("n_post"))
     did = (F.col("post_mean") - F.col("pre_mean")) - (F.col("ctrl_post") - F.col("ctrl_pre"))
     out = g.select(entity, "n_pre", "n_post", "pre_mean", "post_mean", "ctrl_pre", "ctrl_post",
-                   did.alias("did_estimate"), (did / F.col("pre_mean") * 100).alias("pct_lift"),
+                   did.alias("did_estimate"), (F.try_divide(did, F.col("pre_mean")) * 100).alias("pct_lift"),
                    pooled_t(F.col("post_mean"), F.col("pre_mean"), F.col("_v1"), F.col("_v0"),
                             F.col("n_post"), F.col("n_pre")).alias("t_statistic"))
     if with_p:
@@ -143,12 +144,12 @@ def pre_post_counterfactual(series: DataFrame, entity: str, period: str, y: str,
         F.regr_slope(y, x).alias("_b"), F.regr_intercept(y, x).alias("_a"), F.regr_count(y, x).alias("n_pre"),
         F.regr_avgx(y, x).alias("_xbar"), F.regr_sxx(y, x).alias("_sxx"), F.regr_syy(y, x).alias("_syy"),
         F.regr_sxy(y, x).alias("_sxy"))
-    fit = fit.withColumn("_s2", (F.col("_syy") - F.col("_b") * F.col("_sxy")) / (F.col("n_pre") - 2))
+    fit = fit.withColumn("_s2", F.try_divide(F.col("_syy") - F.col("_b") * F.col("_sxy"), F.col("n_pre") - 2))
     z = norm_ppf(0.5 + level / 2)
     j = series.where(~pre).join(fit, entity)
     yhat = F.col("_a") + F.col("_b") * F.col(x)
-    half = F.lit(z) * F.sqrt(F.col("_s2") * (1 + 1 / F.col("n_pre")
-                                             + F.pow(F.col(x) - F.col("_xbar"), 2) / F.col("_sxx")))
+    half = F.lit(z) * F.sqrt(F.col("_s2") * (1 + F.try_divide(F.lit(1.0), F.col("n_pre"))
+                                             + F.try_divide(F.pow(F.col(x) - F.col("_xbar"), 2), F.col("_sxx"))))
     j = j.select(entity, period, y, x, "n_pre", yhat.alias("counterfactual"),
                  (yhat - half).alias("lower"), (yhat + half).alias("upper"),
                  (F.col(y) - yhat).alias("effect"))

@@ -45,7 +45,8 @@ def power_grid(df: DataFrame, value: str, segment: str | None = None,
     grid = design_grid(df.sparkSession, mde_pcts, alphas, powers)
     # the grid has len(mde)*len(alpha)*len(power) rows, fixed by the caller
     j = stats.crossJoin(F.broadcast(grid))
-    d = F.col("baseline") * F.col("mde_pct") / F.col("std_estimate")
+    d = F.try_divide(F.col("baseline") * F.col("mde_pct"), F.col("std_estimate"))
+    d = F.when(d != 0, d)  # a constant or zero-mean segment has no design
     n = sample_size_expr(d, F.col("z_alpha"), F.col("z_power")).cast("long")
     j = j.select(*keys, "baseline", "std_estimate", "mde_pct", "alpha", "power",
                  (F.col("baseline") * F.col("mde_pct")).alias("minimum_detectable_effect"),
@@ -84,7 +85,9 @@ def _cells(df: DataFrame, a: str, b: str, y: str) -> DataFrame:
     computed on y centred at its grand mean (a first one-row pass) so the sums
     of squares do not cancel catastrophically on large inputs. Sums of
     squares are invariant to that shift."""
-    d = df.where(F.col(y).isNotNull() & F.col(a).isin(0, 1) & F.col(b).isin(0, 1))
+    known = F.col(a).isin(0, 1) & F.col(b).isin(0, 1)
+    d = df.where(F.col(y).isNotNull() & F.col(a).isNotNull() & F.col(b).isNotNull()) \
+        .where(F.when(known, True).otherwise(F.raise_error(F.lit(f"{a} and {b} must be 0 or 1")).cast("boolean")))
     mean = d.agg(F.avg(F.col(y).cast("double")).alias("_gm"))
     d = d.crossJoin(F.broadcast(mean))
     aggs = []

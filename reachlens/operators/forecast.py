@@ -86,7 +86,7 @@ def fit_holt_winters(y: np.ndarray, steps: int, season: int = SEASON):
     if n < 2 * season:
         last = float(y[-1]) if n else 0.0
         f = np.full(steps, last)
-        return f, 0.8 * f, 1.2 * f
+        return f, f - 0.2 * np.abs(f), f + 0.2 * np.abs(f)
     a, b, g = _HW_GRID[:, 0], _HW_GRID[:, 1], _HW_GRID[:, 2]
     k = len(_HW_GRID)
     level = np.full(k, y[:season].mean())
@@ -105,7 +105,7 @@ def fit_holt_winters(y: np.ndarray, steps: int, season: int = SEASON):
     i = int(np.argmin(sse))
     h = np.arange(1, steps + 1)
     f = level[i] + h * trend[i] + seas[i, (n + h - 1) % season]
-    return f, 0.8 * f, 1.2 * f
+    return f, f - 0.2 * np.abs(f), f + 0.2 * np.abs(f)
 
 
 def fit_holt_winters_block(series: list[np.ndarray], steps: int, season: int = SEASON):
@@ -148,7 +148,7 @@ def fit_holt_winters_block(series: list[np.ndarray], steps: int, season: int = S
     for r, i in enumerate(idx):
         j = best[r]
         f = level[r, j] + h * trend[r, j] + seas[r, j, (lens[r] + h - 1) % season]
-        out[i] = (f, 0.8 * f, 1.2 * f)
+        out[i] = (f, f - 0.2 * np.abs(f), f + 0.2 * np.abs(f))
     return out
 
 
@@ -271,7 +271,7 @@ def forecast_series(series: DataFrame, steps: int = 12, entity: str = "channel_i
 
 # T5: pooled boosted-tree autoregression ---------------------------------------
 def forecast_pooled_gbt(series: DataFrame, steps: int = 12, lookback: int = 8, entity: str = "channel_id",
-                        min_windows: int = 10, max_iter: int = 50, seed: int = 42) -> DataFrame:
+                        min_windows: int = 10, max_iter: int = 200, seed: int = 42) -> DataFrame:
     """One boosted-tree model on standardised lag windows of all series;
     forecasts roll forward one step per DataFrame pass. Series with fewer
     than ``min_windows`` windows get no forecast."""
@@ -298,13 +298,13 @@ def forecast_pooled_gbt(series: DataFrame, steps: int = 12, lookback: int = 8, e
     preds = None
     for h in range(1, steps + 1):
         feats = state.select("*", *[F.col("_win")[i].alias(c) for i, c in enumerate(lag_cols)])
-        p = model.transform(asm.transform(feats)).select(entity, "_mu", "_sd", "_last_week", "_win", "prediction")
+        p = model.transform(asm.transform(feats)).select(entity, "_mu", "_sd", "_last_week", "_win", "prediction").checkpoint()
         step = p.select(entity, F.lit("pooled_gbt").alias("model"), F.lit(h).alias("step"),
                         F.date_add("_last_week", 7 * h).alias("week_end"),
                         (F.col("prediction") * F.col("_sd") + F.col("_mu")).alias("forecast"))
         preds = step if preds is None else preds.unionByName(step)
         state = p.select(entity, "_mu", "_sd", "_last_week",
-                         F.slice(F.concat("_win", F.array("prediction")), 2, lookback).alias("_win")).checkpoint()
+                         F.slice(F.concat("_win", F.array("prediction")), 2, lookback).alias("_win"))
     return preds.select(entity, "model", "step", "week_end", "forecast",
                         F.lit(None).cast("double").alias("lower"), F.lit(None).cast("double").alias("upper"),
                         F.lit(None).cast("double").alias("trend"), F.lit(None).cast("double").alias("seasonal"))
@@ -312,7 +312,7 @@ def forecast_pooled_gbt(series: DataFrame, steps: int = 12, lookback: int = 8, e
 
 # T6 --------------------------------------------------------------------------
 def compare_forecasts(series: DataFrame, steps: int = 8, train_share: float = 0.8, entity: str = "channel_id",
-                      include_pooled: bool = True, max_iter: int = 50) -> DataFrame:
+                      include_pooled: bool = True, max_iter: int = 200) -> DataFrame:
     """Single hold-out comparison: fit on the first floor(n*share) weeks,
     score the next min(steps, n - split) weeks: MAPE on value+1 and RMSE per
     entity and model."""

@@ -28,7 +28,8 @@ def uploads_by_category(channels: DataFrame, category: str = "category",
     med = exact_percentiles(channels, [category], uploads, [0.5], ["median_uploads_per_week"])
     cnt = channels.groupBy(category).agg(F.count(F.lit(1)).alias("channel_count"),
                                          F.sum(size).alias("total_subscribers"))
-    return cnt.join(med, category, "left") \
+    med = med.withColumnRenamed(category, "_category")
+    return cnt.join(med, cnt[category].eqNullSafe(med["_category"]), "left") \
         .select(category, "median_uploads_per_week", "channel_count", "total_subscribers") \
         .orderBy(F.desc("median_uploads_per_week"), category)
 
@@ -148,7 +149,7 @@ def tier_engagement(videos: DataFrame, channels: DataFrame, entity: str = "chann
     med = exact_percentiles(j, ["tier"], "engagement_rate", [0.5], ["median_engagement"])
     spine = videos.sparkSession.createDataFrame(
         [(lab, i) for i, lab in enumerate(C.TIER_LABELS)], "tier string, tier_order int")
-    out = F.broadcast(spine).join(agg, "tier", "left").join(med, "tier", "left")
+    out = spine.join(agg, "tier", "left").join(med, "tier", "left")
     return out.select("tier", "tier_order", "mean_engagement", "median_engagement",
                       F.coalesce("video_count", F.lit(0).cast("long")).alias("video_count")) \
         .orderBy("tier_order")

@@ -96,7 +96,7 @@ def growth_regression(feat: DataFrame, target: str = "growth_rate", exclude: Seq
     vif_df = spark.createDataFrame([("const", 1.0)] + [(c, float(v)) for c, v in zip(cols, vif_vals)],
                                    "feature string, vif double")
 
-    y_std = z.agg(F.stddev_samp("_y")).head()[0] or 1.0
+    y_std = z.agg(F.stddev_pop("_y")).head()[0] or 1.0  # the solver scales by the population deviation
     ridge = LinearRegression(featuresCol="features", labelCol="_y", elasticNetParam=0.0,
                              regParam=ridge_alpha * y_std / n, standardization=False, solver="normal")
     lasso = LinearRegression(featuresCol="features", labelCol="_y", elasticNetParam=1.0,
@@ -202,7 +202,7 @@ def train_video_predictor(feat: DataFrame, max_iter: int = 200, seed: int = 42,
     m = gbt.fit(d.where("is_train"))
     pred = m.transform(d.where(~F.col("is_train")))
     metrics = pred.agg(
-        F.avg(F.abs(F.expm1("log_views") - F.expm1("prediction")) / F.abs(F.expm1("log_views"))).alias("mape"),
+        F.avg(F.try_divide(F.abs(F.expm1("log_views") - F.expm1("prediction")), F.abs(F.expm1("log_views")))).alias("mape"),
         F.sqrt(F.avg(F.pow(F.col("log_views") - F.col("prediction"), 2))).alias("rmse"),
         F.count(F.lit(1)).alias("n_test"))
     imp = feat.sparkSession.createDataFrame(
@@ -262,7 +262,7 @@ def train_churn_model(feat: DataFrame, max_iter: int = 200, seed: int = 42, excl
                            elasticNetParam=0.0, standardization=False, maxIter=500)]).fit(train)
     gbt = GBTClassifier(featuresCol="raw", labelCol="label", maxIter=max_iter, stepSize=0.05, maxDepth=4,
                         seed=seed).fit(train)
-    ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability", metricName="areaUnderROC")
+    ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability", metricName="areaUnderROC", numBins=0)
     lr_auc = ev.evaluate(lr.transform(test))
     gbt_pred = gbt.transform(test)
     gbt_auc = ev.evaluate(gbt_pred)
@@ -300,7 +300,8 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
 
 def at_risk_creators(scores: DataFrame, channels: DataFrame, top: int = 20, key: str = "channel_id") -> DataFrame:
     """Top-N creators by churn probability with their attributes."""
-    j = scores.join(channels.select(key, "channel_name", "category", "subscribers"), key, "left")
+    shown = [c for c in ("channel_name", "category", "country", "subscribers") if c in channels.columns]
+    j = scores.join(channels.select(key, *shown), key, "left")
     return j.orderBy(F.desc("churn_probability"), key).limit(top)
 
 

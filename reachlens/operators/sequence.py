@@ -31,6 +31,8 @@ from reachlens.session import ensure_checkpoint_dir
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 # Largest candidate window (rows per group and quantile) ranked with a plain window function
 WINDOW_RANK_LIMIT = 1_000_000
+# Statistics by group are broadcast up to so many groups (a few numbers each).
+BROADCAST_GROUPS = 10_000
 
 
 def _as_list(cols) -> list[str]:
@@ -318,23 +320,28 @@ def exact_percentiles(df: DataFrame, group, value: str, qs: Sequence[float],
        failing) is recomputed by ranking all of its values, so the result is
        always exact.
 
-    NULL values and NULL group keys are ignored. One output row per group.
+    NULL values are ignored; rows whose group key is NULL form a group. One
+    output row per group.
     """
     group = _as_list(group)
     names = list(names) if names else [f"p{int(round(q * 100))}" for q in qs]
-    d = df.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    for g in group:
-        d = d.where(F.col(g).isNotNull())
+    # keys travel in structs, which join and group NULL with NULL
+    d = df.select(*[F.struct(F.col(g).alias("key")).alias(g) for g in group],
+                  F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     margin = 3.0 / accuracy
     lo_p = [max(0.0, q - margin) for q in qs]
     hi_p = [min(1.0, q + margin) for q in qs]
     k = len(qs)
     sketch = [F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", lo_p + hi_p, accuracy).alias("_b")]
     stats = d.groupBy(*group).agg(*sketch) if group else d.agg(*sketch)
+    # stored: both uses below must see the same windows, and a sketch depends on the order of merging
     stats = stats.select(*group, "_n", *[F.col("_b")[i].alias(f"_lo{i}") for i in range(k)],
-                         *[F.col("_b")[k + i].alias(f"_hi{i}") for i in range(k)])
-    # one row per group (few groups: categories, tiers, windows, or one)
-    j = d.join(stats, group) if group else d.crossJoin(F.broadcast(stats))
+                         *[F.col("_b")[k + i].alias(f"_hi{i}") for i in range(k)]).checkpoint()
+    # one row per group; broadcast if the count allows, so that rows are not shuffled on a few group values
+    if group:
+        j = d.join(F.broadcast(stats) if stats.count() <= BROADCAST_GROUPS else stats, group)
+    else:
+        j = d.crossJoin(F.broadcast(stats))
     inside = [(F.col("_v") >= F.col(f"_lo{i}")) & (F.col("_v") <= F.col(f"_hi{i}")) for i in range(k)]
     counts = (j.groupBy(*group, "_n") if group else j.groupBy("_n")).agg(
         *[F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in range(k)],
@@ -374,10 +381,10 @@ def exact_percentiles(df: DataFrame, group, value: str, qs: Sequence[float],
                   F.max(F.col(f"_fr{i}")).alias(name + "_fr")]
     picked = s.where(F.col("_covered") & pick)
     fast = _interpolate(picked.groupBy(*group).agg(*exprs) if group else picked.agg(*exprs), group, names)
-    if not probe["_missing"]:
-        return fast
-    if not group:
+    if probe["_missing"] and not group:
         return _percentiles_by_full_rank(d, group, qs, names)
-    fast = fast.join(counts.where("_covered").select(*group), group, "left_semi")
-    missing = counts.where(~F.col("_covered")).select(*group)
-    return fast.unionByName(_percentiles_by_full_rank(d.join(missing, group, "left_semi"), group, qs, names))
+    if probe["_missing"]:
+        fast = fast.join(counts.where("_covered").select(*group), group, "left_semi")
+        missing = counts.where(~F.col("_covered")).select(*group)
+        fast = fast.unionByName(_percentiles_by_full_rank(d.join(missing, group, "left_semi"), group, qs, names))
+    return fast.select(*[F.col(f"{g}.key").alias(g) for g in group], *[c for c in fast.columns if c not in group])

@@ -34,12 +34,12 @@ def t4(spark, sf_dir):
 
 @register("t5_pooled_gbt_forecast")
 def t5(spark, sf_dir):
-    return FC.forecast_pooled_gbt(_series(spark, sf_dir), STEPS, max_iter=30)
+    return FC.forecast_pooled_gbt(_series(spark, sf_dir), STEPS)
 
 
 @register("t6_forecast_comparison")
 def t6(spark, sf_dir):
-    return FC.compare_forecasts(_series(spark, sf_dir), HOLDOUT_STEPS, max_iter=30)
+    return FC.compare_forecasts(_series(spark, sf_dir), HOLDOUT_STEPS)
 
 
 @register("m15_isolation_forest")

@@ -16,8 +16,8 @@ from reachlens.plans.oracle import with_adapter
 from reachlens.plans.registry import register
 from reachlens.sources import adapters as A
 
-# Boosted-tree rounds used by the registered queries (the operators default to 200)
-GBT_ROUNDS = 40
+# Boosted-tree rounds of the registered queries
+GBT_ROUNDS = 200
 
 _FITS: dict = {}
 
@@ -80,7 +80,7 @@ def _cluster_feat(spark, sf_dir):
 
 @register("m7_segments")
 def m7(spark, sf_dir):
-    seg, _ = MO.segment_creators(_cluster_feat(spark, sf_dir), k=5, n_init=3)
+    seg, _ = MO.segment_creators(_cluster_feat(spark, sf_dir), k=5, n_init=10)
     return seg.select("channel_id", "cluster", "segment")
 
 

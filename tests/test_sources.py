@@ -56,11 +56,11 @@ def test_trending_loader(spark, tmp_dir):
 
 
 def test_analytics_loader_row_ids(spark, tmp_dir):
-    df = S.load_video_analytics(spark, _write(tmp_dir, "an.csv", ANALYTICS_CSV)).orderBy("video_id").collect()
+    df = S.load_video_analytics(spark, _write(tmp_dir, "an.csv", ANALYTICS_CSV), "creator_1").orderBy("video_id").collect()
     assert [x["video_id"] for x in df] == ["0", "1", "2"]
     assert [x["title"] for x in df] == ["Intro", "Broken", "Third"]
     assert df[1]["publish_time"] is None
-    assert {x["channel_id"] for x in df} == {S.ANALYTICS_CHANNEL}
+    assert {x["channel_id"] for x in df} == {"creator_1"}
 
 
 def test_ingest_is_idempotent(spark, tmp_dir):
