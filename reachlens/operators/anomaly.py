@@ -22,7 +22,7 @@ def z_anomalies(videos: DataFrame, entity: str = "channel_id", measure: str = "v
     v = videos.withColumn("engagement_rate", C.engagement_rate_or_zero(views=measure))
     stats = v.groupBy(entity).agg(F.avg(measure).alias("mean_views"), F.stddev_samp(measure).alias("std_views"),
                                   F.avg("engagement_rate").alias("mean_eng"),
-                                  F.stddev_samp("engagement_rate").alias("std_eng"))
+                                  F.stddev_samp("engagement_rate").alias("std_eng")).checkpoint()  # stored: the join can split a hot entity
     j = v.join(stats, entity, "left")
     zv = C.zscore(measure, "mean_views", "std_views")
     ze = C.zscore("engagement_rate", "mean_eng", "std_eng")

@@ -45,7 +45,7 @@ def early_volume(videos: DataFrame, windows: Sequence[int] = AHA_DAY_WINDOWS, en
                  ts: str = "publish_time", measure: str = "views") -> DataFrame:
     """Per entity: sum of ``measure`` within d days of the first upload
     (inclusive) for each window d, plus whole active days."""
-    span = videos.groupBy(entity).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    span = videos.groupBy(entity).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last")).checkpoint()  # stored: the join can split a hot entity
     j = videos.select(entity, ts, measure).join(span, entity)
     aggs = [F.sum(F.when(F.col(ts) <= C.plus_days("_first", d), F.col(measure)).otherwise(F.lit(0)))
             .alias(f"views_in_{d}d") for d in windows]
@@ -99,7 +99,7 @@ def creator_retention_view(videos: DataFrame, thresholds: Sequence[int] = (30, 9
     uploads within ``first_window_days`` of the first (inclusive), in one
     pass over the uploads after the first-upload join."""
     span = videos.groupBy(entity).agg(F.min(ts).alias("first_video_date"),
-                                      F.max(ts).alias("last_video_date"))
+                                      F.max(ts).alias("last_video_date")).checkpoint()  # as above
     j = videos.select(entity, ts).join(span, entity)
     g = j.groupBy(entity, "first_video_date", "last_video_date").agg(
         F.count_if(F.col(ts).between(F.col("first_video_date"),

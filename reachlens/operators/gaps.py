@@ -34,6 +34,8 @@ def with_gaps(videos: DataFrame, entity: str = "channel_id", ts: str = "publish_
 
 
 def with_group_mean(df: DataFrame, entity: str, value: str, name: str) -> DataFrame:
-    """AVG(value) OVER (PARTITION BY entity) as a pre-aggregate + join."""
-    m = df.groupBy(entity).agg(F.avg(value).alias(name))
+    """AVG(value) OVER (PARTITION BY entity) as a pre-aggregate + join. The
+    aggregate is stored, so both sides of the join are plain shuffles and a
+    hot entity's partition is split."""
+    m = df.groupBy(entity).agg(F.avg(value).alias(name)).checkpoint()
     return df.join(m, entity)

@@ -101,7 +101,7 @@ def uploads_in_first_days(videos: DataFrame, window_days: int = 30, entity: str
                           ts: str = "publish_time") -> DataFrame:
     """Per entity: first upload and the number of uploads within
     ``window_days`` of it (inclusive)."""
-    first = videos.groupBy(entity).agg(F.min(ts).alias("first_upload"))
+    first = videos.groupBy(entity).agg(F.min(ts).alias("first_upload")).checkpoint()  # stored: the join can split a hot entity
     j = videos.select(entity, ts).join(first, entity)
     return j.groupBy(entity, "first_upload").agg(
         F.count_if(F.col(ts) <= C.plus_days("first_upload", window_days)).alias("early_uploads"))

@@ -252,13 +252,14 @@ def global_rank(df: DataFrame, order, cums: Sequence[str] = (), rank_col: str =
 
 
 def with_group_count(df: DataFrame, group, count_col: str = "n") -> DataFrame:
-    """Attach the row count of each group (pre-aggregated, then joined back;
-    AQE splits a skewed join partition). No group -> one-row broadcast."""
+    """Attach the row count of each group (pre-aggregated, stored, then joined
+    back, so that a skewed join partition is split). No group -> one-row
+    broadcast."""
     group = _as_list(group)
     if not group:
         n = df.agg(F.count(F.lit(1)).alias(count_col))
         return df.crossJoin(F.broadcast(n))
-    n = df.groupBy(*group).agg(F.count(F.lit(1)).alias(count_col))
+    n = df.groupBy(*group).agg(F.count(F.lit(1)).alias(count_col)).checkpoint()
     return df.join(n, group)
 
 

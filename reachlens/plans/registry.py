@@ -27,6 +27,7 @@ def prepare(spark: SparkSession) -> None:
     """Session settings every query relies on: UTC wall clock and a
     checkpoint folder (the cluster's ``spark.checkpoint.dir`` when set)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
 

@@ -72,3 +72,30 @@ def test_ridge_matches_closed_form(spark):
     sd = df.agg(F.stddev_pop("_y")).first()[0]
     got = LinearRegression(labelCol="_y", regParam=alpha * sd / 60, standardization=False, solver="normal").fit(df).coefficients
     assert np.allclose(got, want, atol=1e-9)
+
+
+@pytest.mark.parametrize("name", ["breakout", "first_days", "early", "retention", "anomalies"])
+def test_hot_entity_is_split(spark, name):
+    """Two thirds of the rows belong to one entity; its join partition is split."""
+    from pyspark.sql import functions as F
+
+    from reachlens.operators import cohorts
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        v = spark.range(0, 120_000, 1, 8).select(
+            F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id")).alias("channel_id"), F.col("id").alias("video_id"), F.hash("id").cast("long").alias("views"),
+            F.lit(1).cast("long").alias("likes"), F.lit(1).cast("long").alias("comment_count"),
+            F.timestamp_seconds(F.col("id") * 977).alias("publish_time"))
+        out = {"breakout": kpi.breakout_ratio, "first_days": kpi.uploads_in_first_days, "early": cohorts.early_volume,
+               "retention": cohorts.creator_retention_view, "anomalies": anomaly.z_anomalies}[name](v)
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
