@@ -20,6 +20,7 @@ comparisons are of bytes; hashes only choose anchors and buckets.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,7 @@ LEFT = WINDOWS - 1
 WIDTH = LENGTH + LEFT
 #: Bytes of text that are worked on at a time; a longer document is a pack of its own.
 PACK_BYTES = 2 << 20
+#: At up to 512 packs; more with more.
 BUCKET_BITS = 9
 #: Place holder for bytes beyond a document's ends; not in any UTF-8 text.
 OUTSIDE = 0xFF
@@ -377,8 +379,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     prepare(docs.sparkSession)
     packed = stored(packs(docs, id_col, text_col, pack_bytes), "packs")
-    found = stored(shared(packed, bucket_bits), "shared-anchors")
-    runs = suffix_runs(packed.join(found, "pack", "left"), bucket_bits)
+    # four times the packs give twice the buckets, and runs twice as short
+    bits = bucket_bits + max(0, math.ceil(math.log2(max(packed.count(), 1) / 512) / 2))
+    found = stored(shared(packed, bits), "shared-anchors")
+    runs = suffix_runs(packed.join(found, "pack", "left"), bits)
     spans = runs.groupBy("bucket").applyInPandas(merge_runs, "pack long, n long, run binary")
     spans = stored(spans.groupBy("pack").agg(F.collect_list(F.struct("n", "run")).alias("runs")), "repeat-spans")
 
