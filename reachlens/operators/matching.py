@@ -9,11 +9,13 @@ round is a small number of distributed jobs:
    order and tells every treated row how many controls lie below it; treated
    rows with the same count form a *run* sitting between two neighbouring
    controls;
-2. inside a run of m rows, the i-th row from the bottom claims the i-th
-   control below the run and the i-th from the top the i-th control above
-   (the lower half goes down, the upper half goes up; a run of one takes the
-   nearer neighbour; a missing side falls back to the other) - claims are
-   equi-joins on the control number, so no pairs are enumerated;
+2. inside a run of m rows, the i-th row from the bottom claims the nearer of
+   the i-th control below the run and the (m - i + 1)-th control above it
+   (a missing side falls back to the other). Going up the run the distance
+   down grows and the distance up shrinks, so the lower rows go down and the
+   upper rows go up, no control is claimed twice within a run, and the split
+   has the least total distance. Claims are equi-joins on the control number,
+   so no pairs are enumerated;
 3. every claimed control accepts its closest claimant (ties: smaller key);
 4. accepted pairs leave both pools, which are checkpointed, and the next round
    starts with the rejected rows.
@@ -45,16 +47,14 @@ def _round(t_pool: DataFrame, c_pool: DataFrame) -> DataFrame:
     tr = tr.join(runs, "_run")
     i = F.col("_ct") - F.col("_t0") + 1
     j = F.col("_m") - i + 1
-    tr = tr.withColumn("_i", i).withColumn("_L", F.col("_run") - i + 1).withColumn("_R", F.col("_run") + j)
+    tr = tr.withColumn("_L", F.col("_run") - i + 1).withColumn("_R", F.col("_run") + j)
     tr = tr.join(ctl.select(F.col("_rank").alias("_L"), F.col("_cid").alias("lid"), F.col("_cp").alias("lp")),
                  "_L", "left") \
         .join(ctl.select(F.col("_rank").alias("_R"), F.col("_cid").alias("rid"), F.col("_cp").alias("rp")),
               "_R", "left")
     dl = F.col("_p") - F.col("lp")
     dr = F.col("rp") - F.col("_p")
-    prefer_left = F.when(F.col("_m") == 1, F.col("rid").isNull() | (F.col("lid").isNotNull() & (dl <= dr))) \
-        .otherwise(F.col("_i") <= F.col("_m") - F.col("_i") + 1)
-    use_left = F.col("lid").isNotNull() & (prefer_left | F.col("rid").isNull())
+    use_left = F.col("lid").isNotNull() & (F.col("rid").isNull() | (dl <= dr))
     claims = tr.select(F.col("_id").alias("t"), F.col("_p").alias("pt"),
                        F.when(use_left, F.col("lid")).otherwise(F.col("rid")).alias("c"),
                        F.when(use_left, F.col("lp")).otherwise(F.col("rp")).alias("pc")) \

@@ -20,7 +20,6 @@ from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.stat import Correlation
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,9 +45,9 @@ def hash_split(df: DataFrame, key: str, seed: int = 42, train_pct: int = 80, col
     return df.withColumn(col, F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < train_pct)
 
 
-def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
-    """(x - mean) / population std for each column (std 0 -> 0)."""
-    stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
+def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "", fit: DataFrame | None = None) -> DataFrame:
+    """(x - mean) / population std for each column (std 0 -> 0), of ``fit`` if given, else of ``df``."""
+    stats = (df if fit is None else fit).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
     j = df.crossJoin(F.broadcast(stats))
     for c in cols:
         z = F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).otherwise(F.lit(0.0))
@@ -107,15 +106,21 @@ def growth_regression(feat: DataFrame, target: str = "growth_rate", exclude: Seq
     surviving = lasso_df.where(F.col("coef") != 0).orderBy(F.abs("coef").desc())
 
     # contiguous folds in key order, as an unshuffled k-fold split would cut them
-    r = global_rank(z, [order_key], rank_col="_r")
+    r = global_rank(d, [order_key], rank_col="_r")
     r = with_group_count(r, [], "_n").withColumn("fold", F.floor((F.col("_r") - 1) * folds / F.col("_n")).cast("int"))
+    r = r.checkpoint()
     ev = RegressionEvaluator(labelCol="_y", metricName="r2")
-    cv_rows = []
-    for name, est in (("ridge", ridge), ("lasso", lasso)):
-        cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                            foldCol="fold", numFolds=folds)
-        cv_rows.append((name, float(cv.fit(r).avgMetrics[0])))
-    cv_df = spark.createDataFrame(cv_rows, "model string, cv_r2 double")
+    scores: dict[str, list[float]] = {"ridge": [], "lasso": []}
+    for k in range(folds):
+        train = r.where(F.col("fold") != k)
+        # scaled by the training part alone; its size sets the ridge penalty
+        scaled = _assemble(standardize(r, cols, fit=train), cols).checkpoint()
+        train, test = scaled.where(F.col("fold") != k), scaled.where(F.col("fold") == k)
+        m, dev = train.agg(F.count(F.lit(1)), F.stddev_pop("_y")).head()
+        fold_ridge = ridge.copy({ridge.regParam: ridge_alpha * (dev or 1.0) / m})
+        for name, est in (("ridge", fold_ridge), ("lasso", lasso)):
+            scores[name].append(ev.evaluate(est.fit(train).transform(test)))
+    cv_df = spark.createDataFrame([(name, float(np.mean(s))) for name, s in scores.items()], "model string, cv_r2 double")
     return {"ols": ols_df, "vif": vif_df, "ridge": ridge_df, "lasso": lasso_df,
             "lasso_surviving": surviving, "cv": cv_df}
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
 
-from reachlens.operators import anomaly, causal, experiments, forecast, kpi
+from reachlens.operators import anomaly, causal, experiments, forecast, kpi, matching, models
 from reachlens.sources import files
 
 
@@ -74,6 +74,33 @@ def test_ridge_matches_closed_form(spark):
     assert np.allclose(got, want, atol=1e-9)
 
 
+def test_cross_validation_scales_within_folds(spark):
+    """Ridge R2 by fold, against the closed form fitted on the other folds alone."""
+    rng = np.random.default_rng(5)
+    n, folds = 53, 5
+    x = rng.normal(size=(n, 2)) * [3.0, 0.5] + np.arange(n)[:, None] / 10
+    y = x @ [0.4, -1.5] + rng.normal(size=n)
+    fold = np.arange(n) * folds // n
+    want = []
+    for k in range(folds):
+        a, b = x[fold != k], x[fold == k]
+        z, t = (a - a.mean(0)) / a.std(0), (b - a.mean(0)) / a.std(0)
+        m = y[fold != k].mean()
+        w = np.linalg.solve(z.T @ z + np.eye(2), z.T @ (y[fold != k] - m))
+        own = y[fold == k]
+        want.append(1 - ((own - m - t @ w) ** 2).sum() / ((own - own.mean()) ** 2).sum())
+    df = spark.createDataFrame([(i, float(u), float(v), float(w)) for i, ((u, v), w) in enumerate(zip(x, y))],
+                               "channel_id long, a double, b double, growth_rate double")
+    got = {r["model"]: r["cv_r2"] for r in models.growth_regression(df)["cv"].collect()}
+    assert got["ridge"] == pytest.approx(np.mean(want), abs=1e-6)
+
+
+def test_rows_of_a_run_are_matched_by_distance(spark):
+    t = spark.createDataFrame([(1, 0.50), (2, 0.51)], "channel_id long, propensity double")
+    c = spark.createDataFrame([(10, 0.10), (11, 0.52), (12, 0.53)], "channel_id long, propensity double")
+    assert {r[0]: r[1] for r in matching.match_nearest(t, c).collect()} == {1: 12, 2: 11}
+
+
 @pytest.mark.parametrize("name", ["breakout", "first_days", "early", "retention", "anomalies"])
 def test_hot_entity_is_split(spark, name):
     """Two thirds of the rows belong to one entity; its join partition is split."""
