@@ -23,8 +23,26 @@ from .common import prepare, stored
 
 CAPACITY = 2048
 END_ID = 0
-#: Words whose ids a task remembers; more are looked up anew.
-MEMORY = 400_000
+#: Words, and parts of words, whose ids a task remembers; more are looked up anew.
+MEMORY = 500_000
+#: Signs that stand after words; apostrophes and special tokens' signs are not among them.
+TAIL = ".,!?;:&$%#*"
+#: Letters below it stay letters in NFC and lower case; some above end in a mark then.
+PLAIN_END = "\u0130"
+
+
+def halves(word: str) -> tuple[str, str]:
+    """A word's stem and closing signs, which have their ids each for itself.
+
+    The tokeniser always cuts between a plain letter or digit and one of TAIL,
+    and lower-cases; only a plain word is lower-cased here, since special tokens
+    are case-sensitive.
+    """
+    stem = word.rstrip(TAIL)
+    if not (stem[-1:].isalnum() and stem[-1] < PLAIN_END):
+        return word, ""
+    tail = word[len(stem):]
+    return (stem.lower() if stem.isascii() and stem.isalnum() else stem), tail
 
 
 class WordIds(dict):
@@ -37,22 +55,30 @@ class WordIds(dict):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__({"": b""})
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.parts: dict[str, bytes] = {}
 
     def learn(self, texts: list[list[str]]) -> None:
-        new = list(set().union(*texts).difference(self.keys()))
+        seen = set().union(*texts)
+        new = [w for w in seen if w not in self]
         if len(self) + len(new) > MEMORY:
             self.clear()
-            self[""] = b""
-            new = [w for w in set().union(*texts) if w]
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            new = list(seen)
+        cut = [halves(w) for w in new]
+        parts = {x for pair in cut for x in pair}
+        need = [x for x in parts if x not in self.parts]
+        if len(self.parts) + len(need) > MEMORY:
+            self.parts.clear()
+            need = list(parts)
+        for i in range(0, len(need), 4096):
+            some = need[i:i + 4096]
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
-            at = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(part) + 1))
+            at = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some) + 1))
             raw = ids.tobytes()
-            self.update((w, raw[4 * a:4 * b]) for w, a, b in zip(part, at[:-1].tolist(), at[1:].tolist(), strict=True))
+            self.parts.update((x, raw[4 * a:4 * b]) for x, a, b in zip(some, at[:-1].tolist(), at[1:].tolist(), strict=True))
+        self.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in zip(new, cut, strict=True))
 
     def encode(self, parts: list[str]) -> bytes:
         return b"".join(map(self.__getitem__, parts))

@@ -153,6 +153,21 @@ def test_pack(spark, tokenizer):
     assert packing.pack_documents(docs(spark, []), queries.tokenizer_path()).count() == 0
 
 
+def test_words_have_the_ids_of_whole_texts(tokenizer):
+    """Stems and closing signs are remembered apart; texts join them again."""
+    known = packing.WordIds(queries.tokenizer_path())
+    odd = ["<|ENDOFTEXT|>", "x,<|endoftext|>.", "<|endoftext|>!", "ΑΣ.", "İ!", "Ⅷ;", "①:", "a).", "don't.", "'s,", "IT'S!?", "...", "ß&&&", "e\u0301.", "\u0301.", "٣!", "日本,", "A.b.", "x\t.y.", "क़!", "ﬁ.", "ſ;", "\u2028.", "K\u212a."]
+    rng = random.Random(5)
+    signs = "aZé'.,!&$<|>)9\u0301 ß"
+    texts = odd + [" ".join(odd)] + ["".join(rng.choices(signs, k=rng.randint(1, 12))) for _ in range(3000)]
+    for low in range(0, len(texts), 500):
+        parts = [t.replace("\n", " ").split(" ") for t in texts[low:low + 500]]
+        known.learn(parts)
+        for t, p in zip(texts[low:low + 500], parts, strict=True):
+            want = tokenizer.encode(t, add_special_tokens=False).ids
+            assert known.encode(p) == b"".join(x.to_bytes(4, "little") for x in want), t
+
+
 def test_fullest_is_the_best_sum():
     rng = random.Random(4)
     for _ in range(200):
