@@ -10,6 +10,7 @@ pieces are numbered within their length in parallel and look up their place.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,25 +25,28 @@ from .common import prepare, stored
 CAPACITY = 2048
 END_ID = 0
 #: Words, and parts of words, whose ids a task remembers; more are looked up anew.
-MEMORY = 500_000
+#: Words are put together from parts at little cost, parts are encoded.
+WORDS, PARTS = 400_000, 1_000_000
 #: Signs that stand after words; apostrophes and special tokens' signs are not among them.
 TAIL = ".,!?;:&$%#*"
 #: Letters below it stay letters in NFC and lower case; some above end in a mark then.
 PLAIN_END = "\u0130"
+#: Lower-case letters only, which the tokeniser neither changes nor cuts.
+PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
 
 
 def halves(word: str) -> tuple[str, str]:
     """A word's stem and closing signs, which have their ids each for itself.
 
     The tokeniser always cuts between a plain letter or digit and one of TAIL,
-    and lower-cases; only a plain word is lower-cased here, since special tokens
-    are case-sensitive.
+    and lower-cases; only what is PLAIN then is lower-cased here, since special
+    tokens are case-sensitive.
     """
     stem = word.rstrip(TAIL)
     if not (stem[-1:].isalnum() and stem[-1] < PLAIN_END):
         return word, ""
-    tail = word[len(stem):]
-    return (stem.lower() if stem.isascii() and stem.isalnum() else stem), tail
+    low = stem.lower()
+    return (low if PLAIN(low) else stem), word[len(stem):]
 
 
 class WordIds(dict):
@@ -54,31 +58,38 @@ class WordIds(dict):
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
         self.parts: dict[str, bytes] = {}
 
     def learn(self, texts: list[list[str]]) -> None:
         seen = set().union(*texts)
         new = [w for w in seen if w not in self]
-        if len(self) + len(new) > MEMORY:
+        if len(self) + len(new) > WORDS:
             self.clear()
             new = list(seen)
         cut = [halves(w) for w in new]
         parts = {x for pair in cut for x in pair}
         need = [x for x in parts if x not in self.parts]
-        if len(self.parts) + len(need) > MEMORY:
+        if len(self.parts) + len(need) > PARTS:
             self.parts.clear()
             need = list(parts)
-        for i in range(0, len(need), 4096):
-            some = need[i:i + 4096]
-            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+        self._encode(self.plain, [x for x in need if PLAIN(x)])
+        self._encode(self.tokenizer, [x for x in need if not PLAIN(x)])
+        self.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in zip(new, cut, strict=True))
+
+    def _encode(self, tokenizer, parts: list[str]) -> None:
+        for i in range(0, len(parts), 4096):
+            some = parts[i:i + 4096]
+            found = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
             at = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some) + 1))
             raw = ids.tobytes()
             self.parts.update((x, raw[4 * a:4 * b]) for x, a, b in zip(some, at[:-1].tolist(), at[1:].tolist(), strict=True))
-        self.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in zip(new, cut, strict=True))
 
     def encode(self, parts: list[str]) -> bytes:
         return b"".join(map(self.__getitem__, parts))
