@@ -26,7 +26,9 @@ CAPACITY = 2048
 END_ID = 0
 #: Words, and parts of words, whose ids a task remembers; more are looked up anew.
 #: Words are put together from parts at little cost, parts are encoded.
-WORDS, PARTS = 400_000, 1_000_000
+WORDS, PARTS = 400_000, 600_000
+#: Texts sent to a Python worker at once; whole partitions of long texts would fill its memory.
+BATCH_ROWS = 512
 #: Signs that stand after words; apostrophes and special tokens' signs are not among them.
 TAIL = ".,!?;:&$%#*"
 #: Letters below it stay letters in NFC and lower case; some above end in a mark then.
@@ -46,7 +48,7 @@ def halves(word: str) -> tuple[str, str]:
     if not (stem[-1:].isalnum() and stem[-1] < PLAIN_END):
         return word, ""
     low = stem.lower()
-    return (low if PLAIN(low) else stem), word[len(stem):]
+    return (low if low != stem and PLAIN(low) else stem), word[len(stem):]
 
 
 class WordIds(dict):
@@ -189,7 +191,13 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     pieces it has, meets in one task. Lengths must be 1 to ``capacity``.
     """
     columns = cut.columns
-    rows = stored(cut.withColumn("slot", F.spark_partition_id()), "pieces")
+    conf, size = cut.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = conf.get(size)
+    conf.set(size, BATCH_ROWS)
+    try:
+        rows = stored(cut.withColumn("slot", F.spark_partition_id()), "pieces")
+    finally:
+        conf.set(size, usual)
     cells = stored(rows.groupBy("length", "slot").agg(F.count("*").alias("n")), "piece-counts")
     before = Window.partitionBy("length").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     ahead = cells.select("length", "slot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
