@@ -30,8 +30,6 @@ RECORDS_PER_FILE = 4000
 MEMBER = b"\x1f\x8b\x08"
 #: Anywhere, as a cut record leaves the next one in the middle of a line; what follows must pass all checks.
 START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
-#: A header longer than this is taken as damaged.
-MAX_HEADER = 1 << 16
 
 
 def base32_sha1(data: Column) -> Column:
@@ -86,19 +84,18 @@ def _plain(data: bytes, at: int) -> tuple[int, dict, bytes] | None:
     """(end, header, payload) of the record at ``at``, or None if a check fails."""
     if not (m := START.match(data, at)) or data[at] == 0x1F:
         return None
-    stop = data.find(b"\r\n\r\n", at, at + MAX_HEADER)
-    if stop < 0:
-        return None
-    header = {}
-    for text in data[m.end():stop].split(b"\r\n"):
-        name, colon, value = text.partition(b":")
+    header, low = {}, m.end()
+    # headers may be of any length, as urls are; a line without a colon ends what is none
+    while (stop := data.find(b"\r\n", low)) != low:
+        name, colon, value = data[low:max(stop, low)].partition(b":")
         if not colon:
             return None
         header[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        low = stop + 2
     size = header.get("content-length", "")
     if not size.isdecimal():
         return None
-    low, end = stop + 4, stop + 4 + int(size)
+    low, end = stop + 2, stop + 2 + int(size)
     if data[end:end + 4] != b"\r\n\r\n":
         return None
     block = data[low:end]
@@ -190,15 +187,17 @@ def round_trip(pages: DataFrame, path: str | None = None, **options) -> DataFram
 
     A revisit's size and digest are those of the response that it refers to.
     A null html is an empty payload; a null url or id leaves its line out. An
-    empty table gives no rows.
+    empty table gives no rows; a gap in what was just written is an error.
     """
     spark = prepare(pages.sparkSession)
     path = path or f"{ensure_checkpoint_dir(spark)}/warc/{uuid.uuid4().hex}"
     write_warc(pages, path, **options)
     number = lambda c: F.regexp_extract(c, "^<urn:page:(-?\\d+)>$", 1).try_cast("bigint")
-    found = stored(read_warc(spark, path, with_payload=False).filter("not gap").select(
-        number(F.col("record_id")).alias("page_id"), F.col("type").alias("record_type"), number(F.col("refers_to")).alias("refers_to"),
+    found = stored(read_warc(spark, path, with_payload=False).select(
+        "archive", "start", "gap", number(F.col("record_id")).alias("page_id"), F.col("type").alias("record_type"), number(F.col("refers_to")).alias("refers_to"),
         "payload_bytes", "payload_digest", F.regexp_replace("digest", "^sha1:", "").alias("said")), "warc-records")
+    if lost := found.filter("gap").select("archive", "start").first():
+        raise ValueError(f"{lost.archive} cannot be read back from byte {lost.start}")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     responses = found.filter("record_type = 'response'").select(*columns)
     revisits = found.filter("record_type = 'revisit'").select("page_id", "record_type", "refers_to", F.col("said").alias("payload_digest"))

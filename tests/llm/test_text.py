@@ -198,6 +198,21 @@ def test_warc(spark, tmp_path):
     assert warc.round_trip(pages(spark, []), str(tmp_path / "e")).count() == 0
 
 
+def test_warc_long_url(spark, tmp_path):
+    """A response whose url is longer than any header bound keeps its row and those of its revisits."""
+    rows = [(9, "data:" + "u" * 200_000, "same")] + [(i, "u", "same") for i in range(5)]
+    got = sorted(tuple(r) for r in warc.round_trip(pages(spark, rows), str(tmp_path / "w")).collect())
+    assert got == [(i, 4, warc.sha1_digest(b"same"), "response" if i == 9 else "revisit", None if i == 9 else 9) for i in (0, 1, 2, 3, 4, 9)]
+    assert {r.url for r in warc.read_warc(spark, str(tmp_path / "w")).collect()} == {"data:" + "u" * 200_000, "u"}
+
+
+def test_salvage_long_header():
+    """Long headers are read after damage too; an unended one is a gap."""
+    long = record(1).replace(b"Content-Length", b"X: " + b"x" * 100_000 + b"\r\nContent-Length")
+    assert [bool(h) for *_, h, _ in warc.salvage(record(0)[:-5] + long + record(2))] == [False, True, True]
+    assert [bool(h) for *_, h, _ in warc.salvage(b"WARC/1.1\r\nX: x")] == [False]
+
+
 def record(n, body=b"hello", digest=True):
     block = body + str(n).encode()
     head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{n}>\r\nContent-Length: {len(block)}\r\n".encode()
