@@ -4,7 +4,8 @@ Text blocks give points for length and commas to the elements around them, the
 nearer the more. An element's points are discounted by the share of its text
 that is link text. The best container is kept with those of its siblings that
 score well too; menus, adverts, notices, forms, comments and the like are left
-out by what elements are and what they are called.
+out by what elements are and what they are called. A name, or being a form,
+counts less than the text: what holds most of it stays in the running at a discount.
 """
 
 from __future__ import annotations
@@ -30,15 +31,19 @@ BLOCK = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are never main text.
 LEFT_OUT = frozenset(
-    "applet aside audio button canvas datalist dialog embed footer form frameset head header iframe input menu meter nav noembed noframes noscript object "
+    "applet aside audio button canvas datalist dialog embed footer frameset head header iframe input menu meter nav noembed noframes noscript object "
     "progress script search select style svg template textarea title video".split())
-LEFT_OUT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation note search toolbar".split())
+LEFT_OUT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation note search toolbar".split())
 #: Words in class or id of what is not main text.
 NEGATIVE = re.compile(
     r"^(?:ad|ads|adbox|adslot|adsense|advert\w*|adv|banner\w*|breadcrumb\w*|byline|comment\w*|consent|cookie\w*|copyright|disclaimer|discuss\w*|disqus|foot|footer\w*|footnav|gdpr|"
     r"head|header\w*|hidden|login|masthead|menu\w*|modal|nav\w*|newsletter\w*|notice\w*|outbrain|overlay|pager|paginat\w*|popup\w*|promo\w*|recommend\w*|related\w*|remark\w*|repl(?:y|ies)|"
     r"respond|rail|share\w*|sharing|shoutbox|sidebar\w*|sidecol|signup|skyscraper|social\w*|sponsor\w*|subscri\w*|taboola|teaser\w*|toolbar|topbar|tracking|widget\w*)$")
 POSITIVE = re.compile(r"^(?:article\w*|body|column|content\w*|entry\w*|hentry|main\w*|page|post\w*|story\w*|text|blog)$")
+#: A class or id of these words only speaks for an element that another one speaks against.
+NAMED_TEXT = re.compile(r"^(?:articles?|contents?|entry|entries|hentry|main|posts?|story|blog)$")
+#: What is left of the points of text in elements that were spared in spite of their names.
+DISCOUNT = 0.6
 #: Never left out for their class: they hold the page or the article.
 HOLDERS = frozenset("html body article main".split())
 #: An opening tag ends an open element of these kinds, within the nearest of the borders.
@@ -47,29 +52,34 @@ BORDERS = frozenset("ul ol dl table article section div body main".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "out", "good", "chars", "linked", "links", "score", "kept", "holds")
+    __slots__ = ("tag", "parent", "out", "good", "doubt", "named", "spared", "scope", "held", "own", "chars", "linked", "links", "score", "kept", "holds")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool, good: bool):
-        self.tag, self.parent, self.out, self.good = tag, parent, out, good
+    def __init__(self, tag: str, parent: Node | None, out: bool, good: bool, doubt: bool = False, named: bool = False):
+        self.tag, self.parent, self.out, self.good, self.doubt, self.named = tag, parent, out, good, doubt, named
         self.chars = self.linked = self.links = 0
-        self.score, self.kept, self.holds = 0.0, False, False
+        self.score = self.held = self.own = 0.0
+        self.kept = self.holds = self.spared = False
+        self.scope = self
 
 
-def _signs(tag: str, attributes: str) -> tuple[bool, bool]:
-    """(left out, likely to be the article) from an element's attributes."""
-    out = good = False
+def _signs(tag: str, attributes: str) -> tuple[bool, bool, bool, bool]:
+    """(left out, likely to be the article, called what is not main text, called main text as a whole) from an element's attributes."""
+    out = good = doubt = named = False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name in ("class", "id"):
             for word in re.split(r"[^a-z0-9]+", value):
-                out = out or bool(NEGATIVE.match(word))
+                doubt = doubt or bool(NEGATIVE.match(word))
                 good = good or bool(POSITIVE.match(word))
+            if doubt or good:
+                named = named or any(all(NAMED_TEXT.match(w) for w in re.split(r"[-_]+", x)) for x in value.split())
         elif name == "role":
             out = out or value in LEFT_OUT_ROLES
+            doubt = doubt or value == "form"
             good = good or value in ("main", "article")
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             out = True
-    return out and tag not in HOLDERS, good
+    return out and tag not in HOLDERS, good, doubt and tag not in HOLDERS, named
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
@@ -151,12 +161,14 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
                 pop_to(i)
         parent = stack[-1]
         attributes = m[3] or m[6] or ""
-        out, good = _signs(tag, attributes) if attributes.strip(" /") else (False, False)
+        out, good, doubt, named = _signs(tag, attributes) if attributes.strip(" /") else (False, False, False, False)
         if tag == "header" and any(n.tag in ("article", "main") for n in stack):
             pass  # its headings are the article's
+        elif tag == "form":
+            doubt, named = True, False
         elif tag in LEFT_OUT:
             out = True
-        node = Node(tag, parent, out, good)
+        node = Node(tag, parent, out, good, doubt, named)
         nodes.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -180,24 +192,24 @@ def main_text(page: str | None) -> str:
         if n.parent is not None and (n.holds or n.tag in ("article", "main")):
             n.parent.holds = True
     for n in nodes:  # what holds the article is not left out for its name; what is left out takes its content along
-        own = n.out and not (n.holds and n.tag not in LEFT_OUT)
-        n.out = own or (n.parent is not None and n.parent.out)
+        n.out = n.out and not (n.holds and n.tag not in LEFT_OUT) or (n.parent is not None and n.parent.out)
+        n.doubt = n.doubt and not n.holds
+    points = [0.0 if node.out else _points(text, linked) for node, text, linked in blocks]
+    _weigh(nodes, blocks, points)
     live = []
-    for node, text, linked in blocks:
+    for (node, text, linked), worth in zip(blocks, points, strict=True):
         if not node.out and not (node.tag != "p" and node.tag not in HEADINGS and _in_header(node)):
-            live.append((node, text, linked))
+            live.append((node, text, worth * DISCOUNT if node.spared else worth))
             node.chars += len(text)
             node.linked += linked
     for n in reversed(nodes):
         if n.parent is not None:
             n.parent.chars += n.chars
             n.parent.linked += n.linked
-    for node, text, linked in live:
-        points = (len(text) >= 25) + text.count(",") + min(len(text) / 100, 3.0)
-        points *= 1 - linked / len(text)
+    for node, _, worth in live:
         to = node if node.tag in ("div", "section", "article", "main", "body", "html", "td") else node.parent or node
         for level in range(1, 6):
-            to.score += points / level
+            to.score += worth / level
             if to.parent is None:
                 break
             to = to.parent
@@ -205,7 +217,7 @@ def main_text(page: str | None) -> str:
     for n in nodes:
         if n.out or not n.chars:
             continue
-        if n.good or n.tag in ("article", "main"):
+        if (n.good and (n.named or not n.doubt)) or n.tag in ("article", "main"):
             n.score += 25
         n.score *= 1 - n.linked / n.chars
         if n.tag in BLOCK and n.tag != "p" and n.tag not in HEADINGS and (best is None or n.score > best.score):
@@ -216,12 +228,14 @@ def main_text(page: str | None) -> str:
     while up is not None and up.tag not in ("article", "main"):
         up = up.parent
     best = up or best
+    _drop_beside(nodes, best)
     best.kept = True
     if best.parent is not None:
         for n in nodes:
             if n.parent is best.parent and n is not best and not n.out and n.chars:
                 density = n.linked / n.chars
-                if n.tag in HEADINGS or n.score >= max(10.0, 0.2 * best.score) or (n.tag == "p" and density < 0.25 and best.tag not in ("article", "main")):
+                doubt = 25 if n.doubt and not best.doubt else 0  # its text alone has to do
+                if n.tag in HEADINGS or n.score >= max(10.0, 0.2 * best.score) + doubt or (n.tag == "p" and density < 0.25 and best.tag not in ("article", "main")):
                     n.kept = True
     for n in nodes:
         p = n.parent
@@ -234,6 +248,46 @@ def main_text(page: str | None) -> str:
     return "\n\n".join(text for node, text, _ in live if node.kept and not node.out or node is best)
 
 
+def _points(text: str, linked: int) -> float:
+    """Points of a block for length and commas, less its share of link text."""
+    return ((len(text) >= 25) + text.count(",") + min(len(text) / 100, 3.0)) * (1 - linked / len(text))
+
+
+def _weigh(nodes: list[Node], blocks: list[tuple[Node, str, int]], points: list[float]) -> None:
+    """Leave out the elements in doubt, save those that are also called main text or hold more text than is around them.
+
+    Around them is the text that is in no doubt itself, of the page or of the
+    element in doubt that they are in.
+    """
+    for n in nodes:
+        n.scope = n if n.parent is None or (n.doubt and not n.named) else n.parent.scope
+    for (node, _, _), worth in zip(blocks, points, strict=True):
+        node.held += worth
+        node.scope.own += worth
+    for n in reversed(nodes):
+        if n.parent is not None:
+            n.parent.held += n.held
+    for n in nodes:
+        if n.doubt and not (n.named or n.held > n.parent.scope.own):
+            n.out = True
+        n.out = n.out or (n.parent is not None and n.parent.out)
+        n.spared = not n.out and (n.doubt or (n.parent is not None and n.parent.spared))
+
+
+def _drop_beside(nodes: list[Node], best: Node) -> None:
+    """Leave out what was spared for the text that it holds, but is beside the best container."""
+    around, n = set(), best
+    while n is not None:
+        around.add(id(n))
+        n = n.parent
+    inside = set()
+    for n in nodes:
+        if n is best or (n.parent is not None and id(n.parent) in inside):
+            inside.add(id(n))
+        elif n.doubt and not n.named and id(n) not in around:
+            n.out = True
+
+
 def _in_header(node: Node) -> bool:
     """Within a header of an article, where only headings and paragraphs count."""
     n = node

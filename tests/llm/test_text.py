@@ -270,6 +270,42 @@ def test_main_text():
         "Second one, unclosed, with commas, and words that go on for a while. next line", "item one, which is long enough to read as text", "item two"]
 
 
+PARAGRAPHS = [f"Paragraph {k} of the article, with commas, goes on long enough to be taken for text, as one would think." for k in range(6)]
+BODY = "".join(f"<p>{x}</p>" for x in PARAGRAPHS)
+AROUND = '<div class="sidebar"><p>Side text, which is long enough to score, too.</p></div>', '<div class="footer">Foot text, long enough to score, with a comma.</div>'
+
+
+@pytest.mark.parametrize("start, end", [
+    ('<div id="content" class="no-sidebar">', "</div>"), ('<div class="layout with-header">', "</div>"), ('<div class="post hentry tag-social category-newsletter">', "</div>"),
+    ('<div class="layout with-header"><div class="has-menu">', "</div></div>"), ("<form action=x><div>", "</div></form>"), ('<form id="aspnetForm"><article>', "</article></form>"),
+    ('<form role="form"><div class="modal-page"><div>', "</div></div></form>")])
+def test_names_do_not_lose_the_article(start, end):
+    """Names and forms around the article are outweighed by its text; what is beside it goes as before."""
+    for page in (start + BODY + end, AROUND[0] + start + BODY + end + AROUND[1], start + AROUND[0] + BODY + AROUND[1] + end):
+        assert html_text.main_text(f"<html><body>{page}</body></html>").split("\n\n") == PARAGRAPHS
+
+
+def test_names_still_leave_out():
+    comments = '<div id="comments">' + "".join(f'<div class="comment"><p>{x}</p></div>' for x in PARAGRAPHS * 3) + "</div>"
+    post = "".join(f"<p>{x}</p>" for x in PARAGRAPHS[:2])
+    for name in ("<article>", '<div class="post">', '<div class="post tag-social">'):
+        tag = name[1:].split(">")[0].split(" ")[0]
+        form = "<form><p>Search here, or there, or anywhere at all in this place.</p></form>"
+        assert html_text.main_text(f"<body>{name}{post}{form}</{tag}>{comments}</body>").split("\n\n") == PARAGRAPHS[:2], name
+
+
+def test_named_side_stays_out():
+    """A side column that is also called content does not come along with the article."""
+    side = '<div class="content sidebar"><p>Side text, which is long enough to score, too.</p></div>'
+    assert html_text.main_text(f"<body><div><article>{BODY}</article>{side}</div></body>").split("\n\n") == PARAGRAPHS
+
+
+def test_each_named_post_stays():
+    """Posts of an index page are kept for being called posts, though none holds most of the text."""
+    posts = "".join(f'<div class="post hentry tag-social"><div><p>{x}</p></div></div>' for x in [", ".join(PARAGRAPHS[:3])] * 3)
+    assert html_text.main_text(f"<body><div>{posts}</div></body>").count("Paragraph 2") == 3
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<script>", "<!--", "</p></p>", "<a><a><b>", "<table><tr><td>" * 500, "<div>" * 3000 + "x", "\x00<p>\x00", '<p class="a>x</p>'])
 def test_odd_pages(page):
     assert isinstance(html_text.main_text(page), str)
