@@ -26,7 +26,6 @@ from .site_lines import host
 BUCKETS = 1 << 15
 #: The classifier is fitted on about so many documents of a language, drawn by hash.
 TRAIN_PER_LANGUAGE = 2000
-MAX_LANGUAGES = 200
 #: Neighbouring trigrams share bytes, so their evidence counts a third.
 TEMPER = 1 / 3
 #: Pseudo-counts: of a host's prior from its domain, of a domain's from all pages, of declared languages and suffixes.
@@ -48,9 +47,12 @@ def unit_hash(col: Column) -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = TRAIN_PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
-    """(languages, log P(trigram | language)) from labelled documents; nulls are left out."""
+    """(languages, log P(trigram | language)) from labelled documents, for every label; nulls are left out.
+
+    The model has BUCKETS numbers a language; nothing else here grows with the languages but counts of them.
+    """
     known = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r[0]: r[1] for r in known.groupBy(label_col).count().orderBy(F.col("count").desc(), label_col).limit(MAX_LANGUAGES).collect()}
+    sizes = {r[0]: r[1] for r in known.groupBy(label_col).count().collect()}
     languages = sorted(sizes)
     if not languages:
         return ["und"], np.zeros((1, BUCKETS))
@@ -97,7 +99,7 @@ def identify(pages: DataFrame, languages: list[str], model: np.ndarray, id_col:
     judged by the other evidence. Null urls share an empty host. Ties go to the
     first language in order. The tables of evidence have a row by host, and by
     language and declared tag (any tag that is not a known language counts as
-    "other"), so only the latter, bounded ones become literals.
+    "other"), so only the latter, bounded ones pass through the driver.
     """
     prepare(pages.sparkSession)
     n = len(languages)
@@ -126,19 +128,25 @@ def identify(pages: DataFrame, languages: list[str], model: np.ndarray, id_col:
     said = {(r["kind"], r["vote"]): r["n"] for r in rows.filter("vote is not null").groupBy(kind.alias("kind"), "vote").agg(F.count("*").alias("n")).collect()}
     by_kind = [sum(said.get((k, v), 0) for v in range(1, n + 1)) for k in range(n + 2)]
     p_kind = [(x + 1) / (every + n + 2) for x in by_kind]
-    declared = F.array(*[F.array(*[F.lit(float(np.log((said.get((k, i + 1), 0) + EVIDENCE_WEIGHT * p_kind[k]) / (total[i] + EVIDENCE_WEIGHT)))) for i in range(n)]) for k in range(n + 2)])
-
-    out = rows.join(table, "host")
-    sum_of = lambda name: reduce(lambda a, b: a + b, [F.col(name)[i] for i in range(n)])
+    declared = [(k, [float(np.log((said.get((k, i + 1), 0) + EVIDENCE_WEIGHT * p_kind[k]) / (total[i] + EVIDENCE_WEIGHT))) for i in range(n)]) for k in range(n + 2)]
+    declared = pages.sparkSession.createDataFrame(declared, "kind int, declared_score array<double>")
+
+    # expressions that do not grow with the square of the languages
+    out = rows.withColumn("kind", kind).join(table, "host").join(F.broadcast(declared), "kind")
+    for name in ("own", "domain_own", "suffix_own"):
+        out = out.withColumn(f"{name}_sum", F.aggregate(name, F.lit(0.0), lambda a, x: a + x))
+    priors, totals = F.array(*map(F.lit, prior)), F.array(*map(F.lit, total))
     voted = F.col("vote").isNotNull().cast("double")
-    scores = []
-    for i in range(n):
-        above = (F.col("domain_own")[i] - own[i] + DOMAIN_WEIGHT * prior[i]) / (sum_of("domain_own") - voted + DOMAIN_WEIGHT)
-        here = (F.col("own")[i] - own[i] + HOST_WEIGHT * above) / (sum_of("own") - voted + HOST_WEIGHT)
-        share = sum_of("suffix_own") / max(every, 1.0)
-        suffix = (F.col("suffix_own")[i] + EVIDENCE_WEIGHT * share) / (total[i] + EVIDENCE_WEIGHT)
-        scores.append(F.col("scores")[i] + F.log(here) + F.log(F.greatest(suffix, F.lit(1e-9))) + F.get(F.get(declared, kind), F.lit(i)))
-    out = out.withColumn("fused", F.array(*scores))
+
+    def fused(score, i):
+        mine = F.coalesce(F.col("vote") == i + 1, F.lit(False)).cast("double")
+        above = (F.get("domain_own", i) - mine + DOMAIN_WEIGHT * F.get(priors, i)) / (F.col("domain_own_sum") - voted + DOMAIN_WEIGHT)
+        here = (F.get("own", i) - mine + HOST_WEIGHT * above) / (F.col("own_sum") - voted + HOST_WEIGHT)
+        share = F.col("suffix_own_sum") / max(every, 1.0)
+        suffix = (F.get("suffix_own", i) + EVIDENCE_WEIGHT * share) / (F.get(totals, i) + EVIDENCE_WEIGHT)
+        return score + F.log(here) + F.log(F.greatest(suffix, F.lit(1e-9))) + F.get("declared_score", i)
+
+    out = out.withColumn("fused", F.transform("scores", fused))
     names = F.array(*map(F.lit, languages))
     top = F.array_max("fused")
     confidence = 1 / F.aggregate("fused", F.lit(0.0), lambda a, x: a + F.exp(x - top))

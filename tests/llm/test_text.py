@@ -364,3 +364,13 @@ def test_language_evidence(spark):
     assert (got[100].lang, got[101].lang, got[102].lang) == ("de", "en", "de") and got[100].text_lang is None and got[None].lang in languages
     assert all(0 < r.confidence <= 1 for r in got.values())
     assert language.identify(pages(spark, []), languages, model).count() == 0
+
+
+def test_language_many_labels(spark):
+    """Every labelled language is known, also beyond two hundred, and found again."""
+    sign = lambda k: "".join(chr(97 + k // d % 6) for d in (1, 6, 36, 216))
+    train = docs(spark, [(k, f"{sign(k)} " * 30, f"x{k:03}", "s") for k in range(230)] + [(999, "common", "x000", "s")] * 2)
+    languages, model = language.train(train)
+    assert languages == [f"x{k:03}" for k in range(230)] and model.shape[0] == 230
+    got = {r.page_id: r for r in language.identify(pages(spark, [(k, f"http://h{k}.example/", f"<p>{sign(k)} {sign(k)} {sign(k)} {sign(k)}</p>") for k in (0, 7, 229)]), languages, model).collect()}
+    assert all(got[k].text_lang == f"x{k:03}" for k in (0, 7, 229))
