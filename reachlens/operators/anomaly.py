@@ -109,7 +109,7 @@ def isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int
     ``anomaly_score`` is minus the normalised score 2^(-E[h]/c(psi)); rows
     below the ``contamination`` quantile of the scores are flagged."""
     from pyspark.sql import types as T
-    from reachlens.operators.sequence import exact_percentiles
+    from reachlens.operators.quantiles import exact_percentiles
 
     d = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
     n = d.count()

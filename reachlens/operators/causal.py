@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from reachlens.functions import columns as C
 from reachlens.functions.numerics import norm_ppf, t_ppf, t_pvalue_udf, t_sf_two_sided
-from reachlens.operators.sequence import exact_percentiles
+from reachlens.operators.quantiles import exact_percentiles
 
 
 # A27 / A28 -------------------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachlens.functions import columns as C
-from reachlens.operators.sequence import exact_percentiles
+from reachlens.operators.quantiles import exact_percentiles
 
 SURVIVAL_DAYS = (30, 60, 90, 180, 365)
 AHA_DAY_WINDOWS = (7, 14, 30, 60, 90)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from reachlens.functions import columns as C
 from reachlens.operators.gaps import with_gaps, with_group_mean
-from reachlens.operators.sequence import exact_percentiles
+from reachlens.operators.quantiles import exact_percentiles
+from reachlens.session import materialize
 
 DEFAULT_RETENTION_DAYS = (30, 90, 180)
 
@@ -138,19 +139,22 @@ def trending_accessibility(trending: DataFrame, channels: DataFrame, small_thres
 
 # A13 / A14 -------------------------------------------------------------------
 def tier_engagement(videos: DataFrame, channels: DataFrame, entity: str = "channel_id",
-                    size: str = "subscribers") -> DataFrame:
+                    size: str = "subscribers", median: bool = True) -> DataFrame:
     """Upload-level engagement (NULL on zero views) by right-closed size tier:
-    mean, median, count of non-NULL rates; every tier is listed."""
+    mean, median (unless left out), count of non-NULL rates; every tier is listed."""
     v = videos.select(entity, C.engagement_rate().alias("engagement_rate"))
     j = v.join(channels.select(entity, size), entity, "left") \
         .select(C.size_tier(size).alias("tier"), "engagement_rate").where(F.col("tier").isNotNull())
+    if median:
+        j = materialize(j, "tier-engagement")  # two columns, read by the mean and the median
     agg = j.groupBy("tier").agg(F.avg("engagement_rate").alias("mean_engagement"),
                                 F.count("engagement_rate").alias("video_count"))
-    med = exact_percentiles(j, ["tier"], "engagement_rate", [0.5], ["median_engagement"])
     spine = videos.sparkSession.createDataFrame(
         [(lab, i) for i, lab in enumerate(C.TIER_LABELS)], "tier string, tier_order int")
-    out = spine.join(agg, "tier", "left").join(med, "tier", "left")
-    return out.select("tier", "tier_order", "mean_engagement", "median_engagement",
+    out = spine.join(agg, "tier", "left")
+    if median:
+        out = out.join(exact_percentiles(j, ["tier"], "engagement_rate", [0.5], ["median_engagement"]), "tier", "left")
+    return out.select("tier", "tier_order", "mean_engagement", *["median_engagement"][:median],
                       F.coalesce("video_count", F.lit(0).cast("long")).alias("video_count")) \
         .orderBy("tier_order")
 
@@ -254,7 +258,7 @@ def full_kpi_report(channels: DataFrame, videos: DataFrame, as_of_retention=DEFA
         F.struct(F.lit(f"d{t}_retention_pct").alias("key"), F.col(f"d{t}_retention_pct").alias("value"))
         for t in as_of_retention])).alias("kv")).select(
         F.lit("retention_rates").alias("metric"), F.col("kv.key").alias("key"), F.col("kv.value").alias("value"))
-    tiers = tier_engagement(videos, channels).select(
+    tiers = tier_engagement(videos, channels, median=False).select(
         F.lit("tier_engagement").alias("metric"), F.col("tier").alias("key"),
         F.col("mean_engagement").alias("value"))
     parts = [scalar(n_ch, "n", "total_channels"), scalar(n_v, "n", "total_videos"),

@@ -1,38 +1,36 @@
-"""Skew-safe ordered operations.
+"""Skew-safe ordered operations: one two-level prefix scan.
 
 ``Window.partitionBy(entity).orderBy(ts)`` sends every row of an entity to one
 task; a creator holding a third of all uploads would then be one task reading a
-third of the data. The operators here give the same answers (1-based position
-inside the entity, value of the previous row, inclusive running sums) without
-that: rows are range-partitioned on ``(entity, order…)`` so a hot entity is
-split over many balanced partitions, each sorted partition is scanned once with
-vectorised pandas, the result is checkpointed (lineage cut, so retries never
-re-sample the range bounds), and the few rows that continue an entity from the
-previous partitions are patched from a per-partition summary. That summary has
-one row per partition, which bounds what is broadcast.
-
-With no entity the same machinery yields a global rank and global running sums
-without a single-partition window (used by Gini, NTILE, Lorenz curves and exact
-percentiles).
+third of the data, and a global order would be one task reading everything. The
+scan here gives the same answers on balanced partitions:
+
+1. rows are range-partitioned on ``(entity, order…)``, sorted within partitions
+   and stored by ``checkpoint()`` with their place (partition number and
+   position), so retries never re-sample the range bounds;
+2. window functions run over (partition, entity), which splits a hot entity
+   over as many tasks as it has partitions (a plain rank needs no window: it
+   is the position);
+3. an entity that goes on from earlier partitions gets their totals from a
+   table of one row a partition, which is all that is broadcast.
+
+There is one path for every size, and values keep their types: nothing leaves
+the JVM.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reachlens.session import ensure_checkpoint_dir
 
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-# Largest candidate window (rows per group and quantile) ranked with a plain window function
-WINDOW_RANK_LIMIT = 1_000_000
-# Statistics by group are broadcast up to so many groups (a few numbers each).
-BROADCAST_GROUPS = 10_000
+#: ``monotonically_increasing_id`` numbers rows within a partition in this many low bits.
+_POSITION_BITS = 33
 
 
 def _as_list(cols) -> list[str]:
@@ -43,212 +41,97 @@ def _as_list(cols) -> list[str]:
     return list(cols)
 
 
-def _local_scan(entity: list[str], lags: list[str], cums: list[str],
-                int_cols: set[str], ffills: list[str] = ()):
-    """Per-partition pass: local seq / prev / cum, restarted at each entity."""
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        pos = 0
-        seg_count = 0
-        last_key = None
-        seq_state = 0
-        cum_state = {c: 0 for c in cums}
-        last_val = {c: None for c in lags}
-        ff_state = {c: None for c in ffills}
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            keys = pdf[entity]
-            changed = (keys != keys.shift(1)).any(axis=1).to_numpy().copy()
-            first_key = tuple(keys.iloc[0])
-            changed[0] = last_key is None or first_key != last_key
-            seg = seg_count + np.cumsum(changed)
-            cont_first = not changed[0]
-            first_seg = seg[0]
-            in_first = seg == first_seg
-
-            lseq = pd.Series(np.ones(n, dtype=np.int64)).groupby(seg).cumsum().to_numpy()
-            if cont_first:
-                lseq = lseq + np.where(in_first, seq_state, 0)
-            out = pdf.copy()
-            out["_pid"] = np.int32(pid)
-            out["_lpos"] = np.arange(pos, pos + n, dtype=np.int64)
-            out["_lseq"] = lseq
-            out["_head"] = seg == 1
-            for c in lags:
-                s = pdf[c].astype("Int64") if c in int_cols else pdf[c].astype("float64")
-                prev = s.groupby(seg).shift(1)
-                if cont_first and last_val[c] is not None:
-                    prev.iloc[0] = last_val[c]
-                out["prev_" + c] = prev
-                last_val[c] = s.iloc[-1]
-            for c in cums:
-                s = pdf[c].fillna(0)
-                s = s.astype("int64") if c in int_cols else s.astype("float64")
-                cs = s.groupby(seg).cumsum().to_numpy()
-                if cont_first:
-                    cs = cs + np.where(in_first, cum_state[c], 0)
-                out["cum_" + c] = cs
-                cum_state[c] = cs[-1]
-            for c in ffills:
-                s = pdf[c].astype("Int64") if c in int_cols else pdf[c].astype("float64")
-                before = s.groupby(seg).shift(1).groupby(seg).ffill()
-                upto = s.groupby(seg).ffill()
-                if cont_first and ff_state[c] is not None:
-                    fill = in_first & before.isna().to_numpy()
-                    before = before.mask(fill, ff_state[c])
-                    upto = upto.mask(in_first & upto.isna().to_numpy(), ff_state[c])
-                out["last_" + c] = before
-                out["_ffinc_" + c] = upto
-                v = upto.iloc[-1]
-                ff_state[c] = None if pd.isna(v) else v
-            seq_state = int(lseq[-1])
-            seg_count = int(seg[-1])
-            last_key = tuple(keys.iloc[-1])
-            pos += n
-            yield out
-
-    return run
-
-
-def _sequence_by_window(df: DataFrame, entity: list[str], order: list[str], lags: list[str], cums: list[str],
-                        ffills: list[str], seq_col: str, int_cols: set[str]) -> DataFrame:
-    """The same columns from window functions; used only when the largest
-    entity (or the whole frame, without an entity) is within the checked
-    bound ``WINDOW_RANK_LIMIT``."""
-    w = (Window.partitionBy(*entity) if entity else Window.partitionBy()).orderBy(*order)
-    cols = [F.col(c) for c in df.columns]
-    cols.append(F.row_number().over(w).cast("long").alias(seq_col))
+def _summable(df: DataFrame, col: str) -> Column:
+    """The column as it is summed: NULL as 0, integers as long, floats as double."""
+    kind = df.schema[col].dataType
+    c = F.col(f"`{col}`")
+    if isinstance(kind, T.IntegralType):
+        c = c.cast("long")
+    elif not isinstance(kind, T.DecimalType):
+        c = c.cast("double")
+    return F.coalesce(c, F.lit(0).cast(T.LongType() if isinstance(kind, T.IntegralType) else kind if isinstance(kind, T.DecimalType) else T.DoubleType()))
 
-    def typed(c, e):
-        return e.cast("long" if c in int_cols else "double")
 
-    for c in lags:
-        cols.append(typed(c, F.lag(c).over(w)).alias("prev_" + c))
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for c in cums:
-        cols.append(typed(c, F.sum(F.coalesce(F.col(c), F.lit(0))).over(running)).alias("cum_" + c))
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    for c in ffills:
-        cols.append(typed(c, F.last(c, ignorenulls=True).over(before)).alias("last_" + c))
-    return df.select(*cols)
+def _same(left: str, right: str, entity: list[str]) -> Column:
+    return reduce(Column.__and__, [F.col(f"{left}.`{e}`").eqNullSafe(F.col(f"{right}.`{e}`")) for e in entity], F.lit(True))
 
 
-def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (),
-             cums: Sequence[str] = (), seq_col: str = "seq",
-             num_partitions: int | None = None, ffills: Sequence[str] = (),
-             window_limit: int | None = None) -> DataFrame:
+def sequence(df: DataFrame, entity, order, lags: Sequence[str] = (), cums: Sequence[str] = (), seq_col: str = "seq",
+             num_partitions: int | None = None, ffills: Sequence[str] = ()) -> DataFrame:
     """Add ``seq_col`` (1-based rank inside ``entity`` by ``order``),
     ``prev_<c>`` for each column in ``lags`` (NULL on an entity's first row),
     ``cum_<c>`` (inclusive running sum inside the entity, NULL counted as 0)
     and ``last_<c>`` for each column in ``ffills`` (the last non-NULL value on
     an earlier row of the entity).
 
-    ``order`` should end with a unique column so the order is total; entity
-    keys must be non-NULL. Lag and cum columns must be numeric.
-
-    One small aggregate first measures the largest entity (or the frame
-    without an entity). Within ``window_limit`` rows (default
-    ``WINDOW_RANK_LIMIT``; 0 disables the check) plain window functions do the
-    work in one shuffle; above it - a hot entity - the range-partitioned scan
-    below is used.
+    ``order`` should end with a unique column so the order is total. NULL
+    entity keys form an entity. Running sums of integers are long, of floats
+    double; lags and fills take any type. Without ``num_partitions`` AQE sizes
+    the range partitions from the data.
     """
-    entity = _as_list(entity)
-    order = _as_list(order)
+    entity, order = _as_list(entity), _as_list(order)
     lags, cums, ffills = list(lags), list(cums), list(ffills)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    fields0 = {f.name: f for f in df.schema.fields}
-    ints0 = {c for c in set(lags) | set(cums) | set(ffills) if isinstance(fields0[c].dataType, _INTEGRAL)}
-    limit = WINDOW_RANK_LIMIT if window_limit is None else window_limit
-    if limit > 0:
-        sizes = df.groupBy(*entity).count().agg(F.max("count")) if entity else df.agg(F.count(F.lit(1)))
-        if (sizes.first()[0] or 0) <= limit:
-            return _sequence_by_window(df, entity, order, lags, cums, ffills, seq_col, ints0)
-
-    const = None
-    if not entity:
-        const = "_grp_all"
-        df = df.withColumn(const, F.lit(0))
-        entity = [const]
-
-    fields = {f.name: f for f in df.schema.fields}
-    int_cols = {c for c in set(lags) | set(cums) | set(ffills) if isinstance(fields[c].dataType, _INTEGRAL)}
-    out_fields = list(df.schema.fields) + [
-        T.StructField("_pid", T.IntegerType()),
-        T.StructField("_lpos", T.LongType()),
-        T.StructField("_lseq", T.LongType()),
-        T.StructField("_head", T.BooleanType()),
-    ]
-    for c in lags:
-        out_fields.append(T.StructField("prev_" + c, T.LongType() if c in int_cols else T.DoubleType()))
-    for c in cums:
-        out_fields.append(T.StructField("cum_" + c, T.LongType() if c in int_cols else T.DoubleType()))
-    for c in ffills:
-        t = T.LongType() if c in int_cols else T.DoubleType()
-        out_fields += [T.StructField("last_" + c, t), T.StructField("_ffinc_" + c, t)]
-
-    keys = entity + order
-    # without an explicit count AQE sizes the range partitions from the data
-    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)) \
-        .sortWithinPartitions(*keys)
-    local = ranged.mapInPandas(_local_scan(entity, lags, cums, int_cols, ffills), T.StructType(out_fields))
-    local = local.checkpoint(eager=True)
-
-    # one row per partition: its first entity and its last row
-    last_fields = [F.col(e) for e in entity] + [F.col("_lseq")] + \
-        [F.col("cum_" + c) for c in cums] + [F.col(c).alias("v_" + c) for c in lags] + \
-        [F.col("_ffinc_" + c) for c in ffills]
-    summ = local.groupBy("_pid").agg(
-        F.min_by(F.struct(*[F.col(e) for e in entity]), F.col("_lpos")).alias("f"),
-        F.max_by(F.struct(*last_fields), F.col("_lpos")).alias("l"))
-    w_ent = Window.partitionBy(*[F.col("l")[e] for e in entity]).orderBy("_pid") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    acc = [F.sum(F.col("l")["_lseq"]).over(w_ent).alias("a_seq")] + \
-        [F.sum(F.col("l")["cum_" + c]).over(w_ent).alias("a_" + c) for c in cums]
-    acc += [F.last(F.col("l")["_ffinc_" + c], ignorenulls=True).over(w_ent).alias("ff_" + c) for c in ffills]
-    summ = summ.select("_pid", "f", "l", *acc)
-    prev = F.lag(F.struct("l", "a_seq", *["a_" + c for c in cums], *["ff_" + c for c in ffills])) \
-        .over(Window.orderBy("_pid"))
-    carry = summ.select("_pid", "f", prev.alias("p"))
-    same = F.lit(True)
-    for e in entity:
-        same = same & (F.col("p")["l"][e] == F.col("f")[e])
-    carry = carry.where(F.col("p").isNotNull() & same).select(
-        "_pid",
-        F.col("p")["a_seq"].alias("_c_seq"),
-        *[F.col("p")["a_" + c].alias("_c_cum_" + c) for c in cums],
-        *[F.col("p")["l"]["v_" + c].alias("_c_prev_" + c) for c in lags],
-        *[F.col("p")["ff_" + c].alias("_c_ff_" + c) for c in ffills])
-
-    # the carry table has at most one row per partition
-    out = local.join(F.broadcast(carry), "_pid", "left")
-    cont = F.col("_head") & F.col("_c_seq").isNotNull()
-    cols = [F.col(f.name) for f in df.schema.fields if f.name != const]
-    cols.append(F.when(cont, F.col("_lseq") + F.col("_c_seq")).otherwise(F.col("_lseq")).alias(seq_col))
-    for c in lags:
-        cols.append(F.when(cont & (F.col("_lseq") == 1), F.col("_c_prev_" + c))
-                    .otherwise(F.col("prev_" + c)).alias("prev_" + c))
-    for c in cums:
-        cols.append(F.when(cont, F.col("cum_" + c) + F.col("_c_cum_" + c))
-                    .otherwise(F.col("cum_" + c)).alias("cum_" + c))
-    for c in ffills:
-        cols.append(F.when(cont & F.col("last_" + c).isNull(), F.col("_c_ff_" + c))
-                    .otherwise(F.col("last_" + c)).alias("last_" + c))
-    return out.select(*cols)
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = [F.col(f"`{c}`") for c in entity + order]
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    placed = ranged.sortWithinPartitions(*keys).withColumn("_scan_at", F.monotonically_increasing_id()).checkpoint()
+    pid = F.shiftright("_scan_at", _POSITION_BITS)
+    placed = placed.withColumn("_scan_pid", pid)
+    position = F.col("_scan_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    own = F.struct(*[F.col(f"`{e}`").alias(e) for e in entity]) if entity else F.struct(F.lit(0).alias("all"))
+
+    # level 1: inside (partition, entity)
+    local = placed.withColumn("_scan_own", own)
+    if entity or lags or cums or ffills:
+        w = Window.partitionBy("_scan_pid", *[F.col(f"`{e}`") for e in entity]).orderBy("_scan_at")
+        upto, before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow), w.rowsBetween(Window.unboundedPreceding, -1)
+        local = local.select("*", F.row_number().over(w).cast("long").alias("_scan_seq"),
+                             *[F.lag(F.col(f"`{c}`")).over(w).alias(f"_scan_lag_{c}") for c in lags],
+                             *[F.sum(_summable(df, c)).over(upto).alias(f"_scan_cum_{c}") for c in cums],
+                             *[F.last(F.col(f"`{c}`"), ignorenulls=True).over(before).alias(f"_scan_ff_{c}") for c in ffills])
+    else:
+        local = local.withColumn("_scan_seq", position + 1)
+
+    # level 2: one row a partition, with the totals of its last entity
+    ends = placed.groupBy("_scan_pid").agg(F.max("_scan_at").alias("_scan_end"))
+    last = placed.join(F.broadcast(ends.select(F.col("_scan_end").alias("_scan_at"))), "_scan_at") \
+        .select(F.col("_scan_pid").alias("_scan_p"), own.alias("_scan_last"), *[F.col(f"`{c}`").alias(f"_v_{c}") for c in lags])
+    tail = placed.withColumn("_scan_own", own)
+    if entity:
+        tail = tail.join(F.broadcast(last.select("_scan_p", "_scan_last")), F.col("_scan_pid") == F.col("_scan_p")).where(_same("_scan_own", "_scan_last", entity))
+    tail = tail.groupBy("_scan_pid").agg(
+        F.count(F.lit(1)).alias("_scan_n"), *[F.sum(_summable(df, c)).alias(f"_s_{c}") for c in cums],
+        *[F.max_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), F.col("_scan_at"))).alias(f"_f_{c}") for c in ffills])
+    first = placed.where(position == 0).select("_scan_pid", own.alias("_scan_first"))
+    parts = first.join(tail, "_scan_pid").join(last, F.col("_scan_pid") == F.col("_scan_p"))
+    run = Window.partitionBy("_scan_last").orderBy("_scan_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.select("_scan_pid", "_scan_first", F.struct(
+        "_scan_last", F.sum("_scan_n").over(run).alias("n"), *[f"_v_{c}" for c in lags],
+        *[F.sum(f"_s_{c}").over(run).alias(f"_s_{c}") for c in cums],
+        *[F.last(f"_f_{c}", ignorenulls=True).over(run).alias(f"_f_{c}") for c in ffills]).alias("_scan_sum"))
+    carry = parts.withColumn("_scan_sum", F.lag("_scan_sum").over(Window.orderBy("_scan_pid"))).where(F.col("_scan_sum").isNotNull())
+    if entity:
+        carry = carry.where(_same("_scan_first", "_scan_sum._scan_last", entity))
+    carry = carry.select("_scan_pid", "_scan_first", F.col("_scan_sum").alias("_scan_c"))
+
+    out = local.join(F.broadcast(carry), "_scan_pid", "left")
+    goes_on = F.col("_scan_c").isNotNull() & _same("_scan_own", "_scan_first", entity)
+
+    def added(name: str, more: str) -> Column:
+        return F.col(f"`{name}`") + F.when(goes_on, F.col(f"_scan_c.`{more}`")).otherwise(F.lit(0))
+
+    return out.select(
+        *[F.col(f"`{c}`") for c in df.columns], added("_scan_seq", "n").alias(seq_col),
+        *[F.when(goes_on & (F.col("_scan_seq") == 1), F.col(f"_scan_c.`_v_{c}`")).otherwise(F.col(f"`_scan_lag_{c}`")).alias("prev_" + c) for c in lags],
+        *[added(f"_scan_cum_{c}", f"_s_{c}").alias("cum_" + c) for c in cums],
+        *[F.coalesce(F.col(f"`_scan_ff_{c}`"), F.when(goes_on, F.col(f"_scan_c.`_f_{c}`"))).alias("last_" + c) for c in ffills])
 
 
 def global_rank(df: DataFrame, order, cums: Sequence[str] = (), rank_col: str = "rank",
-                num_partitions: int | None = None, window_limit: int | None = None) -> DataFrame:
-    """ROW_NUMBER() OVER (ORDER BY order) and global running sums, computed on
-    balanced range partitions instead of one task (a plain window only when
-    the whole frame is within the checked bound)."""
-    return sequence(df, [], order, cums=cums, seq_col=rank_col, num_partitions=num_partitions,
-                    window_limit=window_limit)
+                num_partitions: int | None = None) -> DataFrame:
+    """ROW_NUMBER() OVER (ORDER BY order) and global running sums on balanced
+    range partitions."""
+    return sequence(df, [], order, cums=cums, seq_col=rank_col, num_partitions=num_partitions)
 
 
 def with_group_count(df: DataFrame, group, count_col: str = "n") -> DataFrame:
@@ -271,121 +154,3 @@ def ntile_expr(rank: Column, n: Column, k: int) -> Column:
     big = r * (q + 1)
     return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1) \
         .otherwise(r + F.floor((rank - 1 - big) / q) + 1).cast("long")
-
-
-def _interpolate(res: DataFrame, group: list[str], names: Sequence[str]) -> DataFrame:
-    outs = [F.col(g) for g in group]
-    for name in names:
-        outs.append((F.col(name + "_lo") + (F.col(name + "_hi") - F.col(name + "_lo")) * F.col(name + "_fr"))
-                    .alias(name))
-    return res.select(*outs)
-
-
-def _percentiles_by_full_rank(d: DataFrame, group: list[str], qs: Sequence[float],
-                              names: Sequence[str]) -> DataFrame:
-    """Rank every value (``sequence``) and pick the two order statistics
-    around each quantile position."""
-    d = d.withColumn("_tie", F.monotonically_increasing_id())
-    s = sequence(d, group, ["_v", "_tie"], seq_col="_r")
-    s = with_group_count(s, group, "_n")
-    conds = F.lit(False)
-    exprs = []
-    for q, name in zip(qs, names):
-        h = (F.col("_n") - 1) * F.lit(float(q))
-        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
-        conds = conds | (F.col("_r") == lo) | (F.col("_r") == hi)
-        exprs += [F.max(F.when(F.col("_r") == lo, F.col("_v"))).alias(name + "_lo"),
-                  F.max(F.when(F.col("_r") == hi, F.col("_v"))).alias(name + "_hi"),
-                  F.max(h - F.floor(h)).alias(name + "_fr")]
-    picked = s.where(conds)
-    res = picked.groupBy(*group).agg(*exprs) if group else picked.agg(*exprs)
-    return _interpolate(res, group, names)
-
-
-def exact_percentiles(df: DataFrame, group, value: str, qs: Sequence[float],
-                      names: Sequence[str] | None = None, accuracy: int = 1000) -> DataFrame:
-    """Linear-interpolated quantiles (PERCENTILE_CONT / pandas ``quantile``)
-    per group, exact, without materialising a group in one task and without
-    sorting the whole input.
-
-    1. a ``percentile_approx`` sketch (rank error at most n/accuracy) gives,
-       per group and quantile, a value window [lo, hi] that must contain the
-       needed order statistics;
-    2. one aggregate pass counts the values below each ``lo`` and inside each
-       window (these counts are checkpointed: one row per group);
-    3. only the rows inside a window (about 6n/accuracy per quantile) are
-       ranked - with a window function when the largest window is at most
-       ``WINDOW_RANK_LIMIT`` rows (checked from the counts), else with
-       ``sequence``; the global rank is count-below + local rank;
-    4. a group whose window does not cover the needed ranks (the sketch bound
-       failing) is recomputed by ranking all of its values, so the result is
-       always exact.
-
-    NULL values are ignored; rows whose group key is NULL form a group. One
-    output row per group.
-    """
-    group = _as_list(group)
-    names = list(names) if names else [f"p{int(round(q * 100))}" for q in qs]
-    # keys travel in structs, which join and group NULL with NULL
-    d = df.select(*[F.struct(F.col(g).alias("key")).alias(g) for g in group],
-                  F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    margin = 3.0 / accuracy
-    lo_p = [max(0.0, q - margin) for q in qs]
-    hi_p = [min(1.0, q + margin) for q in qs]
-    k = len(qs)
-    sketch = [F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", lo_p + hi_p, accuracy).alias("_b")]
-    stats = d.groupBy(*group).agg(*sketch) if group else d.agg(*sketch)
-    # stored: both uses below must see the same windows, and a sketch depends on the order of merging
-    stats = stats.select(*group, "_n", *[F.col("_b")[i].alias(f"_lo{i}") for i in range(k)],
-                         *[F.col("_b")[k + i].alias(f"_hi{i}") for i in range(k)]).checkpoint()
-    # one row per group; broadcast if the count allows, so that rows are not shuffled on a few group values
-    if group:
-        j = d.join(F.broadcast(stats) if stats.count() <= BROADCAST_GROUPS else stats, group)
-    else:
-        j = d.crossJoin(F.broadcast(stats))
-    inside = [(F.col("_v") >= F.col(f"_lo{i}")) & (F.col("_v") <= F.col(f"_hi{i}")) for i in range(k)]
-    counts = (j.groupBy(*group, "_n") if group else j.groupBy("_n")).agg(
-        *[F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in range(k)],
-        *[F.count_if(inside[i]).alias(f"_in{i}") for i in range(k)])
-    for i, q in enumerate(qs):
-        h = (F.col("_n") - 1) * F.lit(float(q))
-        counts = counts.withColumn(f"_rlo{i}", F.floor(h) + 1 - F.col(f"_below{i}")) \
-            .withColumn(f"_rhi{i}", F.ceil(h) + 1 - F.col(f"_below{i}")) \
-            .withColumn(f"_fr{i}", h - F.floor(h))
-    covered = F.lit(True)
-    for i in range(k):
-        covered = covered & (F.col(f"_rlo{i}") >= 1) & (F.col(f"_rhi{i}") <= F.col(f"_in{i}"))
-    counts = counts.withColumn("_covered", covered | (F.col("_n") == 0)).checkpoint()
-
-    # candidates: rows inside at least one window, tagged with the window index
-    tags = F.filter(F.array(*[F.when(inside[i], F.lit(i)) for i in range(k)]), lambda x: x.isNotNull())
-    cands = j.where(F.exists(F.array(*inside), lambda x: x)).select(*group, "_v", F.explode(tags).alias("_k"))
-    # one small collect: the largest candidate window and whether any group needs the fallback
-    probe = counts.agg(F.greatest(*[F.max(f"_in{i}") for i in range(k)], F.lit(0)).alias("_max_in"),
-                       F.max(F.when(~F.col("_covered"), 1).otherwise(0)).alias("_missing")).first()
-    if (probe["_max_in"] or 0) <= WINDOW_RANK_LIMIT:
-        # every (group, quantile) window holds at most WINDOW_RANK_LIMIT rows (checked above)
-        w = Window.partitionBy(*group, "_k").orderBy("_v")
-        s = cands.withColumn("_r", F.row_number().over(w))
-    else:
-        s = sequence(cands.withColumn("_tie", F.monotonically_increasing_id()), group + ["_k"], ["_v", "_tie"],
-                     seq_col="_r")
-    s = s.join(counts, group) if group else s.crossJoin(F.broadcast(counts))
-    pick = F.lit(False)
-    exprs = []
-    for i, name in enumerate(names):
-        at_lo = (F.col("_k") == i) & (F.col("_r") == F.col(f"_rlo{i}"))
-        at_hi = (F.col("_k") == i) & (F.col("_r") == F.col(f"_rhi{i}"))
-        pick = pick | at_lo | at_hi
-        exprs += [F.max(F.when(at_lo, F.col("_v"))).alias(name + "_lo"),
-                  F.max(F.when(at_hi, F.col("_v"))).alias(name + "_hi"),
-                  F.max(F.col(f"_fr{i}")).alias(name + "_fr")]
-    picked = s.where(F.col("_covered") & pick)
-    fast = _interpolate(picked.groupBy(*group).agg(*exprs) if group else picked.agg(*exprs), group, names)
-    if probe["_missing"] and not group:
-        return _percentiles_by_full_rank(d, group, qs, names)
-    if probe["_missing"]:
-        fast = fast.join(counts.where("_covered").select(*group), group, "left_semi")
-        missing = counts.where(~F.col("_covered")).select(*group)
-        fast = fast.unionByName(_percentiles_by_full_rank(d.join(missing, group, "left_semi"), group, qs, names))
-    return fast.select(*[F.col(f"{g}.key").alias(g) for g in group], *[c for c in fast.columns if c not in group])

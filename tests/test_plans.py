@@ -42,15 +42,7 @@ def test_pushed_filters_reach_the_scan(spark):
 
 
 def test_sequence_output_is_checkpointed(spark):
-    v = A.videos(spark, SF_SMALL).select("channel_id", "video_id", "views")
-    p = plan(sequence(v, "channel_id", ["video_id"], cums=["views"], window_limit=0))
-    assert "MapInPandas" not in p and "RangePartitioning" not in p      # lineage cut at the checkpoint
-    assert "ExistingRDD" in p
-
-
-def test_sequence_uses_windows_for_small_entities(spark):
     v = A.videos(spark, SF_SMALL).select("channel_id", "video_id", "views")
     p = plan(sequence(v, "channel_id", ["video_id"], cums=["views"]))
-    assert "Window" in p and "MapInPandas" not in p and "ExistingRDD" not in p
-    p = plan(sequence(v, "channel_id", ["video_id"], cums=["views"], window_limit=5))   # hot entities
-    assert "ExistingRDD" in p
+    assert "InPandas" not in p and "RangePartitioning" not in p      # lineage cut at the checkpoint
+    assert "ExistingRDD" in p and "Window" in p

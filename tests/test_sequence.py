@@ -7,7 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from reachlens.operators.concentration import gini, ntile
-from reachlens.operators.sequence import exact_percentiles, global_rank, sequence
+from reachlens.operators.quantiles import exact_percentiles, order_statistics, ordered_image
+from reachlens.operators.sequence import global_rank, sequence
 
 
 @pytest.fixture(scope="module")
@@ -23,11 +24,9 @@ def skewed(spark):
     return spark.createDataFrame(pdf).withColumn("v", F.when(F.isnan("v"), None).otherwise(F.col("v")))
 
 
-@pytest.mark.parametrize("limit", [0, 10_000_000])
-def test_sequence_matches_windows(spark, skewed, limit):
-    # limit 0 forces the range-partitioned scan, a large limit the window path
-    s = sequence(skewed, "e", ["t", "id"], lags=["t"], cums=["v"], ffills=["v"], num_partitions=7,
-                 window_limit=limit)
+@pytest.mark.parametrize("parts", [1, 7, None])
+def test_sequence_matches_windows(spark, skewed, parts):
+    s = sequence(skewed, "e", ["t", "id"], lags=["t"], cums=["v"], ffills=["v"], num_partitions=parts)
     w = Window.partitionBy("e").orderBy("t", "id")
     ref = skewed.select(
         "id", F.row_number().over(w).alias("r_seq"), F.lag("t").over(w).alias("r_prev"),
@@ -42,7 +41,7 @@ def test_sequence_matches_windows(spark, skewed, limit):
 
 
 def test_hot_entity_is_split_over_partitions(spark, skewed):
-    s = sequence(skewed.where("e = 0"), "e", ["t", "id"], num_partitions=6, window_limit=0)
+    s = sequence(skewed.where("e = 0"), "e", ["t", "id"], num_partitions=6)
     assert s.rdd.getNumPartitions() >= 1
     # seq is a dense 1..n sequence even though the entity spans several partitions
     got = sorted(r[0] for r in s.select("seq").collect())
@@ -50,7 +49,7 @@ def test_hot_entity_is_split_over_partitions(spark, skewed):
 
 
 def test_global_rank_and_ntile(spark, skewed):
-    r = global_rank(skewed, ["t", "id"], rank_col="rk", num_partitions=5, window_limit=0).select("id", "rk")
+    r = global_rank(skewed, ["t", "id"], rank_col="rk", num_partitions=5).select("id", "rk")
     ref = skewed.select("id", F.row_number().over(Window.orderBy("t", "id")).alias("x"))
     assert r.join(ref, "id").where("rk != x").count() == 0
     nt = ntile(skewed.select("id", "t"), ["t", "id"], 7, "b")
@@ -77,18 +76,69 @@ def test_gini_exact_values(spark):
     assert gini(zeros, "x").first()[0] is None
 
 
-def test_percentile_paths_agree(spark, skewed):
-    from reachlens.operators.sequence import _percentiles_by_full_rank
-
+def test_any_type_null_entities_and_large_integers(spark):
+    big = 9007199254740993
+    rows = [(None, 1, big, "a", "1.5"), (None, 2, None, None, None), (None, 3, 1, "c", "2.5"), ("x", 1, None, None, "1"), ("x", 2, 7, "z", None)]
+    df = spark.createDataFrame(rows, "e string, t int, k long, s string, x string").withColumn("x", F.col("x").cast("decimal(20,2)")).withColumn("_p", F.lit(1))
+    for parts in (1, 2, 5):
+        got = {(r.e, r.t): (r.seq, r.prev_k, r.prev_s, r.cum_k, str(r.cum_x), r.last_s, r._p)
+               for r in sequence(df, "e", ["t"], ["k", "s"], ["k", "x"], ffills=["s"], num_partitions=parts).collect()}
+        assert got == {(None, 1): (1, None, None, big, "1.50", None, 1), (None, 2): (2, big, "a", big, "1.50", "a", 1),
+                       (None, 3): (3, None, None, big + 1, "4.00", "a", 1), ("x", 1): (1, None, None, 0, "1.00", None, 1),
+                       ("x", 2): (2, None, None, 7, "1.00", None, 1)}
+    total = global_rank(df.drop("_p"), ["k", "t"], cums=["k"], num_partitions=4)
+    assert max(r.cum_k for r in total.collect()) == big + 8
+    assert sequence(df.limit(0), "e", ["t"], ["k"], ["k"], ffills=["k"]).collect() == []
+
+
+def test_no_single_partition_over_the_input(spark, skewed):
+    """Only the table of one row a partition, which is broadcast, is put in one place."""
+    for s in (global_rank(skewed, ["t", "id"], num_partitions=5), global_rank(skewed, ["t", "id"], cums=["v"], num_partitions=5),
+              sequence(skewed, "e", ["t", "id"], cums=["v"], num_partitions=5)):
+        text = s._jdf.queryExecution().executedPlan().toString()
+        assert "Pandas" not in text and "Arrow" not in text and "Python" not in text
+        above: list[tuple[int, str]] = []
+        for line in text.splitlines():
+            depth = len(line) - len(line.lstrip(" :+-"))
+            above = [x for x in above if x[0] < depth] + [(depth, line)]
+            if "SinglePartition" in line:
+                assert any("BroadcastExchange" in x for _, x in above), text
+
+
+def test_image_keeps_the_order_of_doubles(spark):
+    vals = [0.0, -0.0, 1.0, 1.5, 2.0, 3.0, 4.0, 0.1, 1e-300, 5e-324, 2.0 ** -1022, np.nextafter(2.0 ** -1022, 0), 1.7976931348623157e308,
+            float("inf"), 2.0 ** 53, 2.0 ** 53 + 2, np.nextafter(8.0, 0), np.nextafter(8.0, 9), 1e22, 123456.789, float("nan")]
+    vals = [float(v) for v in vals] + [-float(v) for v in vals if v == v] + [float(2.0 ** e) for e in range(-1074, 1024, 37)]
+    rows = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v double").select("v", ordered_image(F.col("v")).alias("im")).collect()
+    assert [r.im for r in rows if r.v is None] == [None]
+    bits = {}
+    for r in rows:
+        if r.v is not None and r.v == r.v:
+            raw = int(np.float64(abs(r.v)).view(np.int64))
+            assert r.im == (raw if r.v >= 0 else -raw), r
+            bits[r.v] = r.im
+    assert max(bits.values()) < [r.im for r in rows if r.v is not None and r.v != r.v][0]
+
+
+def test_order_statistics_of_hard_values(spark):
+    rng = np.random.default_rng(4)
+    vals = np.concatenate([rng.normal(size=300) * 10.0 ** rng.integers(-300, 300, 300), np.repeat([7.0, -7.0, 0.0], 50), 1e15 + np.arange(100)])
+    pdf = pd.DataFrame({"g": np.where(np.arange(len(vals)) % 3 == 0, "a", None), "v": vals})
+    df = spark.createDataFrame([(g, float(v)) for g, v in pdf.itertuples(index=False)] + [("empty", None)], "g string, v double")
+    got = order_statistics(df, ["g"], "v", F.array(F.lit(0), F.lit(5), F.col("n") - 1, F.floor(F.col("n") / 2), F.col("n")))
+    out = {(r.g, r.i): r.v for r in got.collect()}
+    for g in ("a", None):
+        own = np.sort(pdf.loc[pdf.g == g if g else pdf.g.isna(), "v"].to_numpy())
+        assert [out[g, i] for i in range(4)] == [own[0], own[5], own[-1], own[len(own) // 2]]
+        assert (g, 4) not in out
+    assert {k[0] for k in out} == {"a", None}
+
+
+def test_percentiles_of_groups_and_of_all(spark, skewed):
     pdf = skewed.toPandas().dropna(subset=["v"])
-    want = pdf.groupby("e")["v"].quantile([0.1, 0.5, 0.99]).unstack()
-    d = skewed.select("e", F.col("v").alias("_v")).where("_v IS NOT NULL")
-    full = _percentiles_by_full_rank(d, ["e"], [0.1, 0.5, 0.99], ["a", "b", "c"]).toPandas().set_index("e")
-    coarse = exact_percentiles(skewed, ["e"], "v", [0.1, 0.5, 0.99], ["a", "b", "c"], accuracy=20) \
-        .toPandas().set_index("e")
-    for q, c in zip([0.1, 0.5, 0.99], ["a", "b", "c"]):
-        assert np.allclose(full.loc[want.index, c].to_numpy(), want[q].to_numpy())
-        assert np.allclose(coarse.loc[want.index, c].to_numpy(), want[q].to_numpy())
     g = exact_percentiles(skewed, [], "v", [0.0, 0.37, 1.0], ["lo", "mid", "hi"]).first()
     assert (g["lo"], g["hi"]) == (pdf["v"].min(), pdf["v"].max())
     assert g["mid"] == pytest.approx(pdf["v"].quantile(0.37))
+    none = exact_percentiles(skewed.limit(0), [], "v", [0.5], ["m"]).collect()
+    assert len(none) == 1 and none[0].m is None
+    assert exact_percentiles(skewed.limit(0), ["e"], "v", [0.5]).collect() == []
