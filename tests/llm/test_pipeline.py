@@ -15,7 +15,7 @@ from tests.llm.test_dedup import plain_components, plain_fingerprint
 from tests.llm.test_text import plain_measures, plain_targets
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "labels")
+TABLES = ("documents", "pages", "labels", "embeddings")
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
@@ -31,7 +31,7 @@ def test_oracle(spark, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
