@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>""", re.S)
+#: A comment, a tag whose quoted values may hold anything, a declaration, or a tag with quotes that do not match. If a ``>``
+#: follows, a ``<`` is settled within the next few marks; nothing is given back.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 #: Elements whose content is not markup.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -52,13 +54,13 @@ BORDERS = frozenset("ul ol dl table article section div body main".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "out", "good", "doubt", "named", "spared", "scope", "held", "own", "chars", "linked", "links", "score", "kept", "holds")
+    __slots__ = ("tag", "parent", "out", "good", "doubt", "named", "spared", "scope", "held", "own", "chars", "linked", "links", "score", "kept", "holds", "headed")
 
     def __init__(self, tag: str, parent: Node | None, out: bool, good: bool, doubt: bool = False, named: bool = False):
         self.tag, self.parent, self.out, self.good, self.doubt, self.named = tag, parent, out, good, doubt, named
         self.chars = self.linked = self.links = 0
         self.score = self.held = self.own = 0.0
-        self.kept = self.holds = self.spared = False
+        self.kept = self.holds = self.spared = self.headed = False
         self.scope = self
 
 
@@ -82,12 +84,46 @@ def _signs(tag: str, attributes: str) -> tuple[bool, bool, bool, bool]:
     return out and tag not in HOLDERS, good, doubt and tag not in HOLDERS, named
 
 
+class _Open:
+    """The open elements, with the places of each tag, of blocks and of borders, so that no search goes through the stack."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.places: dict[str, list[int]] = {root.tag: [0]}
+        self.blocks, self.borders = [0], []
+
+    def push(self, node: Node) -> None:
+        at = len(self.stack)
+        self.stack.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.tag in BLOCK:
+            self.blocks.append(at)
+        if node.tag in BORDERS:
+            self.borders.append(at)
+
+    def pop_to(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            tag = self.stack.pop().tag
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+            if tag in BORDERS:
+                self.borders.pop()
+
+    def count(self, tag: str) -> int:
+        return len(self.places.get(tag, ()))
+
+    def last(self, *tags: str) -> int:
+        """Place of the innermost of these elements; 0 if there is none above the root."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
-    """Elements in page order, and text blocks (element, text, characters of link text)."""
+    """Elements in page order, and text blocks (element, text, characters of link text). Time is linear in the page."""
     root = Node("html", None, False, False)
-    nodes, blocks, stack = [root], [], [root]
+    nodes, blocks, open_ = [root], [], _Open(root)
+    stack = open_.stack
     run: list[str] = []
-    inside_links = 0
     link_run = 0
 
     def close_block() -> None:
@@ -95,74 +131,65 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
         if run:
             text = " ".join(html.unescape("".join(run)).split())
             if text:
-                holder = next(n for n in reversed(stack) if n.tag in BLOCK)
-                blocks.append((holder, text, min(link_run, len(text))))
+                blocks.append((stack[open_.blocks[-1]], text, min(link_run, len(text))))
             run.clear()
         link_run = 0
 
     def text_at(text: str) -> None:
         nonlocal link_run
         run.append(text)
-        if inside_links:
+        if open_.count("a"):
             link_run += len(" ".join(html.unescape(text).split()))
 
-    def pop_to(depth: int) -> None:
-        nonlocal inside_links
-        while len(stack) > depth:
-            if stack.pop().tag == "a":
-                inside_links -= 1
-
-    at = 0
+    at, end = 0, page.rfind(">") + 1  # no tag ends behind this
     while True:
-        m = TOKEN.search(page, at)
+        m = TOKEN.search(page, at, end) if at < end else None
         if m is None:
-            if at < len(page):
-                text_at(page[at:])
+            open_comment = page.find("<!--", max(at, end))
+            text_at(page[at:open_comment if open_comment >= 0 else len(page)])
             break
         if m.start() > at:
             text_at(page[at:m.start()])
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
         if not tag:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                # it may yet end, or not, behind the last tag
+                at = len(page)
             continue
         if tag in BLOCK:
             close_block()
         if m[1] or m[4]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            depth = open_.last(tag)
             if depth:
-                if tag in BLOCK or not any(n.tag in BLOCK for n in stack[depth:]):
-                    pop_to(depth)
+                if tag in BLOCK or open_.blocks[-1] < depth:
+                    open_.pop_to(depth)
             elif tag == "p":
                 close_block()
             continue
         if tag == "br":
             run.append(" ")
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack):
+        if tag in ("html", "body") and open_.count(tag):
             continue
         if tag in BLOCK:
-            for i in range(len(stack) - 1, 0, -1):  # a paragraph ends where another block begins
-                if stack[i].tag == "p" or (stack[i].tag in HEADINGS and tag in HEADINGS):
-                    pop_to(i)
-                    break
-                if stack[i].tag in BLOCK:
-                    break
+            # a paragraph ends where another block begins
+            i = open_.blocks[-1]
+            if i and (stack[i].tag == "p" or (stack[i].tag in HEADINGS and tag in HEADINGS)):
+                open_.pop_to(i)
         if tag in ENDS:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ENDS[tag]:
-                    pop_to(i)
-                    if tag != "tr" or stack[-1].tag not in ENDS[tag]:
-                        break
-                elif stack[i].tag in BORDERS:
+            while (i := open_.last(*ENDS[tag])) and not (open_.borders and open_.borders[-1] > i):
+                open_.pop_to(i)
+                if tag != "tr" or stack[-1].tag not in ENDS[tag]:
                     break
-        elif tag == "a" and inside_links:
-            i = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "a")
-            if not any(n.tag in BLOCK for n in stack[i:]):
-                pop_to(i)
+        elif tag == "a" and open_.count("a"):
+            i = open_.last("a")
+            if open_.blocks[-1] < i:
+                open_.pop_to(i)
         parent = stack[-1]
         attributes = m[3] or m[6] or ""
         out, good, doubt, named = _signs(tag, attributes) if attributes.strip(" /") else (False, False, False, False)
-        if tag == "header" and any(n.tag in ("article", "main") for n in stack):
+        if tag == "header" and (open_.count("article") or open_.count("main")):
             pass  # its headings are the article's
         elif tag == "form":
             doubt, named = True, False
@@ -171,15 +198,16 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
         node = Node(tag, parent, out, good, doubt, named)
         nodes.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            at = close.end() if close else len(page)
         elif tag not in VOID and not attributes.endswith("/") or (tag in BLOCK and tag not in VOID):
-            stack.append(node)
+            open_.push(node)
             if tag == "a":
-                inside_links += 1
-                for n in stack:
-                    n.links += 1
+                node.links = 1
     close_block()
+    for n in reversed(nodes):
+        if n.parent is not None:
+            n.parent.links += n.links
     return nodes, blocks
 
 
@@ -196,9 +224,11 @@ def main_text(page: str | None) -> str:
         n.doubt = n.doubt and not n.holds
     points = [0.0 if node.out else _points(text, linked) for node, text, linked in blocks]
     _weigh(nodes, blocks, points)
+    for n in nodes:  # within a header of an article, only headings and paragraphs count
+        n.headed = n.tag not in ("article", "main") and (n.tag == "header" or (n.parent is not None and n.parent.headed))
     live = []
     for (node, text, linked), worth in zip(blocks, points, strict=True):
-        if not node.out and not (node.tag != "p" and node.tag not in HEADINGS and _in_header(node)):
+        if not node.out and not (node.tag != "p" and node.tag not in HEADINGS and node.headed):
             live.append((node, text, worth * DISCOUNT if node.spared else worth))
             node.chars += len(text)
             node.linked += linked
@@ -288,18 +318,9 @@ def _drop_beside(nodes: list[Node], best: Node) -> None:
             n.out = True
 
 
-def _in_header(node: Node) -> bool:
-    """Within a header of an article, where only headings and paragraphs count."""
-    n = node
-    while n is not None and n.tag not in ("article", "main"):
-        if n.tag == "header":
-            return True
-        n = n.parent
-    return False
-
-
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, text, n_chars of every row. Null html gives an empty text; other columns are not read."""
+    """page_id, url, text, n_chars of every row. Null html gives an empty text, an empty table no rows; repeated rows are
+    extracted alike, and pages of any length whole, in time linear in their length. Other columns are not read."""
     prepare(pages.sparkSession)
 
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
