@@ -209,12 +209,12 @@ WITH p AS (SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-
     regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'g'),
         '[\x20\x09-\x0D]+', ' ', 'g'), '(?i)</?(?:LINE_TAGS)(?:[ /][^>]*)?>', chr(10), 'g'), '<[^>]*>', '', 'g') AS x FROM pages),
 l AS (SELECT page_id, host, [trim(s) for s in string_split(regexp_replace(x, '[ \t]*\n[ \t\n]*', chr(10), 'g'), chr(10)) if s != ''] AS lines FROM p),
-n AS (SELECT host, count(*) AS pages FROM l GROUP BY host HAVING count(*) >= MIN_PAGES),
+n AS (SELECT host, count(*) AS pages FROM l GROUP BY host),
 c AS (SELECT host, line, count(*) AS k FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM l) GROUP BY host, line),
-b AS (SELECT host, list(line) AS boiler FROM c JOIN n USING (host) WHERE k > RATIO * pages GROUP BY host),
+b AS (SELECT host, list(line) AS boiler FROM c JOIN n USING (host) WHERE k >= MIN_COPIES AND k > RATIO * pages GROUP BY host),
 f AS (SELECT page_id, host, lines, [s for s in lines if NOT list_contains(coalesce(boiler, []), s)] AS kept FROM l LEFT JOIN b USING (host))
 SELECT page_id, host, len(lines) AS n_lines, len(lines) - len(kept) AS n_dropped, coalesce(array_to_string(kept, chr(10)), '') AS text FROM f"""
-    .replace("LINE_TAGS", site_lines.LINE_TAGS).replace("MIN_PAGES", str(site_lines.MIN_PAGES)).replace("RATIO", str(site_lines.RATIO)),
+    .replace("LINE_TAGS", site_lines.LINE_TAGS).replace("MIN_COPIES", str(site_lines.MIN_COPIES)).replace("RATIO", str(site_lines.RATIO)),
     "op11_hard_negatives": f"""
 WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label, [floor({hard_negatives.SCALE} * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
     WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
