@@ -30,8 +30,6 @@ RISK, DELTA = 0.05, 0.05
 #: A certified cutoff is used if it rejects a larger share of bad documents than so many times that of good ones.
 COST = 20.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: Thresholds are literals of the scan's expression, so the strata have a checked bound.
-MAX_STRATA = 2000
 
 
 def with_measures(df: DataFrame, text: Column) -> DataFrame:
@@ -78,12 +76,18 @@ def calibrate(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta:
     """Chosen cutoffs: stratum, rule, cutoff, false_rejected, good, allowed, true_rejected, bad.
 
     ``measured`` has doc_id, stratum and the counts; ``labels`` doc_id and
-    quality (1 good, 0 bad; others and nulls are ignored). ``allowed`` is the
+    quality (1 good, 0 bad; others and nulls are ignored). A document is one
+    trial: repeated labels count once, contradictory ones not at all, and an id
+    that several rows share is no trial, as its label may belong to any of them.
+    Documents count as independent draws; copies under ids of their own are
+    separate trials, so copies should be removed from a holdout. ``allowed`` is the
     largest number of false rejections k with P(Bin(good, risk / rules) <= k)
     <= delta / tests, the exact (Clopper-Pearson) bound turned round.
     """
     alpha = risk / len(RULES)
-    held = measured.join(labels.select("doc_id", "quality").filter("quality in (0, 1)"), "doc_id")
+    known = labels.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).filter("quality = other").drop("other")
+    once = measured.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows = 1").drop("rows")
+    held = measured.join(once, "doc_id").join(known, "doc_id")
     bins = F.array(*[F.struct(F.lit(r).alias("rule"), sum((F.when(measure(r) > c, 1).otherwise(0) for c in cuts), F.lit(0)).alias("over")) for r, (_, cuts) in RULES.items()])
     cells = held.select("stratum", "quality", F.explode(bins).alias("x")).groupBy("stratum", "quality", "x.rule", "x.over").count()
     cells = stored(cells, "rule-cells")
@@ -94,8 +98,6 @@ def calibrate(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta:
         F.sum(F.when(F.col("quality") == 1, above).otherwise(0)).alias("false_rejected"), F.sum(F.when(F.col("quality") == 1, F.col("n")).otherwise(0)).alias("good"),
         F.sum(F.when(F.col("quality") == 0, above).otherwise(0)).alias("true_rejected"), F.sum(F.when(F.col("quality") == 0, F.col("n")).otherwise(0)).alias("bad"))
     strata = tried.select("stratum").distinct().count()
-    if strata > MAX_STRATA:
-        raise ValueError(f"{strata} strata; choose a column with at most {MAX_STRATA}")
     tests = max(strata, 1) * sum(len(c) for _, c in RULES.values())
     tried = tried.join(allowed(tried.select("good").distinct(), alpha, delta / tests), "good")
     score = F.col("true_rejected") / F.greatest(F.col("bad"), F.lit(1)) - cost * F.col("false_rejected") / F.greatest(F.col("good"), F.lit(1))
@@ -122,17 +124,17 @@ def allowed(goods: DataFrame, alpha: float, level: float) -> DataFrame:
     return goods.withColumn("allowed", F.when(most < 1, start["k"]).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), start, step)["k"]))
 
 
-def verdict(cutoffs: list) -> Column:
-    """True unless a rule's measure exceeds its stratum's cutoff. Cutoffs are literals: at most MAX_STRATA x rules."""
+def cutoff_columns(chosen: DataFrame) -> DataFrame:
+    """One row a stratum that has a cutoff: ``cut_stratum`` (a struct, which joins null with null) and ``cut_<rule>``."""
+    cuts = chosen.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in RULES])
+    return stored(cuts.select(F.struct("stratum").alias("cut_stratum"), *[f"cut_{r}" for r in RULES]), "cutoffs")
+
+
+def verdict() -> Column:
+    """True unless a rule's measure exceeds its stratum's cutoff."""
     out = F.lit(False)
     for rule in RULES:
-        mine = [(r["stratum"], r["cutoff"]) for r in cutoffs if r["rule"] == rule]
-        if mine:
-            known = F.create_map(*[F.lit(x) for s, c in mine if s is not None for x in (s, c)]) if any(s is not None for s, _ in mine) else None
-            null = next((c for s, c in mine if s is None), None)
-            limit = known[F.col("stratum")] if known is not None else F.lit(None).cast("double")
-            limit = F.when(F.col("stratum").isNull(), F.lit(null).cast("double")).otherwise(limit)
-            out = out | F.coalesce(measure(rule) > limit, F.lit(False))
+        out = out | F.coalesce(measure(rule) > F.col(f"cut_{rule}"), F.lit(False))
     return ~out
 
 
@@ -140,25 +142,29 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options)
     """One row per document: doc_id, stratum, the counts, base_failed, kept.
 
     Null text has no words and fails the base rules; null strata form one
-    stratum. Repeated rows are judged alike. Labels of unknown documents are
-    ignored; without labels only the base rules reject.
+    stratum; any number of strata will do. Repeated rows are judged alike.
+    Labels of unknown documents are ignored; without labels only the base rules
+    reject.
     """
     prepare(docs.sparkSession)
     columns = ["doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_bangs", "n_lines", "n_dup_lines", "n_repeat_words"]
     measured = stored(with_measures(docs.select("doc_id", F.col(stratum).cast("string").alias("stratum"), "text"), F.col("text")).select(*columns), "measures")
-    chosen = calibrate(measured, labels, **options).collect()
-    return measured.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(chosen))
+    cuts = cutoff_columns(calibrate(measured, labels, **options))
+    judged = measured.withColumn("cut_stratum", F.struct("stratum")).join(cuts, "cut_stratum", "left")
+    return judged.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict()).select(*columns, "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
     """``docs`` without the rows that ``judge`` rejects; any further columns stay."""
     prepare(docs.sparkSession)
+    # all rows of a labelled id, so that ids which several rows share are seen
     narrow = with_measures(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", F.col(stratum).cast("string").alias("stratum"), "text"), F.col("text")).drop("text")
-    chosen = calibrate(stored(narrow, "measures"), labels, **options).collect()
+    cuts = cutoff_columns(calibrate(stored(narrow, "measures"), labels, **options))
     rows = docs.select(packed(docs), F.col(stratum).cast("string").alias("stratum"))
     rows = with_measures(rows, F.col("row.text"))
     # with a column that is not deterministic, the filter does not move below the counts and repeat them
-    rows = rows.withColumn("at", F.monotonically_increasing_id()).filter((F.col("at") >= 0) & ~base_failed() & verdict(chosen))
+    rows = rows.withColumn("at", F.monotonically_increasing_id()).withColumn("cut_stratum", F.struct("stratum"))
+    rows = rows.join(cuts, "cut_stratum", "left").filter((F.col("at") >= 0) & ~base_failed() & verdict())
     return unpacked(rows, docs.columns)
 
 

@@ -176,9 +176,11 @@ long AS (SELECT doc_id, lang, unnest([{{'rule': 'symbols', 'v': CASE WHEN n_word
     {{'rule': 'repeats', 'v': CASE WHEN n_words > 0 THEN n_repeat_words::DOUBLE / n_words ELSE 0 END}},
     {{'rule': 'bangs', 'v': CASE WHEN n_words > 0 THEN n_bangs::DOUBLE / n_words ELSE 0 END}}], recursive := true) FROM m),
 grid AS (SELECT rule, unnest(cuts) AS cutoff FROM (VALUES {_RULES}) AS r(rule, cuts)),
+l1 AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IN (0, 1) GROUP BY doc_id HAVING min(quality) = max(quality)),
+once AS (SELECT doc_id FROM documents GROUP BY doc_id HAVING count(*) = 1),
 tried AS (SELECT lang, rule, cutoff, count(*) FILTER (quality = 1 AND v > cutoff) AS fr, count(*) FILTER (quality = 1) AS good,
     count(*) FILTER (quality = 0 AND v > cutoff) AS tr, count(*) FILTER (quality = 0) AS bad
-    FROM long JOIN labels USING (doc_id) JOIN grid USING (rule) WHERE quality IN (0, 1) GROUP BY ALL),
+    FROM long JOIN once USING (doc_id) JOIN l1 USING (doc_id) JOIN grid USING (rule) GROUP BY ALL),
 tests AS (SELECT count(DISTINCT coalesce(lang, '')) * (SELECT count(*) FROM grid) AS n FROM tried),
 terms AS (SELECT good, k, sum(exp(lgamma(good + 1) - lgamma(k + 1) - lgamma(good - k + 1) + k * ln({quality.RISK / len(quality.RULES)}) + (good - k) * ln(1 - {quality.RISK / len(quality.RULES)})))
     OVER (PARTITION BY good ORDER BY k) AS p FROM (SELECT DISTINCT good FROM tried WHERE good > 0) AS q, unnest(range(0, ceil(good * {quality.RISK / len(quality.RULES)})::BIGINT + 1)) AS u(k)),

@@ -4,6 +4,7 @@ import gzip
 import math
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -11,6 +12,8 @@ import pytest
 from reachlens.llm import html_text, language, mixing, packing, quality, queries, site_lines, warc
 from pyspark.sql import functions as F
 
+from tests.llm import plain_html
+
 DOCS = "doc_id long, text string, lang string, source string, size long, target double, `row` int, stratum string, copies int"
 PAGES = "page_id long, url string, html string, lang string, id int, payload string, last string"
 
@@ -75,6 +78,27 @@ def test_judge_keeps_good_and_bounds_false_rejections(spark):
     assert quality.judge(docs(spark, []), labels).count() == 0
 
 
+def test_repeated_labels_prove_nothing_more(spark):
+    rng = random.Random(2)
+    good = lambda: " ".join("".join(rng.choice("abcdef") for _ in range(rng.randint(2, 8))) for _ in range(60))
+    rows = [(i, good(), "en", "s") for i in range(30)] + [(100 + i, good().replace(" ", "### "), "en", "s") for i in range(10)]
+    once = [(i, int(i < 100)) for i, *_ in rows]
+    for labels in (once, once * 40, once * 40 + [(i, 0) for i in range(30)]):
+        out = quality.judge(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+        assert all(r.kept for r in out)
+    # nor do repeated documents
+    out = quality.judge(docs(spark, rows * 40), spark.createDataFrame(once, "doc_id long, quality int")).collect()
+    assert len(out) == 1600 and all(r.kept for r in out)
+
+
+def test_many_strata(spark):
+    text = "word " * 60
+    rows = [(i, text + str(i), f"l{i}", "s") for i in range(2100)] + [(5000, text, None, "s")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2100)], "doc_id long, quality int")
+    assert quality.judge(docs(spark, rows), labels).count() == 2101
+    assert quality.keep_good(docs(spark, rows), labels).count() == quality.judge(docs(spark, rows), labels).filter("kept").count()
+
+
 # mixing
 
 def plain_targets(sizes):
@@ -325,6 +349,31 @@ def test_extract(spark):
 
 # lines
 
+def _shape(parsed):
+    nodes, blocks = parsed
+    at = {id(n): i for i, n in enumerate(nodes)}
+    return [(n.tag, n.links, n.out, n.doubt, n.named, at.get(id(n.parent))) for n in nodes], [(at[id(n)], t, k) for n, t, k in blocks]
+
+
+def test_parsing_equals_plain_scans_of_the_stack():
+    rng = random.Random(7)
+    tags = "html body div p span a b i li ul ol td tr table th dt dd dl h1 h2 header article main section form br img option select script".split()
+    for _ in range(3000):
+        page = "".join(f"<{t}>" if r < 0.45 else f"</{t}>" if r < 0.75 else rng.choice(
+            ["text, here ", "x", "<!-- c -->", "<", "a > b", "<a href='x>y'>", "<!-- open", '<p class="ad">', "<b/>", "<div/>", "&amp;", "<a b", '<a "'])
+            for t, r in ((rng.choice(tags), rng.random()) for _ in range(rng.randint(1, 25))))
+        assert _shape(html_text.parse(page)) == _shape(plain_html.parse(page)), page
+
+
+@pytest.mark.parametrize("mark", ['<a "', "<font><div>..", "<span><a href=x>y</a>", "<a b ", '<a ">" ', "<a<a", '<a  ="', "<b><p>x</p>", "<form><li>x"])
+def test_broken_pages_take_linear_time(mark):
+    """A megabyte of each; the bound is loose, as quadratic time would be half an hour."""
+    start = time.process_time()
+    html_text.main_text(mark * (2 ** 20 // len(mark)))
+    html_text.main_text("<b>" * 2 ** 16 + mark * 2 ** 12 + "</i>" * 2 ** 16 + ">")
+    assert time.process_time() - start < 20
+
+
 def test_site_lines(spark):
     rows = [(i, f"http://A.example/{i}", f"<p>page {i}</p><footer>foot</footer>") for i in range(20)]
     rows += [(100 + i, f"http://b.example/{i}", f"<p>foot</p><p>b {i}</p>" if i == 0 else f"<p>b {i}</p><p>b {i}</p>") for i in range(30)]
@@ -336,6 +385,18 @@ def test_site_lines(spark):
     assert site_lines.drop_site_boilerplate(pages(spark, []), site_lines.html_lines(F.col("html")), site_lines.host(F.col("url"))).count() == 0
 
 
+def test_site_lines_of_small_hosts(spark):
+    """The ratio holds on hosts of every size; a line on one or two pages stays."""
+    sizes = (1, 2, 3, 9, 10, 40)
+    rows = [(1000 * n + i, f"http://h{n}.example/{i}", f"<p>all</p><p>{'two' if i < 2 else 'x'}</p><p>{'three' if i < 3 else 'y'}</p><p>own {i}</p>") for n in sizes for i in range(n)]
+    got = {r.page_id: r.text.split("\n") for r in site_lines.drop_site_boilerplate(pages(spark, rows), site_lines.html_lines(F.col("html")), site_lines.host(F.col("url"))).collect()}
+    for n in sizes:
+        for i in range(n):
+            lines = ["all", "two" if i < 2 else "x", "three" if i < 3 else "y", f"own {i}"]
+            count = {"all": n, "two": min(n, 2), "x": n - 2, "three": min(n, 3), "y": n - 3}
+            assert got[1000 * n + i] == [x for x in lines if count.get(x, 1) < 3 or count.get(x, 1) <= 0.1 * n], (n, i)
+
+
 # language
 
 def test_language_held_out(spark):
