@@ -102,9 +102,9 @@ def isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int
                      contamination: float = 0.05, seed: int = 42) -> DataFrame:
     """Isolation-forest score and flag per row.
 
-    Each tree draws its own sample by hashing (key, tree) - about 2*psi
-    candidate rows per tree, of which the psi smallest hashes are kept, so a
-    tree's group is bounded. Trees are built with numpy in a grouped map,
+    One hash a row cuts out a joint sample of about 2 * psi rows a tree (all
+    rows of a smaller table); of these, each tree keeps the psi smallest by a
+    hash of its own, so per-tree work does not grow with the table. Trees are built with numpy in a grouped map,
     collected (n_trees small trees) and applied with a vectorised pandas UDF.
     ``anomaly_score`` is minus the normalised score 2^(-E[h]/c(psi)); rows
     below the ``contamination`` quantile of the scores are flagged."""
@@ -113,11 +113,12 @@ def isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int
 
     d = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
     n = d.count()
-    limit = sample_limit(n, 2 * psi)
-    pick = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                    lambda t: F.shiftrightunsigned(F.xxhash64(F.col(key), t, F.lit(seed)), 1) < F.lit(limit))
-    samples = d.select("*", F.explode(pick).alias("tree_id")) \
-        .withColumn("_h", F.xxhash64(F.col(key), F.col("tree_id"), F.lit(seed + 1)))
+    # one hash a row: rows below the joint limit, about 2 * psi for every tree, are all that trees choose from
+    joint = d.withColumn("_u", F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 1)) \
+        .where(F.col("_u") < F.lit(sample_limit(n, 2 * psi * n_trees))).drop("_u")
+    limit = sample_limit(min(n, 2 * psi * n_trees), 2 * psi)
+    samples = joint.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree_id")) \
+        .withColumn("_h", F.shiftrightunsigned(F.xxhash64(F.col(key), F.col("tree_id"), F.lit(seed + 1)), 1)).where(F.col("_h") < F.lit(limit))
     schema = T.StructType([T.StructField("tree_id", T.IntegerType()),
                            T.StructField("feature", T.ArrayType(T.IntegerType())),
                            T.StructField("threshold", T.ArrayType(T.DoubleType())),

@@ -47,12 +47,17 @@ def one_hot_drop_first(df: DataFrame, col: str, prefix: str | None = None,
                        levels: list[str] | None = None) -> DataFrame:
     """Dummy columns ``<col>_<level>`` (1.0/0.0) for every level except the
     alphabetically first; NULL -> all zeros; the source column is dropped.
+    Without ``levels`` they are those of the data; with them (a fitted model's),
+    any other level is an error.
 
     The level list is the only thing brought to the driver (one value per
     distinct level, a small dimension)."""
     prefix = prefix or col
     if levels is None:
         levels = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+    else:
+        unknown = F.raise_error(F.concat(F.lit(f"unknown level of {col}: "), F.col(col).cast("string"))).cast(df.schema[col].dataType)
+        df = df.withColumn(col, F.when(F.col(col).isNull() | F.col(col).isin(levels), F.col(col)).otherwise(unknown))
     dummies = [F.when(F.col(col) == lv, F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{prefix}_{lv}")
                for lv in levels[1:]]
     return df.select(*[c for c in df.columns if c != col], *dummies)

@@ -1,11 +1,13 @@
 """Per-creator weekly forecasts for every series in one job.
 
 Series are one row per creator and week, so a series holds at most the number
-of weeks in the data's time span. Series are hash-partitioned on the creator,
-sorted by week, and fitted with numpy over whole Arrow batches
-(``mapInPandas``, many series per batch, no per-row Python). The pooled
-autoregressive model is one ``GBTRegressor`` trained on lag windows of all
-series, then rolled forward with one DataFrame pass per step.
+of weeks in the data's time span. Spark reduces each series to sums: the
+autoregression to its lag cross products, trend and seasonality to the products
+of the views with a basis that all series of one length share. Only the small
+linear systems are solved in Python, many series at once. Holt-Winters is a fold
+over the sorted weekly values. The pooled autoregressive model is one
+``GBTRegressor`` trained on lag windows of all series, then rolled forward with
+one DataFrame pass per step.
 
 Output (long): entity, model, step, week_end, forecast, lower, upper, trend,
 seasonal (the last two only for the trend + seasonality model).
@@ -13,260 +15,238 @@ seasonal (the last two only for the trend + seasonality model).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations_with_replacement as pairs
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SEASON = 4
 YEAR_WEEKS = 52.1775
 Z80, Z95 = 1.2815515655446004, 1.959963984540054
 
 
-def _schema(entity_type: T.DataType, entity: str) -> T.StructType:
-    return T.StructType([
-        T.StructField(entity, entity_type), T.StructField("model", T.StringType()),
-        T.StructField("step", T.IntegerType()), T.StructField("week_end", T.DateType()),
-        T.StructField("forecast", T.DoubleType()), T.StructField("lower", T.DoubleType()),
-        T.StructField("upper", T.DoubleType()), T.StructField("trend", T.DoubleType()),
-        T.StructField("seasonal", T.DoubleType())])
-
-
-# numpy fitters (one series each) ---------------------------------------------
-def fit_ar(y: np.ndarray, steps: int, season: int = SEASON):
-    """AR(p) plus an optional seasonal lag, least squares, order by AIC over
-    p in 0..3 and seasonal in {0, 1}; recursive forecast; normal interval
-    whose variance grows with the horizon."""
-    n = len(y)
-    best = None
-    for p in range(0, 4):
-        for s in (0, 1):
-            lags = list(range(1, p + 1)) + ([season] if s and season > p else [])
-            m = max(lags) if lags else 0
-            if n - m < len(lags) + 3:
-                continue
-            X = np.column_stack([np.ones(n - m)] + [y[m - k:n - k] for k in lags])
-            tgt = y[m:]
-            beta, *_ = np.linalg.lstsq(X, tgt, rcond=None)
-            resid = tgt - X @ beta
-            sigma2 = max(float(resid @ resid) / len(tgt), 1e-12)
-            aic = len(tgt) * np.log(sigma2) + 2 * (len(lags) + 1)
-            if best is None or aic < best[0]:
-                best = (aic, lags, beta, sigma2)
-    if best is None:
-        last = float(y[-1]) if n else 0.0
-        f = np.full(steps, last)
-        return f, f, f
-    _, lags, beta, sigma2 = best
-    hist = list(y.astype(float))
-    out = []
-    for _ in range(steps):
-        x = [1.0] + [hist[-k] for k in lags]
-        v = float(np.dot(beta, x))
-        out.append(v)
-        hist.append(v)
-    f = np.array(out)
-    half = Z95 * np.sqrt(sigma2 * np.arange(1, steps + 1))
-    return f, f - half, f + half
-
-
-_HW_GRID = np.array([(a, b, g) for a in (0.1, 0.3, 0.5, 0.7, 0.9) for b in (0.05, 0.2, 0.5)
-                     for g in (0.05, 0.3, 0.6)])
-
-
-def fit_holt_winters(y: np.ndarray, steps: int, season: int = SEASON):
-    """Additive trend + additive seasonality (period ``season``); smoothing
-    constants chosen by one-step squared error over a fixed grid, evaluated
-    for all grid points at once; band +-20 %. Fewer than 2 seasons of data:
-    last value."""
-    n = len(y)
-    if n < 2 * season:
-        last = float(y[-1]) if n else 0.0
-        f = np.full(steps, last)
-        return f, f - 0.2 * np.abs(f), f + 0.2 * np.abs(f)
-    a, b, g = _HW_GRID[:, 0], _HW_GRID[:, 1], _HW_GRID[:, 2]
-    k = len(_HW_GRID)
-    level = np.full(k, y[:season].mean())
-    trend = np.full(k, (y[season:2 * season].mean() - y[:season].mean()) / season)
-    seas = np.tile(y[:season] - y[:season].mean(), (k, 1))
-    sse = np.zeros(k)
-    for t in range(season, n):
-        si = t % season
-        pred = level + trend + seas[:, si]
-        err = y[t] - pred
-        sse += err * err
-        new_level = a * (y[t] - seas[:, si]) + (1 - a) * (level + trend)
-        trend = b * (new_level - level) + (1 - b) * trend
-        seas[:, si] = g * (y[t] - new_level) + (1 - g) * seas[:, si]
-        level = new_level
-    i = int(np.argmin(sse))
-    h = np.arange(1, steps + 1)
-    f = level[i] + h * trend[i] + seas[i, (n + h - 1) % season]
-    return f, f - 0.2 * np.abs(f), f + 0.2 * np.abs(f)
-
-
-def fit_holt_winters_block(series: list[np.ndarray], steps: int, season: int = SEASON):
-    """Holt-Winters for many series at once: the recursion runs over a
-    (series x grid) state matrix, one time step for all series per
-    iteration; series end at their own length (masked), so the result equals
-    ``fit_holt_winters`` per series."""
-    out = [None] * len(series)
-    idx = [i for i, y in enumerate(series) if len(y) >= 2 * season]
-    for i, y in enumerate(series):
-        if len(y) < 2 * season:
-            out[i] = fit_holt_winters(y, steps, season)
-    if not idx:
-        return out
-    lens = np.array([len(series[i]) for i in idx])
-    m, k, tmax = len(idx), len(_HW_GRID), int(lens.max())
-    Y = np.zeros((m, tmax))
-    for r, i in enumerate(idx):
-        Y[r, :lens[r]] = series[i]
-    a, b, g = (_HW_GRID[:, j][None, :] for j in range(3))
-    first = Y[:, :season].mean(axis=1)
-    level = np.repeat(first[:, None], k, axis=1)
-    trend = np.repeat(((Y[:, season:2 * season].mean(axis=1) - first) / season)[:, None], k, axis=1)
-    seas = np.repeat((Y[:, :season] - first[:, None])[:, None, :], k, axis=1)     # m x k x season
-    sse = np.zeros((m, k))
-    for t in range(season, tmax):
-        act = (t < lens)[:, None]
-        si = t % season
-        yt = Y[:, t][:, None]
-        s_old = seas[:, :, si]
-        err = yt - (level + trend + s_old)
-        sse += np.where(act, err * err, 0.0)
-        new_level = a * (yt - s_old) + (1 - a) * (level + trend)
-        new_trend = b * (new_level - level) + (1 - b) * trend
-        seas[:, :, si] = np.where(act, g * (yt - new_level) + (1 - g) * s_old, s_old)
-        level = np.where(act, new_level, level)
-        trend = np.where(act, new_trend, trend)
-    best = np.argmin(sse, axis=1)
-    h = np.arange(1, steps + 1)
-    for r, i in enumerate(idx):
-        j = best[r]
-        f = level[r, j] + h * trend[r, j] + seas[r, j, (lens[r] + h - 1) % season]
-        out[i] = (f, f - 0.2 * np.abs(f), f + 0.2 * np.abs(f))
-    return out
-
-
-def fit_trend_seasonal(t: np.ndarray, y: np.ndarray, steps: int, n_changepoints: int = 8,
-                       order: int = 3, ridge: float = 1.0):
-    """Piecewise-linear trend (hinges at quantiles of the first 80 % of the
-    history) plus yearly Fourier terms, ridge-penalised except intercept and
-    slope; 80 % interval from the residual spread. Returns forecast, lower,
-    upper, trend and seasonal components."""
-    n = len(y)
-    cps = np.quantile(t[: max(int(0.8 * n), 1)], np.linspace(0, 1, n_changepoints + 2)[1:-1]) if n > 3 else []
-
-    def design(tt):
-        cols = [np.ones_like(tt, dtype=float), tt.astype(float)]
-        cols += [np.maximum(tt - c, 0.0) for c in cps]
-        trend_cols = len(cols)
-        for kk in range(1, order + 1):
-            w = 2 * np.pi * kk * tt / YEAR_WEEKS
-            cols += [np.sin(w), np.cos(w)]
-        return np.column_stack(cols), trend_cols
-
-    X, nt = design(t)
-    pen = np.full(X.shape[1], ridge)
-    pen[:2] = 0.0
-    beta = np.linalg.lstsq(X.T @ X + np.diag(pen), X.T @ y, rcond=None)[0]
-    resid = y - X @ beta
-    sd = float(np.sqrt(resid @ resid / max(n - 1, 1)))
-    tf = t[-1] + np.arange(1, steps + 1)
-    Xf, _ = design(tf)
-    f = Xf @ beta
-    trend = Xf[:, :nt] @ beta[:nt]
-    return f, f - Z80 * sd, f + Z80 * sd, trend, f - trend
-
-
-def _fit_one(model: str, y: np.ndarray, t: np.ndarray, steps: int):
-    empty = np.full(steps, np.nan)
-    if model == "arima":
-        return (*fit_ar(y, steps), empty, empty)
-    if model == "holt_winters":
-        return (*fit_holt_winters(y, steps), empty, empty)
-    return fit_trend_seasonal(t, y, steps)
-
-
-def _partition_forecaster(entity: str, steps: int, models: tuple[str, ...]):
-    """mapInPandas body: the partition arrives clustered by entity and sorted
-    by week, so each Arrow batch holds many complete series; a series cut by
-    the batch boundary is carried into the next batch."""
-    import datetime as dt
-
-    horizon = np.arange(1, steps + 1, dtype="int32")
-
-    def fit_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = pdf[entity].to_numpy()
-        y_all = pdf["views"].to_numpy(dtype=float)
-        t_all = pdf["week_idx"].to_numpy(dtype=float)
-        weeks_all = pdf["week_end"].to_numpy()
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        ends = np.r_[starts[1:], len(keys)]
-        cols = {c: [] for c in ("key", "model", "week_end", "forecast", "lower", "upper", "trend", "seasonal")}
-        hw = fit_holt_winters_block([y_all[a:b] for a, b in zip(starts, ends)], steps) \
-            if "holt_winters" in models else None
-        empty = np.full(steps, np.nan)
-        for n_series, (a, b) in enumerate(zip(starts, ends)):
-            y, t = y_all[a:b], t_all[a:b]
-            last = weeks_all[b - 1]
-            weeks = [last + dt.timedelta(days=7 * int(h)) for h in horizon]
-            for model in models:
-                if model == "holt_winters":
-                    f, lo, hi = hw[n_series]
-                    tr = se = empty
-                else:
-                    f, lo, hi, tr, se = _fit_one(model, y, t, steps)
-                cols["key"].append(np.repeat(keys[a], steps))
-                cols["model"].append(np.repeat(model, steps))
-                cols["week_end"].extend(weeks)
-                for c, v in (("forecast", f), ("lower", lo), ("upper", hi), ("trend", tr), ("seasonal", se)):
-                    cols[c].append(np.asarray(v, dtype=float))
-        n_out = len(starts) * len(models)
-        return pd.DataFrame({
-            entity: np.concatenate(cols["key"]), "model": np.concatenate(cols["model"]),
-            "step": np.tile(horizon, n_out), "week_end": cols["week_end"],
-            **{c: np.concatenate(cols[c]) for c in ("forecast", "lower", "upper", "trend", "seasonal")}})
-
-    def run(batches):
-        carry = None
+def _long(fitted: DataFrame, entity: str, model: str) -> DataFrame:
+    """One row a step from arrays f, lo, hi, tr, se by step and the last week."""
+    step = F.col("_k") + 1
+    at = {c: F.get(F.col(c), F.col("_k")) for c in ("f", "lo", "hi", "tr", "se")}
+    return fitted.select("*", F.explode(F.sequence(F.lit(0), F.size("f") - 1)).alias("_k")).select(
+        entity, F.lit(model).alias("model"), step.cast("int").alias("step"), F.date_add("last_week", 7 * step).alias("week_end"),
+        at["f"].alias("forecast"), at["lo"].alias("lower"), at["hi"].alias("upper"), at["tr"].alias("trend"), at["se"].alias("seasonal"))
+
+
+_NONE = "CAST(NULL AS ARRAY<DOUBLE>)"
+_FITTED = "last_week date, f array<double>, lo array<double>, hi array<double>, tr array<double>, se array<double>"
+
+
+def _solved(moments: DataFrame, entity: str, solve, steps: int) -> DataFrame:
+    """``solve(pdf, steps)`` -> f, lo, hi[, tr, se], each (series x steps), over batches of moments."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if len(pdf) == 0:
-                continue
-            last_key = pdf[entity].iloc[-1]
-            tail = (pdf[entity] == last_key).to_numpy()
-            carry = pdf[tail]
-            done = pdf[~tail]
-            if len(done):
-                yield fit_block(done)
-        if carry is not None and len(carry):
-            yield fit_block(carry.reset_index(drop=True))
-
-    return run
+            if len(pdf):
+                parts = [list(x) for x in solve(pdf, steps)]
+                parts += [[None] * len(pdf)] * (5 - len(parts))
+                yield pd.DataFrame({entity: pdf[entity], "last_week": pdf["last_week"], **dict(zip(("f", "lo", "hi", "tr", "se"), parts))})
+
+    kind = moments.schema[entity].dataType.simpleString()
+    return moments.mapInPandas(run, f"`{entity}` {kind}, {_FITTED}")
+
+
+# Autoregression -----------------------------------------------------------
+#: Orders tried: lags 1..p, with or without the seasonal lag.
+AR_ORDERS = [(*range(1, p + 1), *((SEASON,) if s and SEASON > p else ())) for p in range(4) for s in (0, 1)]
+
+
+def ar_moments(series: DataFrame, entity: str = "channel_id") -> DataFrame:
+    """One row per series: ``n``, ``last_week``, ``tail`` (its last SEASON values, latest first, NULL before its start) and
+    for every m in 0..SEASON, over the weeks from the m-th on, ``s_m`` (sums of the value and its lags up to m) and
+    ``p_m`` (sums of their products, pairs in order). Every order's normal equations are parts of these."""
+    w = Window.partitionBy(entity).orderBy("week_idx")  # one row a week: bounded by the time span
+    y = F.col("views").cast("double")
+    rows = series.select(entity, "week_end", "week_idx", y.alias("l0"), *[F.lag(y, k).over(w).alias(f"l{k}") for k in range(1, SEASON + 1)],
+                         (F.row_number().over(w) - 1).alias("_r"))
+    out = []
+    for m in range(SEASON + 1):
+        own = [f"l{k}" for k in range(m + 1)]
+        out += [F.array(*[F.sum(F.when(F.col("_r") >= m, F.col(a))) for a in own]).alias(f"s_{m}"),
+                F.array(*[F.sum(F.when(F.col("_r") >= m, F.col(a) * F.col(b))) for a, b in pairs(own, 2)]).alias(f"p_{m}")]
+    last = F.max_by(F.struct(*[f"l{k}" for k in range(SEASON)]), "week_idx")
+    return rows.groupBy(entity).agg(F.count(F.lit(1)).alias("n"), F.max("week_end").alias("last_week"), last.alias("_t"), *out) \
+        .withColumn("tail", F.array(*[F.col(f"_t.l{k}") for k in range(SEASON)])).drop("_t")
+
+
+def _centred(pdf: pd.DataFrame, m: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Means and centred cross products of the value and its lags up to m."""
+    def stack(column: str, width: int) -> np.ndarray:
+        rows = np.zeros((len(pdf), width), np.longdouble)
+        for i, x in enumerate(pdf[column]):
+            rows[i] = [0 if v is None else v for v in x]
+        return np.nan_to_num(rows)
+
+    s = stack(f"s_{m}", m + 1)
+    p = stack(f"p_{m}", (m + 1) * (m + 2) // 2)
+    full = np.zeros((len(pdf), m + 1, m + 1), np.longdouble)
+    for k, (i, j) in enumerate(pairs(range(m + 1), 2)):
+        full[:, i, j] = full[:, j, i] = p[:, k]
+    mean = s / np.maximum(size, 1)[:, None]
+    centred = full - mean[:, :, None] * s[:, None, :]
+    # a value that never varies has no spread but rounding
+    flat = np.einsum("nii->ni", centred) <= 1e-14 * np.einsum("nii->ni", full)
+    centred[flat[:, :, None] | flat[:, None, :]] = 0
+    return mean.astype(float), centred.astype(float)
+
+
+def _solve_ar(pdf: pd.DataFrame, steps: int):
+    """Least squares of every order from the moments, the best by AIC, recursive forecast, normal interval whose variance
+    grows with the horizon. Lags that never vary get no weight; without enough weeks the last value goes on."""
+    n, size = pdf["n"].to_numpy(), len(pdf)
+    aic, sigma2 = np.full(size, np.inf), np.zeros(size)
+    beta = np.zeros((size, SEASON + 1))
+    tail = np.array([[0.0 if v is None else v for v in x] for x in pdf["tail"]], float).reshape(size, SEASON)
+    tail = np.nan_to_num(tail)
+    moments = {m: _centred(pdf, m, n - m) for m in range(SEASON + 1)}
+    for lags in AR_ORDERS:
+        m = max(lags, default=0)
+        mean, c = moments[m]
+        rows = n - m
+        at = list(lags)
+        own, cross = c[:, at][:, :, at], c[:, at, 0]
+        scale = np.sqrt(np.einsum("nii->ni", own))
+        scale[scale == 0] = 1
+        b = np.einsum("nij,nj->ni", np.linalg.pinv(own / scale[:, :, None] / scale[:, None, :], rcond=1e-10, hermitian=True), cross / scale) / scale if at else np.zeros((size, 0))
+        rss = c[:, 0, 0] - 2 * np.einsum("ni,ni->n", b, cross) + np.einsum("ni,nij,nj->n", b, own, b)
+        var = np.maximum(rss / np.maximum(rows, 1), 1e-12)
+        score = np.where(rows >= len(at) + 3, rows * np.log(var) + 2 * (len(at) + 1), np.inf)
+        better = score < aic
+        aic[better], sigma2[better] = score[better], var[better]
+        new = np.zeros((size, SEASON + 1))
+        new[:, 0] = mean[:, 0] - np.einsum("ni,ni->n", b, mean[:, at])
+        new[:, at] = b
+        beta[better] = new[better]
+    out, past = np.zeros((size, steps)), tail.copy()
+    for h in range(steps):
+        out[:, h] = beta[:, 0] + np.einsum("nk,nk->n", beta[:, 1:], past)
+        past = np.column_stack([out[:, h], past[:, :-1]])
+    none = np.isinf(aic)
+    out[none] = tail[none, :1]
+    half = Z95 * np.sqrt(sigma2[:, None] * np.arange(1, steps + 1))
+    half[none] = 0
+    return out, out - half, out + half
+
+
+# Holt-Winters -------------------------------------------------------------
+#: Smoothing constants (level, trend, season) tried.
+HW_GRID = [(a, b, g) for a in (0.1, 0.3, 0.5, 0.7, 0.9) for b in (0.05, 0.2, 0.5) for g in (0.05, 0.3, 0.6)]
+
+
+def holt_winters(series: DataFrame, steps: int, entity: str = "channel_id") -> DataFrame:
+    """Additive trend and seasonality of SEASON weeks: a fold over the sorted weekly values whose state is an array with
+    one entry for each grid point (level, trend, the next seasonal terms in order, squared error). The grid point with
+    the least one-step error forecasts; band +-20 %. Under two seasons of data the last value goes on."""
+    y = series.groupBy(entity).agg(F.max("week_end").alias("last_week"), F.sort_array(F.collect_list(F.struct(
+        "week_idx", F.col("views").cast("double").alias("v")))).alias("_w")).select(entity, "last_week", F.col("_w.v").alias("_y"))
+
+    def mean(values: Column, first: int) -> Column:
+        return sum((F.get(values, F.lit(first + k)) for k in range(1, SEASON)), F.get(values, F.lit(first))) / SEASON
+
+    seasons = [f"s{k}" for k in range(SEASON)]
+    grid = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(g).alias("g")) for a, b, g in HW_GRID])
+    y = y.withColumn("_m", mean(F.col("_y"), 0)).withColumn("_d", (mean(F.col("_y"), SEASON) - F.col("_m")) / SEASON)
+    start = F.transform(grid, lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), x["g"].alias("g"), F.col("_m").alias("level"), F.col("_d").alias("trend"),
+                                                 *[(F.get("_y", F.lit(k)) - F.col("_m")).alias(s) for k, s in enumerate(seasons)], F.lit(0.0).alias("sse")))
+
+    def step(state: Column, v: Column) -> Column:
+        def one(x: Column) -> Column:
+            level = x["a"] * (v - x["s0"]) + (1 - x["a"]) * (x["level"] + x["trend"])
+            err = v - (x["level"] + x["trend"] + x["s0"])
+            # the oldest seasonal term is renewed and goes to the end
+            return F.struct(x["a"].alias("a"), x["b"].alias("b"), x["g"].alias("g"), level.alias("level"),
+                            (x["b"] * (level - x["level"]) + (1 - x["b"]) * x["trend"]).alias("trend"),
+                            *[x[seasons[k + 1]].alias(seasons[k]) for k in range(SEASON - 1)],
+                            (x["g"] * (v - level) + (1 - x["g"]) * x["s0"]).alias(seasons[-1]), (x["sse"] + err * err).alias("sse"))
+
+        return F.transform(state, one)
+
+    enough = F.size("_y") >= 2 * SEASON
+    ends = F.aggregate(F.slice("_y", SEASON + 1, F.greatest(F.size("_y") - SEASON, F.lit(0))), start, step)
+    best = F.array_min(F.transform(ends, lambda x, i: F.struct(x["sse"].alias("sse"), i.alias("i"), x.alias("x"))))["x"]
+    y = y.withColumn("_b", F.when(enough, best))
+    ahead = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda h: F.col("_b.level") + h * F.col("_b.trend") + F.get(
+        F.array(*[F.col(f"_b.{s}") for s in seasons]), (h - 1) % SEASON))
+    f = F.when(enough, ahead).otherwise(F.array_repeat(F.element_at("_y", -1), steps))
+    y = y.withColumn("f", f)
+    return y.select(entity, "last_week", "f", F.transform("f", lambda v: v - 0.2 * F.abs(v)).alias("lo"), F.transform("f", lambda v: v + 0.2 * F.abs(v)).alias("hi"),
+                    F.expr(_NONE).alias("tr"), F.expr(_NONE).alias("se"))
+
+
+# T4: trend and seasonality ----------------------------------------------------
+HINGES, FOURIER, RIDGE = 8, 3, 1.0
+_BASIS = 2 + HINGES + 2 * FOURIER
+
+
+def trend_basis(t: Column, n: Column) -> list[Column]:
+    """Terms at week ``t`` of a series of ``n`` weeks: constant, slope, hinges at even quantiles of the first 80 % of the
+    weeks (none up to three weeks), and yearly sines and cosines."""
+    t = t.cast("double")
+    reach = F.greatest(F.floor(F.lit(0.8) * n), F.lit(1)) - 1
+    hinge = [F.when(n > 3, F.greatest(t - reach * F.lit(j / (HINGES + 1)), F.lit(0.0))).otherwise(F.lit(0.0)) for j in range(1, HINGES + 1)]
+    wave = [f(t * F.lit(2 * np.pi * k / YEAR_WEEKS)) for k in range(1, FOURIER + 1) for f in (F.sin, F.cos)]
+    return [F.lit(1.0), t, *hinge, *wave]
+
+
+def trend_moments(series: DataFrame, entity: str = "channel_id") -> DataFrame:
+    """One row per series: ``n``, ``last_week``, ``yy`` (sum of squares), ``xy`` (products with the basis) and ``xx``
+    (products of the basis, pairs in order), which all series of one length share."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(entity))  # one row a week: bounded by the time span
+    y = F.col("views").cast("double")
+    rows = series.select(entity, "week_end", y.alias("_y"), n.alias("n"), "week_idx")
+    own = rows.groupBy(entity, "n").agg(F.max("week_end").alias("last_week"), F.sum(F.col("_y") * F.col("_y")).alias("yy"),
+                                        F.array(*[F.sum(F.col("_y") * x) for x in trend_basis(F.col("week_idx"), F.col("n"))]).alias("xy"))
+    weeks = own.select("n").distinct().select("n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("_t"))
+    weeks = weeks.select("n", *[x.alias(f"x{i}") for i, x in enumerate(trend_basis(F.col("_t"), F.col("n")))])
+    shared = weeks.groupBy("n").agg(F.array(*[F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in pairs(range(_BASIS), 2)]).alias("xx"))
+    return own.join(shared, "n")
+
+
+def _solve_trend(pdf: pd.DataFrame, steps: int):
+    """Ridge on all but constant and slope; 80 % interval from the residual spread; trend and seasonal parts."""
+    n = pdf["n"].to_numpy()
+    xy, yy = np.stack(pdf["xy"].to_numpy()), pdf["yy"].to_numpy()
+    f, trend, sd = np.zeros((len(pdf), steps)), np.zeros((len(pdf), steps)), np.zeros(len(pdf))
+    for size in np.unique(n):
+        at = np.flatnonzero(n == size)
+        gram = np.zeros((_BASIS, _BASIS))
+        for v, (i, j) in zip(pdf["xx"].iloc[at[0]], pairs(range(_BASIS), 2)):
+            gram[i, j] = gram[j, i] = v
+        beta = np.linalg.lstsq(gram + np.diag([0.0, 0.0] + [RIDGE] * (_BASIS - 2)), xy[at].T, rcond=None)[0]
+        rss = yy[at] - 2 * np.einsum("in,ni->n", beta, xy[at]) + np.einsum("in,ij,jn->n", beta, gram, beta)
+        sd[at] = np.sqrt(np.maximum(rss, 0) / max(size - 1, 1))
+        t = size - 1 + np.arange(1, steps + 1)
+        reach = max(int(0.8 * size), 1) - 1
+        hinge = [np.maximum(t - reach * (j / (HINGES + 1)), 0.0) if size > 3 else np.zeros(steps) for j in range(1, HINGES + 1)]
+        wave = [g(t * (2 * np.pi * k / YEAR_WEEKS)) for k in range(1, FOURIER + 1) for g in (np.sin, np.cos)]
+        ahead = np.array([np.ones(steps), t, *hinge, *wave])
+        f[at] = beta.T @ ahead
+        trend[at] = beta[:2 + HINGES].T @ ahead[:2 + HINGES]
+    half = Z80 * sd[:, None]
+    return f, f - half, f + half, trend, f - trend
 
 
 def forecast_series(series: DataFrame, steps: int = 12, entity: str = "channel_id",
-                    models: tuple[str, ...] = ("arima", "holt_winters", "trend_seasonal"),
-                    num_partitions: int | None = None) -> DataFrame:
-    """Fit the per-series models for every entity in one job (T2 ``arima``,
-    T3 ``holt_winters``, T4 ``trend_seasonal``).
-
-    Series are hash-partitioned on the entity and sorted by week inside each
-    partition, then fitted batch-wise with numpy (``mapInPandas``), which
-    avoids one Arrow round trip per series. The cost is CPU per series, not
-    bytes, so the partition count is explicit (default: two per core) rather
-    than left to adaptive coalescing of the small shuffle."""
-    schema = _schema(series.schema[entity].dataType, entity)
-    parts = num_partitions or 2 * series.sparkSession.sparkContext.defaultParallelism
-    return series.select(entity, "week_end", "week_idx", "views").repartition(parts, entity) \
-        .sortWithinPartitions(entity, "week_idx") \
-        .mapInPandas(_partition_forecaster(entity, steps, models), schema)
+                    models: tuple[str, ...] = ("arima", "holt_winters", "trend_seasonal")) -> DataFrame:
+    """The per-series models for every entity (T2 ``arima``, T3 ``holt_winters``, T4 ``trend_seasonal``).
+
+    ``series`` is as from ``weekly_series``: one row a week without gaps,
+    ``week_idx`` from 0."""
+    fits = {"arima": lambda: _solved(ar_moments(series, entity), entity, _solve_ar, steps),
+            "holt_winters": lambda: holt_winters(series, steps, entity),
+            "trend_seasonal": lambda: _solved(trend_moments(series, entity), entity, _solve_trend, steps)}
+    return reduce(DataFrame.unionByName, [_long(fits[m](), entity, m) for m in models])
 
 
 # T5: pooled boosted-tree autoregression ---------------------------------------

@@ -17,33 +17,41 @@ round is a small number of distributed jobs:
    has the least total distance. Claims are equi-joins on the control number,
    so no pairs are enumerated;
 3. every claimed control accepts its closest claimant (ties: smaller key);
-4. accepted pairs leave both pools, which are checkpointed, and the next round
-   starts with the rejected rows.
+4. accepted pairs are stored and leave; the rejected rows start over.
 
-Each claimed control accepts one claimant, so every round matches at least one
-pair and the loop ends when either pool is empty; a dense cluster of treated
-rows is resolved in one round instead of one control per round. The result
-is a 1:1 matching that does not depend on row order, which is the documented
+Rounds are at most log2(runs) + 2. A rejected row's control was claimed from
+another run too, and both runs claimed all controls between themselves and it;
+so nothing free is left between the two runs, which are one run in the next
+round: the number of runs that still have rows at least halves. A dense
+cluster, however large, is one run.
+
+At the end no free control is closer to a treated row than its own. On the
+side it went to, all nearer controls were claimed. If a control above stayed
+free, the row of the run that could have claimed it went down and found that
+no farther, and a row below it is farther from that control and nearer to its
+own; the same holds the other way round. Controls only leave, so this stays
+true. The result does not depend on row order, which is the documented
 divergence from an order-dependent greedy scan.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachlens.operators.sequence import sequence
 
 
-def _round(t_pool: DataFrame, c_pool: DataFrame) -> DataFrame:
-    u = t_pool.select("_id", "_p", F.lit(1).alias("_is_t"), F.lit(0).alias("_is_c")) \
-        .unionByName(c_pool.select("_id", "_p", F.lit(0).alias("_is_t"), F.lit(1).alias("_is_c")))
-    s = sequence(u, [], ["_p", "_is_t", "_id"], cums=["_is_c", "_is_t"], seq_col="_r")
+def _claims(s: DataFrame) -> DataFrame:
+    """Accepted pairs of a round. ``s``: free rows with their ranks among controls and treated rows."""
     ctl = s.where(F.col("_is_c") == 1).select(F.col("cum__is_c").alias("_rank"), F.col("_id").alias("_cid"),
                                               F.col("_p").alias("_cp"))
     tr = s.where(F.col("_is_t") == 1).select("_id", "_p", F.col("cum__is_c").alias("_run"),
                                              F.col("cum__is_t").alias("_ct"))
-    runs = tr.groupBy("_run").agg(F.min("_ct").alias("_t0"), F.count(F.lit(1)).alias("_m"))
+    # stored, so that the join can split a run that holds most of the rows
+    runs = tr.groupBy("_run").agg(F.min("_ct").alias("_t0"), F.count(F.lit(1)).alias("_m")).checkpoint()
     tr = tr.join(runs, "_run")
     i = F.col("_ct") - F.col("_t0") + 1
     j = F.col("_m") - i + 1
@@ -63,24 +71,38 @@ def _round(t_pool: DataFrame, c_pool: DataFrame) -> DataFrame:
         .select(F.col("w.t").alias("t"), "c", F.col("w.pt").alias("pt"), "pc")
 
 
+def match_rounds(treated: DataFrame, controls: DataFrame, key: str = "channel_id",
+                 score: str = "propensity") -> tuple[DataFrame, int]:
+    """As ``match_nearest``, with the number of rounds it took."""
+    def side(df: DataFrame, is_t: int) -> DataFrame:
+        return df.select(F.col(key).alias("_id"), F.col(score).cast("double").alias("_p"), F.lit(is_t).alias("_is_t"),
+                         F.lit(1 - is_t).alias("_is_c")).where(F.col("_p").isNotNull())
+
+    free, won = side(treated, 1).unionByName(side(controls, 0)), []
+    while True:
+        s = sequence(free, [], ["_p", "_is_t", "_id"], cums=["_is_c", "_is_t"], seq_col="_r")
+        left = s.agg(F.max("_is_t"), F.max("_is_c")).first()
+        if not (left[0] and left[1]):
+            break
+        pairs = _claims(s).checkpoint()
+        won.append(pairs)
+        gone = pairs.select(F.col("t").alias("_id"), F.lit(1).alias("_is_t")).unionByName(pairs.select(F.col("c").alias("_id"), F.lit(0).alias("_is_t")))
+        free = s.select("_id", "_p", "_is_t", "_is_c").join(gone, ["_id", "_is_t"], "left_anti")
+    if not won:
+        kind = treated.schema[key].dataType.simpleString()
+        won, rounds = [treated.sparkSession.createDataFrame([], f"t {kind}, c {kind}, pt double, pc double")], 0
+    else:
+        rounds = len(won)
+    pairs = reduce(DataFrame.unionByName, won)
+    return pairs.select(F.col("t").alias("treated_" + key), F.col("c").alias("control_" + key),
+                        F.col("pt").alias("pscore_treated"), F.col("pc").alias("pscore_control")), rounds
+
+
 def match_nearest(treated: DataFrame, controls: DataFrame, key: str = "channel_id",
                   score: str = "propensity") -> DataFrame:
     """Pairs (treated_<key>, control_<key>, pscore_treated, pscore_control);
-    keys must be unique within each side."""
-    spark = treated.sparkSession
-    t_pool = treated.select(F.col(key).alias("_id"), F.col(score).cast("double").alias("_p")) \
-        .where(F.col("_p").isNotNull()).checkpoint()
-    c_pool = controls.select(F.col(key).alias("_id"), F.col(score).cast("double").alias("_p")) \
-        .where(F.col("_p").isNotNull()).checkpoint()
-    key_type = t_pool.schema["_id"].dataType.simpleString()
-    pairs = spark.createDataFrame([], f"t {key_type}, c {key_type}, pt double, pc double")
-    while not t_pool.isEmpty() and not c_pool.isEmpty():
-        won = _round(t_pool, c_pool).checkpoint()
-        pairs = pairs.unionByName(won).checkpoint()
-        t_pool = t_pool.join(won.select(F.col("t").alias("_id")), "_id", "left_anti").checkpoint()
-        c_pool = c_pool.join(won.select(F.col("c").alias("_id")), "_id", "left_anti").checkpoint()
-    return pairs.select(F.col("t").alias("treated_" + key), F.col("c").alias("control_" + key),
-                        F.col("pt").alias("pscore_treated"), F.col("pc").alias("pscore_control"))
+    keys must be unique within each side. Rows without a score take no part."""
+    return match_rounds(treated, controls, key, score)[0]
 
 
 def matched_outcomes(pairs: DataFrame, units: DataFrame, key: str = "channel_id",

@@ -14,16 +14,17 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.stat import Correlation
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reachlens.functions.numerics import f_sf, t_sf_two_sided
+from reachlens.operators import gram
+from reachlens.operators.clustering import k_means
+from reachlens.operators.quantiles import order_statistics
 from reachlens.operators.sequence import global_rank, with_group_count
 
 NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType)
@@ -45,6 +46,39 @@ def hash_split(df: DataFrame, key: str, seed: int = 42, train_pct: int = 80, col
     return df.withColumn(col, F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < train_pct)
 
 
+def stratified_split(df: DataFrame, key: str, label: str, train_share: float = 0.8, seed: int = 42, col: str = "is_train") -> DataFrame:
+    """Deterministic split in which floor(train_share * n) rows of each label train.
+
+    The rows with the smallest key hashes train; the hash at the cut comes from
+    ``order_statistics``, so no label's rows are sorted or put in one task. Rows
+    that share that hash go in key order. A NULL label is a label."""
+    h = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 12).cast("double")  # 52 bits: exact as a double
+    rows = df.withColumn("_h", h)
+    cut = order_statistics(rows, [label], "_h", F.array(F.floor(F.col("n") * train_share) - 1))
+    cut = cut.select(F.struct(F.col(label).alias("l")).alias("_l"), F.col("v").alias("_cut"), (F.col("tie") + 1).alias("_need"))
+    # one row a label; the struct joins NULL with NULL
+    rows = rows.withColumn("_l", F.struct(F.col(label).alias("l"))).join(cut, "_l", "left")
+    at_cut = F.coalesce(F.col("_h") == F.col("_cut"), F.lit(False))
+    tied = rows.where(at_cut).withColumn(col, F.row_number().over(Window.partitionBy("_l").orderBy(key)) <= F.col("_need"))
+    rest = rows.where(~at_cut).withColumn(col, F.coalesce(F.col("_h") < F.col("_cut"), F.lit(False)))
+    return rest.unionByName(tied).select(*df.columns, col)
+
+
+def area_under_roc(df: DataFrame, score: str, label: str) -> DataFrame:
+    """One row ``auc``: the chance that a positive row scores higher than a negative one, ties half (Mann-Whitney).
+
+    Rows are counted by distinct score; average ranks come from prefix counts
+    over the scores (``global_rank``), so ties of any size and any number of
+    rows stay distributed. Without both labels it is NULL; rows with a NULL
+    score or label are left out."""
+    d = df.select(F.col(score).cast("double").alias("_s"), F.col(label).cast("int").alias("_y")).dropna()
+    by_score = d.groupBy("_s").agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg"))
+    r = global_rank(by_score, ["_s"], cums=["neg"], rank_col="_r")
+    # negatives below a positive, and half of those beside it
+    below = F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2)
+    return r.agg(F.try_divide(F.sum(below), F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+
+
 def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "", fit: DataFrame | None = None) -> DataFrame:
     """(x - mean) / population std for each column (std 0 -> 0), of ``fit`` if given, else of ``df``."""
     stats = (df if fit is None else fit).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
@@ -64,82 +98,73 @@ GROWTH_EXCLUDE = ["channel_id", "channel_name", "country", "growth_rate", "total
                   "earnings_max"]
 
 
+def growth_moments(feat: DataFrame, target: str = "growth_rate", exclude: Sequence[str] = GROWTH_EXCLUDE, folds: int = 5,
+                   order_key: str = "channel_id") -> tuple[DataFrame, list[str], float]:
+    """Rows with standardised features, the target less its mean (``_y``) and ``fold``: contiguous folds in key order, as
+    an unshuffled k-fold split would cut them. Also the features' names and the target's mean. NULL features count as
+    0; rows without a target are left out."""
+    cols = numeric_columns(feat, list(exclude))
+    d = feat.select(order_key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols],
+                    F.col(target).cast("double").alias("_y")).where(F.col("_y").isNotNull())
+    # the rank stores the rows, so that the features are computed once
+    r = with_group_count(global_rank(d, [order_key], rank_col="_r"), [], "_n")
+    r = r.withColumn("fold", F.floor((F.col("_r") - 1) * folds / F.col("_n")).cast("int"))
+    z, means, devs = gram.scaled(r, [*cols, "_y"])
+    return z.withColumn("_y", F.col("_y") * F.lit(float(devs[-1]))).select(order_key, "fold", *cols, "_y"), cols, float(means[-1])
+
+
 def growth_regression(feat: DataFrame, target: str = "growth_rate", exclude: Sequence[str] = GROWTH_EXCLUDE,
                       ridge_alpha: float = 1.0, lasso_alpha: float = 0.01, folds: int = 5,
                       order_key: str = "channel_id") -> dict[str, DataFrame]:
     """OLS (with standard errors and p-values) and VIF on standardised
-    features, ridge and lasso coefficients, and contiguous k-fold CV R^2.
-
-    Returns frames: ``ols`` (term, coef, std_err, t, p_value), ``vif``
-    (feature, vif), ``ridge`` / ``lasso`` (feature, coef), ``lasso_surviving``
-    (non-zero lasso coefficients by |coef|), ``cv`` (model, cv_r2)."""
+    features, ridge and lasso coefficients, and contiguous k-fold CV R^2, all
+    from one aggregate of cross products by fold (``gram``). A fold's models are
+    scaled and fitted by the other folds alone.
+
+    Returns frames: ``ols`` (term, coef, std_err, t, p_value), ``fit`` (n, r2,
+    adj_r2, f_stat, f_p_value), ``vif`` (feature, vif), ``ridge`` / ``lasso``
+    (feature, coef), ``lasso_surviving`` (non-zero lasso coefficients by
+    |coef|), ``cv`` (model, cv_r2)."""
     spark = feat.sparkSession
-    cols = numeric_columns(feat, list(exclude))
-    d = feat.select(order_key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols],
-                    F.col(target).cast("double").alias("_y"))
-    # one row per creator, reused by every fit below: materialise once
-    z = _assemble(standardize(d, cols), cols).checkpoint()
-    n = z.count()
-
-    from reachlens.operators.causal import ols_table
-
-    ols_df = ols_table(z, "_y", cols).withColumn(
-        "term", F.when(F.col("term") == "Intercept", "const").otherwise(F.col("term"))) \
-        .select("term", "coef", "std_err", "t", "p_value")
-
-    corr = Correlation.corr(_assemble(d, cols), "features").head()[0].toArray()
-    try:
-        vif_vals = np.diag(np.linalg.inv(corr))
-    except np.linalg.LinAlgError:
-        vif_vals = np.diag(np.linalg.pinv(corr))
-    vif_df = spark.createDataFrame([("const", 1.0)] + [(c, float(v)) for c, v in zip(cols, vif_vals)],
-                                   "feature string, vif double")
-
-    y_std = z.agg(F.stddev_pop("_y")).head()[0] or 1.0  # the solver scales by the population deviation
-    ridge = LinearRegression(featuresCol="features", labelCol="_y", elasticNetParam=0.0,
-                             regParam=ridge_alpha * y_std / n, standardization=False, solver="normal")
-    lasso = LinearRegression(featuresCol="features", labelCol="_y", elasticNetParam=1.0,
-                             regParam=lasso_alpha, standardization=False, maxIter=500, tol=1e-9)
-    rm, lm = ridge.fit(z), lasso.fit(z)
-    ridge_df = spark.createDataFrame([(c, float(v)) for c, v in zip(cols, rm.coefficients)], "feature string, coef double")
-    lasso_df = spark.createDataFrame([(c, float(v)) for c, v in zip(cols, lm.coefficients)], "feature string, coef double")
-    surviving = lasso_df.where(F.col("coef") != 0).orderBy(F.abs("coef").desc())
-
-    # contiguous folds in key order, as an unshuffled k-fold split would cut them
-    r = global_rank(d, [order_key], rank_col="_r")
-    r = with_group_count(r, [], "_n").withColumn("fold", F.floor((F.col("_r") - 1) * folds / F.col("_n")).cast("int"))
-    r = r.checkpoint()
-    ev = RegressionEvaluator(labelCol="_y", metricName="r2")
-    scores: dict[str, list[float]] = {"ridge": [], "lasso": []}
-    for k in range(folds):
-        train = r.where(F.col("fold") != k)
-        # scaled by the training part alone; its size sets the ridge penalty
-        scaled = _assemble(standardize(r, cols, fit=train), cols).checkpoint()
-        train, test = scaled.where(F.col("fold") != k), scaled.where(F.col("fold") == k)
-        m, dev = train.agg(F.count(F.lit(1)), F.stddev_pop("_y")).head()
-        fold_ridge = ridge.copy({ridge.regParam: ridge_alpha * (dev or 1.0) / m})
-        for name, est in (("ridge", fold_ridge), ("lasso", lasso)):
-            scores[name].append(ev.evaluate(est.fit(train).transform(test)))
-    cv_df = spark.createDataFrame([(name, float(np.mean(s))) for name, s in scores.items()], "model string, cv_r2 double")
-    return {"ols": ols_df, "vif": vif_df, "ridge": ridge_df, "lasso": lasso_df,
-            "lasso_surviving": surviving, "cv": cv_df}
+    z, cols, mean = growth_moments(feat, target, exclude, folds, order_key)
+    parts = gram.moments(z, [*cols, "_y"], "fold")
+    width = len(cols) + 1
+    total = sum(parts.values(), gram.Moments(0, np.zeros(width), np.zeros((width, width))))
+
+    fit = gram.least_squares(total)
+    fit["coef"][0] += mean
+    t = [float(c / e) if e > 0 else float("nan") for c, e in zip(fit["coef"], fit["std_err"])]
+    ols_df = spark.createDataFrame([(term, float(c), float(e), v, float(t_sf_two_sided(v, fit["df"])))
+                                    for term, c, e, v in zip(["const", *cols], fit["coef"], fit["std_err"], t)],
+                                   "term string, coef double, std_err double, t double, p_value double")
+    fit_df = spark.createDataFrame([(fit["n"], float(fit["r2"]), float(fit["adj_r2"]), float(fit["f"]), float(f_sf(fit["f"], fit["rank"], fit["df"])))],
+                                   "n long, r2 double, adj_r2 double, f_stat double, f_p_value double")
+
+    def named(values, first=()) -> list[tuple]:
+        return [*first, *((c, float(v)) for c, v in zip(cols, values))]
+
+    models = {"ridge": lambda m: gram.ridge(m, ridge_alpha), "lasso": lambda m: gram.lasso(m, lasso_alpha)}
+    out = {name: spark.createDataFrame(named(fitted(total)), "feature string, coef double") for name, fitted in models.items()}
+    cv = []
+    for name, fitted in models.items():
+        scores = []
+        for part in parts.values():
+            rest = total - part
+            scores.append(gram.r_squared(part, gram.unscaled(rest, fitted(rest))))
+        cv.append((name, float(np.mean(scores)) if scores else float("nan")))
+    return {"ols": ols_df, "fit": fit_df, "vif": spark.createDataFrame(named(gram.inflation(total), [("const", 1.0)]), "feature string, vif double"),
+            **out, "lasso_surviving": out["lasso"].where(F.col("coef") != 0).orderBy(F.abs("coef").desc()),
+            "cv": spark.createDataFrame(cv, "model string, cv_r2 double")}
 
 
 # M7 / M8 / M9 ----------------------------------------------------------------
 def segment_creators(feat: DataFrame, k: int = 5, seed: int = 42, n_init: int = 10,
                      cols: Sequence[str] = CLUSTER_COLS, key: str = "channel_id") -> tuple[DataFrame, DataFrame]:
-    """K-means on standardised features, best of ``n_init`` seeds by training
-    cost; returns (rows with ``cluster`` and ``segment``, cluster profiles)."""
+    """K-means on standardised features, best of ``n_init`` starts by cost, all in
+    one loop; returns (rows with ``cluster`` and ``segment``, cluster profiles)."""
     d = feat.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    z = _assemble(standardize(d, cols, "_z"), [c + "_z" for c in cols]).cache()
-    best = None
-    for i in range(n_init):
-        m = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster", maxIter=300).fit(z)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    out = best[1].transform(z).select(key, *cols, "cluster")
-    z.unpersist()
+    z = standardize(d, cols, "_z").checkpoint()
+    out = k_means(z, [c + "_z" for c in cols], key, k, starts=n_init, seed=seed)[0].select(key, *cols, "cluster")
     prof = cluster_profiles(out, "cluster", cols)
     labels = segment_labels(prof, "cluster")
     # k rows: bounded by the number of clusters
@@ -250,7 +275,7 @@ def permutation_importance(model, test: DataFrame, features: Sequence[str], labe
 def train_churn_model(feat: DataFrame, max_iter: int = 200, seed: int = 42, exclude_leaky: bool = False,
                       key: str = "channel_id", label: str = "churned") -> dict:
     """Scaled logistic regression (C=1) and boosted trees (200, 0.05, depth 4)
-    on the churn features; AUC of each on a hash hold-out, the better model,
+    on the churn features; AUC of each on a hold-out stratified by label, the better model,
     GBT importances, a per-class report and churn scores for every creator.
     ``exclude_leaky`` drops days_since_last, which defines the label."""
     drop = [key, label] + (["days_since_last"] if exclude_leaky else [])
@@ -258,7 +283,7 @@ def train_churn_model(feat: DataFrame, max_iter: int = 200, seed: int = 42, excl
     d = feat.select(key, F.col(label).cast("double").alias("label"),
                     *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
     # one row per creator, reused by every fit and evaluation: materialise once
-    d = hash_split(_assemble(d, cols, "raw"), key, seed).checkpoint()
+    d = stratified_split(_assemble(d, cols, "raw"), key, "label", seed=seed).checkpoint()
     train, test = d.where("is_train"), d.where(~F.col("is_train"))
     n_train = train.count()
     lr = Pipeline(stages=[
@@ -267,25 +292,24 @@ def train_churn_model(feat: DataFrame, max_iter: int = 200, seed: int = 42, excl
                            elasticNetParam=0.0, standardization=False, maxIter=500)]).fit(train)
     gbt = GBTClassifier(featuresCol="raw", labelCol="label", maxIter=max_iter, stepSize=0.05, maxDepth=4,
                         seed=seed).fit(train)
-    ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="probability", metricName="areaUnderROC", numBins=0)
-    lr_auc = ev.evaluate(lr.transform(test))
+    chance = vector_to_array("probability")[1].alias("p")
     gbt_pred = gbt.transform(test)
-    gbt_auc = ev.evaluate(gbt_pred)
+    lr_auc, gbt_auc = (area_under_roc(p.select(chance, "label"), "p", "label").first()[0] for p in (lr.transform(test), gbt_pred))
     spark = feat.sparkSession
-    aucs = spark.createDataFrame([("logistic", float(lr_auc)), ("gbt", float(gbt_auc))], "model string, auc double")
+    aucs = spark.createDataFrame([("logistic", lr_auc), ("gbt", gbt_auc)], "model string, auc double")
     imp = spark.createDataFrame([(c, float(v)) for c, v in zip(cols, gbt.featureImportances.toArray())],
                                 "feature string, importance double").orderBy(F.desc("importance"))
     scores = gbt.transform(d).select(key, vector_to_array("probability")[1].alias("churn_probability"))
     scores = scores.join(feat.select(key, label, *[c for c in ("gap_trend", "engagement_trend", "days_since_last")
                                                    if c in feat.columns]), key)
-    return {"auc": aucs, "best_model": "gbt" if gbt_auc > lr_auc else "logistic",
+    return {"auc": aucs, "best_model": "gbt" if (gbt_auc or 0) > (lr_auc or 0) else "logistic",
             "importance": imp, "report": classification_report(gbt_pred, "label", "prediction"),
             "scores": scores, "gbt": gbt, "logistic": lr}
 
 
 def classification_report(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Precision, recall, F1 and support per class from one confusion
-    aggregate (M19)."""
+    """Precision, recall, F1 and support per class, with rows for accuracy, macro and weighted
+    averages, from one confusion aggregate (M19)."""
     conf = pred.groupBy(F.col(label).cast("int").alias("y"), F.col(prediction).cast("int").alias("p")).count()
     per = conf.groupBy().agg(*[
         F.sum(F.when((F.col("y") == c) & (F.col("p") == c), F.col("count")).otherwise(0)).alias(f"tp{c}")
@@ -296,11 +320,20 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
     for c in (0, 1):
         prec = F.try_divide(F.col(f"tp{c}").cast("double"), F.col(f"pp{c}"))
         rec = F.try_divide(F.col(f"tp{c}").cast("double"), F.col(f"sup{c}"))
-        rows.append(F.struct(F.lit(c).alias("class"), prec.alias("precision"), rec.alias("recall"),
-                             F.col(f"sup{c}").alias("support")))
-    out = per.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    f1 = F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
-    return out.withColumn("f1", F.coalesce(f1, F.lit(0.0)))
+        f1 = F.coalesce(F.try_divide(2 * prec, 1 + F.try_divide(prec, rec)), F.lit(0.0))
+        rows.append(F.struct(F.lit(str(c)).alias("class"), prec.alias("precision"), rec.alias("recall"), f1.alias("f1"), F.col(f"sup{c}").alias("support")))
+    n = F.col("sup0") + F.col("sup1")
+    share = F.try_divide((F.col("tp0") + F.col("tp1")).cast("double"), n)
+    rows.append(F.struct(F.lit("accuracy").alias("class"), share.alias("precision"), share.alias("recall"), share.alias("f1"), n.alias("support")))
+
+    def mean(name: str, weighted: bool):
+        # a class without predictions or rows counts with 0
+        zero, one = (F.coalesce(rows[c][name], F.lit(0.0)) for c in (0, 1))
+        return F.try_divide(zero * F.col("sup0") + one * F.col("sup1"), n) if weighted else (zero + one) / 2
+
+    for label, weighted in (("macro avg", False), ("weighted avg", True)):
+        rows.append(F.struct(F.lit(label).alias("class"), *[mean(x, weighted).alias(x) for x in ("precision", "recall", "f1")], n.alias("support")))
+    return per.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def at_risk_creators(scores: DataFrame, channels: DataFrame, top: int = 20, key: str = "channel_id") -> DataFrame:

@@ -55,10 +55,10 @@ def _held(wanted: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def order_statistics(df: DataFrame, group: Sequence[str], value: str, ranks: Column) -> DataFrame:
-    """The values at given ranks of every group: columns ``group``, ``i``, ``n``, ``v``.
+    """The values at given ranks of every group: columns ``group``, ``i``, ``n``, ``v``, ``tie``.
 
     ``ranks`` is an array of 0-based ranks, an expression over the group's row
-    count ``n``; ``i`` is a rank's index in it. Ranks outside the group and
+    count ``n``; ``i`` is a rank's index in it, ``tie`` its place (from 0) among equal values. Ranks outside the group and
     NULL values are ignored; a NULL group key forms a group. Column names that
     start with ``_`` are taken for helpers. ``df`` is read once: values and images are stored.
     """
@@ -96,7 +96,7 @@ def order_statistics(df: DataFrame, group: Sequence[str], value: str, ranks: Col
                                           "i", "n", (F.col("_rank") - before).alias("_rank"), "v"))
         if level < 2:
             wanted = wanted.drop("v")
-    return wanted.select(*[F.col(f"`{g}`.key").alias(g) for g in group], "i", "n", "v")
+    return wanted.select(*[F.col(f"`{g}`.key").alias(g) for g in group], "i", "n", "v", F.col("_rank").alias("tie"))
 
 
 def exact_percentiles(df: DataFrame, group, value: str, qs: Sequence[float],

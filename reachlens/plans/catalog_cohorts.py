@@ -106,7 +106,7 @@ def a26(spark, sf_dir):
     return CH.creator_retention_view(A.videos(spark, sf_dir))
 
 
-@register("m1_regression_features", with_adapter(f"""
+REGRESSION_SQL = with_adapter(f"""
 SELECT c.channel_id, c.channel_name, c.country, c.subscribers, c.total_views,
        c.total_videos AS total_videos_declared, c.avg_weekly_uploads, c.created_year, c.created_month,
        vs.avg_engagement, vs.avg_views, vs.total_videos_observed, vs.avg_duration, gp.avg_gap, gp.consistency_score,
@@ -119,12 +119,15 @@ vs AS (SELECT channel_id, AVG({ENG0}) AS avg_engagement, AVG(views) AS avg_views
        FROM videos GROUP BY 1),
 gp AS (SELECT channel_id, AVG(gap_days) AS avg_gap,
               1.0 / COALESCE(NULLIF(STDDEV_SAMP(gap_days), 0), 0.01) AS consistency_score
-       FROM gaps GROUP BY 1)"""),
+       FROM gaps GROUP BY 1)""")
+
+
+@register("m1_regression_features", REGRESSION_SQL,
           round_cols=["avg_weekly_uploads", "avg_engagement", "avg_views", "avg_duration", "avg_gap",
                       "consistency_score", "growth_rate"])
 def m1(spark, sf_dir):
     v, c = _vc(spark, sf_dir)
-    return FE.regression_features(c, v, levels=SEGMENTS)
+    return FE.regression_features(c, v)
 
 
 @register("m6_cluster_features", with_adapter("""
@@ -221,7 +224,7 @@ per AS (SELECT channel_id, COUNT(*) AS total_videos, AVG(gap_whole_days) AS avg_
           round_cols=["avg_gap", "gap_trend", "engagement_trend", "view_trend", "avg_weekly_uploads"])
 def m17(spark, sf_dir):
     v, c = _vc(spark, sf_dir)
-    return FE.churn_features(c, v, CHURN_INACTIVITY_DAYS, levels=SEGMENTS)
+    return FE.churn_features(c, v, CHURN_INACTIVITY_DAYS)
 
 
 @register("a31_churn_rate", with_adapter(

@@ -3,14 +3,17 @@ the segment-labelling rule and profiles are also checked with SQL)."""
 
 from __future__ import annotations
 
+from itertools import combinations_with_replacement as pairs
+
 from pyspark.sql import functions as F
 
 from reachlens.functions import columns as C
 from reachlens.operators import causal as CA
 from reachlens.operators import features as FE
+from reachlens.operators import gram
 from reachlens.operators import matching as MA
 from reachlens.operators import models as MO
-from reachlens.plans.catalog_cohorts import CHURN_INACTIVITY_DAYS, SEGMENTS
+from reachlens.plans.catalog_cohorts import CHURN_INACTIVITY_DAYS, REGRESSION_SQL
 from reachlens.plans.catalog_kpi import ENG0, TIER_SQL
 from reachlens.plans.oracle import with_adapter
 from reachlens.plans.registry import register
@@ -36,14 +39,14 @@ def _vc(spark, sf_dir):
 def _growth(spark, sf_dir):
     def build():
         v, c = _vc(spark, sf_dir)
-        return MO.growth_regression(FE.regression_features(c, v, levels=SEGMENTS))
+        return MO.growth_regression(FE.regression_features(c, v))
     return _memo(("growth", spark.sparkContext.applicationId, sf_dir), build)
 
 
 def _churn(spark, sf_dir):
     def build():
         v, c = _vc(spark, sf_dir)
-        feat = FE.churn_features(c, v, CHURN_INACTIVITY_DAYS, levels=SEGMENTS)
+        feat = FE.churn_features(c, v, CHURN_INACTIVITY_DAYS)
         return MO.train_churn_model(feat, max_iter=GBT_ROUNDS)
     return _memo(("churn", spark.sparkContext.applicationId, sf_dir), build)
 
@@ -53,6 +56,11 @@ def m2(spark, sf_dir):
     return _growth(spark, sf_dir)["ols"]
 
 
+@register("m2_ols_fit")
+def m2_fit(spark, sf_dir):
+    return _growth(spark, sf_dir)["fit"]
+
+
 @register("m2_vif")
 def m2_vif(spark, sf_dir):
     return _growth(spark, sf_dir)["vif"]
@@ -165,6 +173,45 @@ def m12_perm(spark, sf_dir):
     return MO.permutation_importance(vm["model"], vm["test"], MO.VIDEO_FEATURES, "log_views", "video_id")
 
 
+@register("m13_stratified_split", with_adapter("""
+SELECT title, k = 0 AS is_train, CASE WHEN k = 0 THEN FLOOR(0.8 * n) ELSE n - FLOOR(0.8 * n) END::BIGINT AS n
+FROM (SELECT title, COUNT(*)::DOUBLE AS n FROM videos GROUP BY title), (VALUES (0), (1)) AS v(k)
+WHERE CASE WHEN k = 0 THEN FLOOR(0.8 * n) ELSE n - FLOOR(0.8 * n) END > 0"""))
+def m13_stratified(spark, sf_dir):
+    v = MO.stratified_split(A.videos(spark, sf_dir).select("video_id", "title"), "video_id", "title")
+    return v.groupBy("title", "is_train").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("m18_auc_of_scores", with_adapter("""
+SELECT SUM(rk) FILTER (y = 1) / (SUM(y) * SUM(1 - y))::DOUBLE - (SUM(y) + 1) / (2 * SUM(1 - y))::DOUBLE AS auc
+FROM (SELECT y, RANK() OVER (ORDER BY s) + (COUNT(*) OVER (PARTITION BY s) - 1) / 2.0::DOUBLE AS rk
+      FROM (SELECT c.subscribers % 1000 AS s, (c.channel_id IN (SELECT channel_id FROM trending))::INT AS y FROM channels c))"""),
+          round_cols=["auc"])
+def m18_scores(spark, sf_dir):
+    c = A.channels(spark, sf_dir).select("channel_id", (F.col("subscribers") % 1000).alias("s"))
+    return MO.area_under_roc(CA.flag_members(c, "channel_id", A.trending(spark, sf_dir), "y"), "s", "y")
+
+
+_FOLD_FEATURES = ["subscribers", "total_videos_declared", "avg_weekly_uploads", "created_year", "created_month", "avg_engagement", "avg_views",
+                  "total_videos_observed", "avg_duration", "avg_gap", "consistency_score"]
+
+
+@register("m5_fold_moments", f"""
+WITH feat AS ({REGRESSION_SQL}),
+d AS (SELECT (ROW_NUMBER() OVER (ORDER BY channel_id) - 1) * 5 // COUNT(*) OVER () AS fold, growth_rate - AVG(growth_rate) OVER () AS y,
+      {", ".join(f"(COALESCE({c}, 0) - AVG(COALESCE({c}, 0)) OVER ()) / STDDEV_POP(COALESCE({c}, 0)) OVER () AS {c}" for c in _FOLD_FEATURES)} FROM feat),
+u AS (UNPIVOT d ON {", ".join(_FOLD_FEATURES)} INTO NAME feature VALUE x)
+SELECT fold::INT AS fold, feature, COUNT(*) AS n, ROUND(SUM(x), 6) + 0.0 AS s, ROUND(SUM(x * y), 6) + 0.0 AS sxy, ROUND(SUM(x * x), 6) AS sxx FROM u GROUP BY fold, feature""")
+def m5_moments(spark, sf_dir):
+    v, c = _vc(spark, sf_dir)
+    z, cols, _ = MO.growth_moments(FE.regression_features(c, v))
+    m = z.groupBy("fold").agg(*gram.moment_columns([*cols, "_y"]))
+    at = {pair: k for k, pair in enumerate(pairs(range(len(cols) + 1), 2))}
+    rows = [F.struct(F.lit(f).alias("feature"), F.col("s")[i].alias("s"), F.col("p")[at[i, len(cols)]].alias("sxy"), F.col("p")[at[i, i]].alias("sxx"))
+            for f in _FOLD_FEATURES for i in [cols.index(f)]]
+    return m.select("fold", "n", F.inline(F.array(*rows)))
+
+
 @register("m13_hash_split")
 def m13(spark, sf_dir):
     v = MO.hash_split(A.videos(spark, sf_dir), "video_id")

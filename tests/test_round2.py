@@ -51,10 +51,11 @@ def test_unknown_factor_level_is_an_error(spark):
         experiments._cells(df, "a", "b", "y").collect()
 
 
-def test_band_of_a_negative_forecast():
+def test_band_of_a_negative_forecast(spark):
     y = np.concatenate([np.full(60, 10.0), np.linspace(10, -80, 60)])
-    f, low, high = forecast.fit_holt_winters_block([y], 12)[0]
-    assert (f < 0).any() and (low <= high).all()
+    rows = spark.createDataFrame([(1, i, float(v)) for i, v in enumerate(y)], "channel_id int, week_idx int, views double")
+    f = forecast.holt_winters(rows.selectExpr("*", "date_add(date'2020-01-05', 7 * week_idx) AS week_end"), 12).first()
+    assert min(f.f) < 0 and all(a <= b for a, b in zip(f.lo, f.hi))
 
 
 def test_ridge_matches_closed_form(spark):
