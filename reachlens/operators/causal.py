@@ -30,7 +30,8 @@ def pre_post_means(videos: DataFrame, entity: str = "channel_id", ts: str = "pub
     j = t.crossJoin(F.broadcast(mid))
     g = j.groupBy(entity).agg(F.avg(F.when(F.col("_t") < F.col("_mid"), F.col(measure))).alias("pre_views"),
                               F.avg(F.when(F.col("_t") >= F.col("_mid"), F.col(measure))).alias("post_views"))
-    return g.dropna(subset=["pre_views", "post_views"])
+    # one row per entity, read by the quantile and every estimator above: stored once
+    return g.dropna(subset=["pre_views", "post_views"]).checkpoint()
 
 
 def flag_top_quantile(df: DataFrame, value: str, q: float, flag: str = "treated") -> DataFrame:

@@ -25,7 +25,7 @@ from reachlens.functions.numerics import f_sf, t_sf_two_sided
 from reachlens.operators import gram
 from reachlens.operators.clustering import k_means
 from reachlens.operators.quantiles import order_statistics
-from reachlens.operators.sequence import global_rank, with_group_count
+from reachlens.operators.sequence import global_rank, sequence, with_group_count
 
 NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 # Segment names produced by the centroid labelling rule.
@@ -242,32 +242,28 @@ def train_video_predictor(feat: DataFrame, max_iter: int = 200, seed: int = 42,
     return {"metrics": metrics, "importance": imp, "model": m, "test": test}
 
 
-def _rmse(model, df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    pred = model.transform(_assemble(df, features))
-    return pred.agg(F.sqrt(F.avg(F.pow(F.col(label) - F.col("prediction"), 2))).alias("rmse"))
-
-
 def permutation_importance(model, test: DataFrame, features: Sequence[str], label: str, key: str,
                            seed: int = 42) -> DataFrame:
     """Increase of hold-out RMSE when one feature's values are shuffled across
     the rows (M12). The shuffle gives row i (in key order) the value of row i
-    in a hash order: two global ranks and an equi-join on the rank, so nothing
-    is collected and no pairs are formed."""
+    in the feature's hash order: one rank of the rows, one of all (feature,
+    hash) pairs, and an equi-join on the rank; all features are scored in one
+    pass, and no pairs are formed."""
     features = list(features)
-    base = test.select(key, label, *features)
+    base = test.select(key, label, *[F.col(c).cast("double").alias(c) for c in features]).checkpoint()
     by_key = global_rank(base, [key], rank_col="_rk")
-    ref = _rmse(model, base, features, label).select(F.col("rmse").alias("_base"))
-    parts = []
-    for f in features:
-        donor = base.select(key, f).withColumn("_h", F.xxhash64(F.col(key), F.lit(seed), F.lit(f)))
-        donor = global_rank(donor, ["_h", key], rank_col="_rk").select("_rk", F.col(f).alias("_perm"))
-        shuffled = by_key.join(donor, "_rk").withColumn(f, F.col("_perm")).drop("_perm", "_rk")
-        parts.append(_rmse(model, shuffled, features, label).select(F.lit(f).alias("feature"), "rmse"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.crossJoin(F.broadcast(ref)).select(
-        "feature", (F.col("rmse") - F.col("_base")).alias("rmse_increase"), F.col("rmse").alias("permuted_rmse"),
+    donors = base.select(key, F.explode(F.array(*[F.struct(F.lit(i).alias("_f"), F.col(c).alias("_perm")) for i, c in enumerate(features)])).alias("_d")) \
+        .select(key, "_d._f", "_d._perm").withColumn("_h", F.xxhash64(F.col(key), F.lit(seed), F.col("_f")))
+    donors = sequence(donors, ["_f"], ["_h", key], seq_col="_rk").select("_rk", "_f", "_perm")
+    rows = by_key.join(donors, "_rk").select(label, "_f", *[F.when(F.col("_f") == i, F.col("_perm")).otherwise(F.col(c)).alias(c) for i, c in enumerate(features)])
+    # the rows as they are, as feature -1
+    rows = rows.unionByName(base.select(label, F.lit(-1).alias("_f"), *features))
+    pred = model.transform(_assemble(rows, features))
+    rmse = pred.groupBy("_f").agg(F.sqrt(F.avg(F.pow(F.col(label) - F.col("prediction"), 2))).alias("rmse")).checkpoint()
+    ref = rmse.where("_f = -1").select(F.col("rmse").alias("_base"))
+    names = F.array(*map(F.lit, features))
+    return rmse.where("_f >= 0").crossJoin(F.broadcast(ref)).select(
+        F.get(names, F.col("_f")).alias("feature"), (F.col("rmse") - F.col("_base")).alias("rmse_increase"), F.col("rmse").alias("permuted_rmse"),
         F.col("_base").alias("baseline_rmse")).orderBy(F.desc("rmse_increase"))
 
 

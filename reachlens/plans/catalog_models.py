@@ -3,8 +3,10 @@ the segment-labelling rule and profiles are also checked with SQL)."""
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations_with_replacement as pairs
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachlens.functions import columns as C
@@ -25,10 +27,22 @@ GBT_ROUNDS = 200
 _FITS: dict = {}
 
 
-def _memo(key, build):
-    if key not in _FITS:
-        _FITS[key] = build()
-    return _FITS[key]
+def _state(spark, sf_dir) -> tuple:
+    """What the files of the tables that models read are like now: paths, sizes and times of change."""
+    files = [A.table(spark, sf_dir, t).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+             for t in ("orders", "lineitem", "customer", "nation")]
+    every = reduce(DataFrame.unionByName, files).distinct()
+    row = every.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*every.columns).cast("decimal(38,0)"))).first()
+    return tuple(row)
+
+
+def _memo(spark, sf_dir, name, build):
+    """A fit that several queries read, kept as long as the session and the tables' files are the same."""
+    key = (name, spark.sparkContext.applicationId, sf_dir)
+    state = _state(spark, sf_dir)
+    if _FITS.get(key, (None,))[0] != state:
+        _FITS[key] = (state, build())
+    return _FITS[key][1]
 
 
 def _vc(spark, sf_dir):
@@ -40,7 +54,7 @@ def _growth(spark, sf_dir):
     def build():
         v, c = _vc(spark, sf_dir)
         return MO.growth_regression(FE.regression_features(c, v))
-    return _memo(("growth", spark.sparkContext.applicationId, sf_dir), build)
+    return _memo(spark, sf_dir, "growth", build)
 
 
 def _churn(spark, sf_dir):
@@ -48,7 +62,7 @@ def _churn(spark, sf_dir):
         v, c = _vc(spark, sf_dir)
         feat = FE.churn_features(c, v, CHURN_INACTIVITY_DAYS)
         return MO.train_churn_model(feat, max_iter=GBT_ROUNDS)
-    return _memo(("churn", spark.sparkContext.applicationId, sf_dir), build)
+    return _memo(spark, sf_dir, "churn", build)
 
 
 @register("m2_ols_table")
@@ -154,7 +168,7 @@ def _video_model(spark, sf_dir):
     def build():
         v, c = _vc(spark, sf_dir)
         return MO.train_video_predictor(FE.video_features(c, v), max_iter=GBT_ROUNDS)
-    return _memo(("video", spark.sparkContext.applicationId, sf_dir), build)
+    return _memo(spark, sf_dir, "video", build)
 
 
 @register("m11_video_predictor")
@@ -247,7 +261,7 @@ def _propensity(spark, sf_dir):
     def build():
         v, c = _vc(spark, sf_dir)
         return MO.propensity_scores(c, v).checkpoint()
-    return _memo(("prop", spark.sparkContext.applicationId, sf_dir), build)
+    return _memo(spark, sf_dir, "prop", build)
 
 
 def _pairs(spark, sf_dir):
@@ -255,7 +269,7 @@ def _pairs(spark, sf_dir):
         p = _propensity(spark, sf_dir)
         pairs = MA.match_nearest(p.where("treated = 1"), p.where("treated = 0"))
         return MA.matched_outcomes(pairs, p).checkpoint()
-    return _memo(("pairs", spark.sparkContext.applicationId, sf_dir), build)
+    return _memo(spark, sf_dir, "pairs", build)
 
 
 @register("x3_propensity")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
 
-from reachlens.operators import anomaly, causal, experiments, forecast, kpi, matching, models
+from reachlens.operators import anomaly, causal, experiments, features, forecast, kpi, matching, models
 from reachlens.sources import files
 
 
@@ -58,23 +58,6 @@ def test_band_of_a_negative_forecast(spark):
     assert min(f.f) < 0 and all(a <= b for a, b in zip(f.lo, f.hi))
 
 
-def test_ridge_matches_closed_form(spark):
-    rng = np.random.default_rng(3)
-    x = rng.normal(size=(60, 2)) * [2.0, 5.0] + 1
-    y = np.abs(x @ [0.7, -0.2] + rng.normal(size=60))
-    alpha, z = 1.0, (x - x.mean(0)) / x.std(0)
-    want = np.linalg.solve(z.T @ z + alpha * np.eye(2), z.T @ (y - y.mean()))
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    from pyspark.sql import functions as F
-
-    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
-        spark.createDataFrame([(float(u), float(v), float(w)) for (u, v), w in zip(z, y)], "a double, b double, _y double"))
-    sd = df.agg(F.stddev_pop("_y")).first()[0]
-    got = LinearRegression(labelCol="_y", regParam=alpha * sd / 60, standardization=False, solver="normal").fit(df).coefficients
-    assert np.allclose(got, want, atol=1e-9)
-
-
 def test_cross_validation_scales_within_folds(spark):
     """Ridge R2 by fold, against the closed form fitted on the other folds alone."""
     rng = np.random.default_rng(5)
@@ -102,7 +85,7 @@ def test_rows_of_a_run_are_matched_by_distance(spark):
     assert {r[0]: r[1] for r in matching.match_nearest(t, c).collect()} == {1: 12, 2: 11}
 
 
-@pytest.mark.parametrize("name", ["breakout", "first_days", "early", "retention", "anomalies"])
+@pytest.mark.parametrize("name", ["breakout", "first_days", "early", "retention", "anomalies", "video_features"])
 def test_hot_entity_is_split(spark, name):
     """Two thirds of the rows belong to one entity; its join partition is split."""
     from pyspark.sql import functions as F
@@ -120,7 +103,9 @@ def test_hot_entity_is_split(spark, name):
             F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id")).alias("channel_id"), F.col("id").alias("video_id"), F.hash("id").cast("long").alias("views"),
             F.lit(1).cast("long").alias("likes"), F.lit(1).cast("long").alias("comment_count"),
             F.timestamp_seconds(F.col("id") * 977).alias("publish_time"))
-        out = {"breakout": kpi.breakout_ratio, "first_days": kpi.uploads_in_first_days, "early": cohorts.early_volume,
+        v = v.withColumn("title", F.lit("t")).withColumn("duration_seconds", F.lit(1))
+        c = v.select("channel_id").distinct().select("channel_id", F.lit(1).alias("subscribers"), F.lit(1.0).alias("avg_weekly_uploads")).checkpoint()
+        out = {"video_features": lambda x: features.video_features(c, x), "breakout": kpi.breakout_ratio, "first_days": kpi.uploads_in_first_days, "early": cohorts.early_volume,
                "retention": cohorts.creator_retention_view, "anomalies": anomaly.z_anomalies}[name](v)
         out.collect()
         assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()

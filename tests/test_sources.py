@@ -63,6 +63,26 @@ def test_analytics_loader_row_ids(spark, tmp_dir):
     assert {x["channel_id"] for x in df} == {"creator_1"}
 
 
+def test_large_files_are_split_and_read_once(spark, tmp_dir):
+    path = _write(tmp_dir, "big.csv", CHANNEL_CSV + "".join(f"Name {i},{i},{i}.0,1E3,France,Music,2019,nan,bad,2.5\n" for i in range(20_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        df = S.load_channel_stats(spark, path, multi_line=False)
+        assert df.rdd.getNumPartitions() > 1
+        assert S.load_channel_stats(spark, path).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    r = df.where("channel_name = 'Name 7'").first()
+    assert (r.subscribers, r.total_views, r.total_videos, r.created_month, r.earnings_min, r.earnings_max) == (7, 7, 1000, None, None, 2.5)
+    assert dict(df.dtypes)["subscribers"] == "bigint" and df.count() == 20_003
+
+
+def test_quoted_line_ends_need_multi_line(spark, tmp_dir):
+    path = _write(tmp_dir, "tr.csv", TRENDING_CSV + 'v3,"two\nlines",X,1,2023-01-02,2023-01-05,1,1,1,1,,\n')
+    assert {r.video_id: r.title for r in S.load_trending(spark, path).collect()}["v3"] == "two\nlines"
+
+
 def test_ingest_is_idempotent(spark, tmp_dir):
     v = A.videos(spark, SF_SMALL).withColumn("video_id", F.col("video_id").cast("string")) \
         .withColumn("channel_id", F.col("channel_id").cast("string"))
