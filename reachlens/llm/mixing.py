@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.sequence import global_rank
 from .common import packed, prepare, stored, unpacked, words
 
 WEIGHTS = (5, 2, 1)
@@ -87,19 +88,10 @@ def fair_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: i
         F.sequence(F.lit(0), F.lit(max_epochs - 1)), lambda e: F.struct(finish(e).alias("finish"), e.alias("epoch")))).alias("x"))
     queue = queue.select(F.col("x.finish").alias("finish"), "idx", F.col("x.epoch").alias("epoch"), "done", "size")
     order = ["finish", "idx", "epoch", "done"]
-    parts = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    queue = stored(queue.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "mix-queue")
     limit = budget if budget is not None else (targets.agg(F.sum("source_size")).first()[0] or 0)
-    sums = queue.groupBy("part").agg(F.sum("size").alias("words")).select(
-        "part", (F.sum("words").over(Window.orderBy("part")) - F.col("words")).alias("before"), "words")
-    last = sums.filter(F.col("before") < limit).orderBy(F.col("part").desc()).first()
-    end = None
-    if last is not None:
-        run = queue.filter(F.col("part") == last["part"]).withColumn(
-            "run", last["before"] + F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
-        end = run.filter(F.col("run") <= limit).orderBy(*[F.col(c).desc() for c in order]).select(*order).first()
-        if end is None:  # the part's first row does not fit: the part before ends the mix
-            end = queue.filter(F.col("part") < last["part"]).agg(F.max(F.struct(*order)).alias("e")).select("e.*").first()
+    # one ordered scan over balanced ranges, which gives every copy its running total: no part is summed in one place
+    run = global_rank(queue, order, cums=["size"])
+    end = run.filter(F.col("cum_size") <= limit).agg(F.max(F.struct(*order)).alias("e")).select("e.*").first()
     if end is None or end["finish"] is None:
         copies = F.lit(0)
     else:
