@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import prepare, stored
+from .common import packed, prepare, stored
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -49,7 +49,7 @@ def record_types(pages: DataFrame, id_col: str, payload_col: str, min_bytes: int
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     copies = pages.filter(F.octet_length(payload) >= min_bytes).groupBy(F.sha2(payload, 256).alias("same")).agg(F.max(id_col).alias("last"), F.count("*").alias("n"))
     copies = stored(copies.filter("n > 1").select("same", "last"), "payload-copies")
-    rows = pages.select(F.col(id_col).alias("id"), payload.alias("payload"), F.struct(*pages.columns).alias("row")).withColumn("same", F.sha2("payload", 256))
+    rows = pages.select(F.col(id_col).alias("id"), payload.alias("payload"), packed(pages)).withColumn("same", F.sha2("payload", 256))
     rows = rows.join(copies, "same", "left")
     return rows.select("row", "id", "payload", F.when(F.col("last").isNotNull() & ~F.col("id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
 

@@ -222,6 +222,11 @@ def test_warc(spark, tmp_path):
     assert warc.round_trip(pages(spark, []), str(tmp_path / "e")).count() == 0
 
 
+def test_warc_of_dotted_columns(spark):
+    rows = spark.createDataFrame([(1, "http://a.example/", "x", 3), (2, None, None, 4)], "page_id long, url string, html string, `a.b` int")
+    assert sorted((r.page_id, r.payload_bytes) for r in warc.round_trip(rows).collect()) == [(1, 1), (2, 0)]
+
+
 def test_warc_long_url(spark, tmp_path):
     """A response whose url is longer than any header bound keeps its row and those of its revisits."""
     rows = [(9, "data:" + "u" * 200_000, "same")] + [(i, "u", "same") for i in range(5)]
