@@ -99,38 +99,40 @@ def _neighbours(members: DataFrame, probes: DataFrame, crowded: DataFrame) -> Da
     return probes.join(crowded, ["seg", "key"], "left_semi").select(F.col("a").alias("fp"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
-    """doc_id, fingerprint, component_id of every row.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bucket: int = BUCKET, keep: tuple = ()) -> DataFrame:
+    """doc_id, fingerprint, component_id of every row, and the columns ``keep``.
 
     Documents are linked if their fingerprints differ in at most two bits;
     component_id is the smallest doc_id reachable (nulls never count, unless
     there is nothing else). Null and wordless texts have fingerprint zero.
-    Copies share a fingerprint and meet as one row from the start.
+    Copies share a fingerprint and meet as one row from the start. Texts of any
+    length are read whole; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
-    own = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    own = stored(fingerprints(docs, id_col, text_col, shingle, keep), "fingerprints")
     distinct = stored(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = stored(connected_components(links(distinct.select("fp"), bucket), "simhash"), "simhash-roots")
     linked = distinct.join(roots, distinct["fp"] == roots["v"]).select("fp", "first", "root")
     low = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = distinct.join(stored(linked.join(stored(low, "lows"), "root").select("fp", "component_id"), "classes"), "fp", "left")
     classes = stored(classes.select("fp", F.coalesce("component_id", "first").alias("component_id")), "fingerprint-classes")
-    return own.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return own.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *keep)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, that with the smallest doc_id.
 
-    Rows that repeat both that id and the text collapse. Rows without an id go
-    if an id is reachable; else one row of each of their fingerprints stays.
+    A row is told by its id and its text's MD5, as ids may repeat: rows that
+    repeat both collapse, and of rows that share that id and a fingerprint one
+    stays. Rows without an id go if an id is reachable; else one row of each of
+    their fingerprints stays. Columns of any name stay as they are; an empty
+    table gives no rows.
     """
-    found = near_duplicates(docs, id_col, text_col, **options)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("fp"), F.col("fingerprint")))
-    heads = stored(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("kid")).distinct(), "heads")
-    one, text = F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`")
-    rows = docs.select(packed(docs))
-    rows = fingerprints(rows.withColumn("lone", F.when(one.isNull(), text)), f"row.`{id_col}`", "lone", options.get("shingle", SHINGLE), ("row",))
-    rows = rows.withColumn("kid", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("fp"), F.lower(F.lpad(F.hex("fp"), 16, "0")))))
-    rows = rows.withColumn("ktext", F.when(one.isNull(), "").otherwise(F.md5(F.coalesce(text, F.lit("")))))
-    rows = rows.join(heads, "kid", "left_semi").withColumn("copy", F.row_number().over(Window.partitionBy("kid", "ktext").orderBy(text))).filter("copy = 1")
+    text = F.md5(F.coalesce(F.col(f"row.`{text_col}`"), F.lit("")))
+    kid = F.coalesce(F.col(f"row.`{id_col}`").cast("string"), F.lit(""))
+    rows = docs.select(packed(docs)).withColumn("kid", kid).withColumn("ktext", text)
+    found = near_duplicates(rows, f"row.`{id_col}`", f"row.`{text_col}`", keep=("kid", "ktext"), **options)
+    heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("kid", "fingerprint").agg(F.min("ktext").alias("ktext"))
+    heads = stored(heads.select("kid", "ktext").distinct(), "heads")
+    rows = rows.join(heads, ["kid", "ktext"], "left_semi").withColumn("copy", F.row_number().over(Window.partitionBy("kid", "ktext").orderBy(F.lit(0)))).filter("copy = 1")
     return unpacked(rows, docs.columns)

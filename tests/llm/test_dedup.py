@@ -138,6 +138,15 @@ def test_simhash_stage(spark):
     assert {(r.doc_id, r.component_id) for r in nulls} == {(None, 5), (5, 5), (None, None)}
 
 
+def test_keep_one_of_repeated_ids(spark):
+    a, b = "one text of some words", "another one that is quite different from it"
+    rows = spark.createDataFrame([(1, a, 7), (5, a, 7), (5, b, 7), (5, b, 8), (None, b, 1), (None, "quite alone here", 1), (None, "quite alone here", 2)], "doc_id long, text string, `a.b` int")
+    kept = simhash.keep_one(rows)
+    assert kept.columns == rows.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "quite alone here"), (1, a), (5, b)]
+    assert simhash.keep_one(rows.limit(0)).collect() == []
+
+
 def plain_removed(rows):
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
     seen, out, k = set(), {}, 0
