@@ -26,6 +26,8 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reachlens.session import shuffle_partitions
+
 SEASON = 4
 YEAR_WEEKS = 52.1775
 Z80, Z95 = 1.2815515655446004, 1.959963984540054
@@ -148,27 +150,29 @@ def holt_winters(series: DataFrame, steps: int, entity: str = "channel_id") -> D
     """Additive trend and seasonality of SEASON weeks: a fold over the sorted weekly values whose state is an array with
     one entry for each grid point (level, trend, the next seasonal terms in order, squared error). The grid point with
     the least one-step error forecasts; band +-20 %. Under two seasons of data the last value goes on."""
-    y = series.groupBy(entity).agg(F.max("week_end").alias("last_week"), F.sort_array(F.collect_list(F.struct(
+    # the work is CPU by series, not bytes: a given number of partitions, which adaptive execution leaves as it is
+    spread = series.repartition(shuffle_partitions(series.sparkSession), entity)
+    y = spread.groupBy(entity).agg(F.max("week_end").alias("last_week"), F.sort_array(F.collect_list(F.struct(
         "week_idx", F.col("views").cast("double").alias("v")))).alias("_w")).select(entity, "last_week", F.col("_w.v").alias("_y"))
 
     def mean(values: Column, first: int) -> Column:
         return sum((F.get(values, F.lit(first + k)) for k in range(1, SEASON)), F.get(values, F.lit(first))) / SEASON
 
     seasons = [f"s{k}" for k in range(SEASON)]
-    grid = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(g).alias("g")) for a, b, g in HW_GRID])
     y = y.withColumn("_m", mean(F.col("_y"), 0)).withColumn("_d", (mean(F.col("_y"), SEASON) - F.col("_m")) / SEASON)
-    start = F.transform(grid, lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), x["g"].alias("g"), F.col("_m").alias("level"), F.col("_d").alias("trend"),
-                                                 *[(F.get("_y", F.lit(k)) - F.col("_m")).alias(s) for k, s in enumerate(seasons)], F.lit(0.0).alias("sse")))
+    start = F.array_repeat(F.struct(F.col("_m").alias("level"), F.col("_d").alias("trend"),
+                                    *[(F.get("_y", F.lit(k)) - F.col("_m")).alias(s) for k, s in enumerate(seasons)], F.lit(0.0).alias("sse")), len(HW_GRID))
+    # error correction form: level, trend and season move by these shares of the one-step error
+    shares = [F.array(*[F.lit(v) for v in values]) for values in zip(*((a, a * b, g * (1 - a)) for a, b, g in HW_GRID))]
 
     def step(state: Column, v: Column) -> Column:
-        def one(x: Column) -> Column:
-            level = x["a"] * (v - x["s0"]) + (1 - x["a"]) * (x["level"] + x["trend"])
+        def one(x: Column, i: Column) -> Column:
             err = v - (x["level"] + x["trend"] + x["s0"])
+            to_level, to_trend, to_season = (F.get(c, i) * err for c in shares)
             # the oldest seasonal term is renewed and goes to the end
-            return F.struct(x["a"].alias("a"), x["b"].alias("b"), x["g"].alias("g"), level.alias("level"),
-                            (x["b"] * (level - x["level"]) + (1 - x["b"]) * x["trend"]).alias("trend"),
+            return F.struct((x["level"] + x["trend"] + to_level).alias("level"), (x["trend"] + to_trend).alias("trend"),
                             *[x[seasons[k + 1]].alias(seasons[k]) for k in range(SEASON - 1)],
-                            (x["g"] * (v - level) + (1 - x["g"]) * x["s0"]).alias(seasons[-1]), (x["sse"] + err * err).alias("sse"))
+                            (x["s0"] + to_season).alias(seasons[-1]), (x["sse"] + err * err).alias("sse"))
 
         return F.transform(state, one)
 
