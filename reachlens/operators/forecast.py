@@ -56,6 +56,8 @@ def _solved(moments: DataFrame, entity: str, solve, steps: int) -> DataFrame:
                 yield pd.DataFrame({entity: pdf[entity], "last_week": pdf["last_week"], **dict(zip(("f", "lo", "hi", "tr", "se"), parts))})
 
     kind = moments.schema[entity].dataType.simpleString()
+    # few bytes but much CPU a series: not left to coalescing by size
+    moments = moments.repartition(shuffle_partitions(moments.sparkSession), entity)
     return moments.mapInPandas(run, f"`{entity}` {kind}, {_FITTED}")
 
 
@@ -85,10 +87,7 @@ def ar_moments(series: DataFrame, entity: str = "channel_id") -> DataFrame:
 def _centred(pdf: pd.DataFrame, m: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Means and centred cross products of the value and its lags up to m."""
     def stack(column: str, width: int) -> np.ndarray:
-        rows = np.zeros((len(pdf), width), np.longdouble)
-        for i, x in enumerate(pdf[column]):
-            rows[i] = [0 if v is None else v for v in x]
-        return np.nan_to_num(rows)
+        return np.nan_to_num(np.array(pdf[column].tolist(), float).reshape(len(pdf), width)).astype(np.longdouble)
 
     s = stack(f"s_{m}", m + 1)
     p = stack(f"p_{m}", (m + 1) * (m + 2) // 2)
