@@ -8,7 +8,7 @@ creators are processed in one job.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SEASON = 4
@@ -23,11 +23,17 @@ def weekly_series(videos: DataFrame, entity: str = "channel_id", ts: str = "publ
                   measure: str = "views") -> DataFrame:
     """(entity, week_end, views, week_idx): weekly sums with empty weeks
     between an entity's first and last week filled with 0."""
-    w = videos.groupBy(entity, week_end(ts).alias("week_end")).agg(F.sum(measure).alias(measure))
-    span = w.groupBy(entity).agg(F.min("week_end").alias("_a"), F.max("week_end").alias("_b"))
-    spine = span.select(entity, "_a", F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 7 DAYS"))).alias("week_end"))
-    s = spine.join(w, [entity, "week_end"], "left")
-    return s.select(entity, "week_end", F.coalesce(F.col(measure), F.lit(0).cast("long")).alias(measure),
+    w = videos.groupBy(entity, week_end(ts).alias("week_end")).agg(F.sum(measure).alias(measure)).where(F.col("week_end").isNotNull())
+    # one row a week: bounded by the time span. A week is followed by the empty ones up to the next, so that the filled
+    # series is never shuffled or joined
+    own = Window.partitionBy(entity).orderBy("week_end")
+    w = w.withColumns({"_a": F.min("week_end").over(Window.partitionBy(entity)), "_own": F.col("week_end"),
+                       "_next": F.lead("week_end").over(own)})
+    last = F.coalesce(F.date_sub("_next", 7), F.col("_own"))
+    s = w.withColumn("week_end", F.explode(F.sequence("_own", last, F.expr("INTERVAL 7 DAYS"))))
+    # rows without an entity have weeks but no values, as NULL equals no key
+    seen = (F.col("week_end") == F.col("_own")) & F.col(entity).isNotNull()
+    return s.select(entity, "week_end", F.coalesce(F.when(seen, F.col(measure)), F.lit(0).cast("long")).alias(measure),
                     (F.datediff("week_end", "_a") / 7).cast("int").alias("week_idx"))
 
 
