@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reachlens.session import stored_for_fit
+
 
 def _uniform(h: np.ndarray, salt: int) -> np.ndarray:
     """Numbers in (0, 1) from row hashes and a salt: a 64-bit mix of both."""
@@ -29,7 +31,11 @@ def _uniform(h: np.ndarray, salt: int) -> np.ndarray:
 
 def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances: rows x centres."""
-    return np.square(x[:, None, :] - centres[None, :, :]).sum(axis=2)
+    # a dimension at a time: no rows x centres x dims block and no sums along its short axis
+    out = np.zeros((len(x), len(centres)))
+    for j in range(x.shape[1]):
+        out += np.square(x[:, j, None] - centres[None, :, j])
+    return out
 
 
 def _seeds(rows: DataFrame, k: int, starts: int) -> np.ndarray:
@@ -67,7 +73,8 @@ def k_means(df: DataFrame, cols: list[str], key: str, k: int, starts: int = 10,
     distances), and the number of rounds. A start is done when its cost falls
     by less than ``tol`` of itself; an empty cluster keeps its centre; equal
     distances go to the smaller cluster number. An empty frame is an error."""
-    rows = df.select(F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("x"), F.xxhash64(F.col(key), F.lit(seed)).alias("h")).checkpoint()
+    rows = df.select(F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("x"), F.xxhash64(F.col(key), F.lit(seed)).alias("h"))
+    rows = stored_for_fit(rows)
     if rows.isEmpty():
         raise ValueError("k-means needs at least one row")
     centres = _seeds(rows, k, starts)
