@@ -26,7 +26,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reachlens.session import shuffle_partitions
+from reachlens.session import ensure_checkpoint_dir, shuffle_partitions, stored_for_fit
 
 SEASON = 4
 YEAR_WEEKS = 52.1775
@@ -61,6 +61,27 @@ def _solved(moments: DataFrame, entity: str, solve, steps: int) -> DataFrame:
     return moments.mapInPandas(run, f"`{entity}` {kind}, {_FITTED}")
 
 
+def packed(series: DataFrame, entity: str = "channel_id") -> DataFrame:
+    """One row per series: ``n``, ``last_week`` and ``w``, its weeks with another value than 0 in order (``i``, ``v``).
+
+    Weeks of 0 are counted where they are and neither shuffled nor sorted. NULL is an entity."""
+    v = F.col("views").cast("double")
+    seen = series.where(v != 0).select(entity, F.struct(F.col("week_idx").alias("i"), v.alias("v")).alias("_x"),
+                                       F.lit(None).cast("long").alias("n"), F.lit(None).cast("date").alias("last_week"))
+    ends = series.groupBy(entity).agg(F.count(F.lit(1)).alias("n"), F.max("week_end").alias("last_week"))
+    every = seen.unionByName(ends.withColumn("_x", F.lit(None).cast(seen.schema["_x"].dataType)))
+    return every.groupBy(entity).agg(F.max("n").alias("n"), F.max("last_week").alias("last_week"), F.sort_array(F.collect_list("_x")).alias("w"))
+
+
+def weekly_values(w: Column, n: Column) -> Column:
+    """The array of all ``n`` weekly values from those that ``packed`` keeps."""
+    def zeros(k: Column) -> Column:
+        return F.array_repeat(F.lit(0.0), k.cast("int"))
+
+    own = F.transform(w, lambda x, p: F.concat(F.array(x["v"]), zeros(F.coalesce(F.get(w, p + 1)["i"], n) - x["i"] - 1)))
+    return F.concat(zeros(F.coalesce(F.get(w, F.lit(0))["i"], n)), F.flatten(own))
+
+
 # Autoregression -----------------------------------------------------------
 #: Orders tried: lags 1..p, with or without the seasonal lag.
 AR_ORDERS = [(*range(1, p + 1), *((SEASON,) if s and SEASON > p else ())) for p in range(4) for s in (0, 1)]
@@ -70,18 +91,29 @@ def ar_moments(series: DataFrame, entity: str = "channel_id") -> DataFrame:
     """One row per series: ``n``, ``last_week``, ``tail`` (its last SEASON values, latest first, NULL before its start) and
     for every m in 0..SEASON, over the weeks from the m-th on, ``s_m`` (sums of the value and its lags up to m) and
     ``p_m`` (sums of their products, pairs in order). Every order's normal equations are parts of these."""
-    w = Window.partitionBy(entity).orderBy("week_idx")  # one row a week: bounded by the time span
-    y = F.col("views").cast("double")
-    rows = series.select(entity, "week_end", "week_idx", y.alias("l0"), *[F.lag(y, k).over(w).alias(f"l{k}") for k in range(1, SEASON + 1)],
-                         (F.row_number().over(w) - 1).alias("_r"))
+    def near(k: int) -> Column:
+        """The value ``k`` weeks before, which is one of the ``k`` kept before, or 0."""
+        found = F.lit(0.0)
+        for j in range(1, k + 1):
+            before = F.get("w", F.col("_p") - j)
+            found = F.when(before["i"] == F.col("i") - k, before["v"]).otherwise(found)
+        return found
+
+    rows = packed(series, entity).select(entity, "n", "last_week", "w", F.posexplode_outer("w").alias("_p", "_x")) \
+        .select("*", F.col("_x.i").alias("i"), F.col("_x.v").alias("v")) \
+        .select(entity, "n", "last_week", "i", "v", (F.col("v") * F.col("v")).alias("q0"), *[(F.col("v") * near(k)).alias(f"q{k}") for k in range(1, SEASON + 1)])
+    n, i = F.col("n"), F.col("i")
+
+    def total(x: Column, m: int, a: int) -> Column:
+        """Over the weeks from the m-th on, of ``x`` taken a weeks before; NULL without such weeks."""
+        return F.when(F.first(n) > m, F.coalesce(F.sum(F.when((i >= m - a) & (i < n - a), x)), F.lit(0.0)))
+
     out = []
     for m in range(SEASON + 1):
-        own = [f"l{k}" for k in range(m + 1)]
-        out += [F.array(*[F.sum(F.when(F.col("_r") >= m, F.col(a))) for a in own]).alias(f"s_{m}"),
-                F.array(*[F.sum(F.when(F.col("_r") >= m, F.col(a) * F.col(b))) for a, b in pairs(own, 2)]).alias(f"p_{m}")]
-    last = F.max_by(F.struct(*[f"l{k}" for k in range(SEASON)]), "week_idx")
-    return rows.groupBy(entity).agg(F.count(F.lit(1)).alias("n"), F.max("week_end").alias("last_week"), last.alias("_t"), *out) \
-        .withColumn("tail", F.array(*[F.col(f"_t.l{k}") for k in range(SEASON)])).drop("_t")
+        out += [F.array(*[total(F.col("v"), m, a) for a in range(m + 1)]).alias(f"s_{m}"),
+                F.array(*[total(F.col(f"q{b - a}"), m, a) for a, b in pairs(range(m + 1), 2)]).alias(f"p_{m}")]
+    tail = [F.when(F.first(n) > k, F.coalesce(F.sum(F.when(i == n - 1 - k, F.col("v"))), F.lit(0.0))) for k in range(SEASON)]
+    return rows.groupBy(entity).agg(F.first("n").alias("n"), F.first("last_week").alias("last_week"), *out, F.array(*tail).alias("tail"))
 
 
 def _centred(pdf: pd.DataFrame, m: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,48 +175,52 @@ def _solve_ar(pdf: pd.DataFrame, steps: int):
 # Holt-Winters -------------------------------------------------------------
 #: Smoothing constants (level, trend, season) tried.
 HW_GRID = [(a, b, g) for a in (0.1, 0.3, 0.5, 0.7, 0.9) for b in (0.05, 0.2, 0.5) for g in (0.05, 0.3, 0.6)]
+#: Weeks in one compiled method; long methods are not compiled to machine code.
+_WEEKS_AT_ONCE = 10
 
 
 def holt_winters(series: DataFrame, steps: int, entity: str = "channel_id") -> DataFrame:
-    """Additive trend and seasonality of SEASON weeks: a fold over the sorted weekly values whose state is an array with
-    one entry for each grid point (level, trend, the next seasonal terms in order, squared error). The grid point with
-    the least one-step error forecasts; band +-20 %. Under two seasons of data the last value goes on."""
+    """Additive trend and seasonality of SEASON weeks; the grid point with the least one-step error forecasts; band +-20 %.
+    Under two seasons of data the last value goes on.
+
+    A row for each series and grid point holds level, trend, seasonal terms and squared error; a week is one projection
+    over it, so that the recurrence is compiled. There are as many projections as the longest series has weeks."""
+    ensure_checkpoint_dir(series.sparkSession)
     # the work is CPU by series, not bytes: a given number of partitions, which adaptive execution leaves as it is
-    spread = series.repartition(shuffle_partitions(series.sparkSession), entity)
-    y = spread.groupBy(entity).agg(F.max("week_end").alias("last_week"), F.sort_array(F.collect_list(F.struct(
-        "week_idx", F.col("views").cast("double").alias("v")))).alias("_w")).select(entity, "last_week", F.col("_w.v").alias("_y"))
+    spread = packed(series, entity).repartition(shuffle_partitions(series.sparkSession), entity)
+    y = spread.select(entity, "last_week", F.col("n").cast("int").alias("n"), weekly_values(F.col("w"), F.col("n")).alias("_y")).checkpoint()
+    longest = y.agg(F.max("n")).first()[0] or 0
 
-    def mean(values: Column, first: int) -> Column:
-        return sum((F.get(values, F.lit(first + k)) for k in range(1, SEASON)), F.get(values, F.lit(first))) / SEASON
+    def mean(first: int) -> Column:
+        return sum((F.get("_y", F.lit(first + k)) for k in range(1, SEASON)), F.get("_y", F.lit(first))) / SEASON
 
     seasons = [f"s{k}" for k in range(SEASON)]
-    y = y.withColumn("_m", mean(F.col("_y"), 0)).withColumn("_d", (mean(F.col("_y"), SEASON) - F.col("_m")) / SEASON)
-    start = F.array_repeat(F.struct(F.col("_m").alias("level"), F.col("_d").alias("trend"),
-                                    *[(F.get("_y", F.lit(k)) - F.col("_m")).alias(s) for k, s in enumerate(seasons)], F.lit(0.0).alias("sse")), len(HW_GRID))
-    # error correction form: level, trend and season move by these shares of the one-step error
-    shares = [F.array(*[F.lit(v) for v in values]) for values in zip(*((a, a * b, g * (1 - a)) for a, b, g in HW_GRID))]
-
-    def step(state: Column, v: Column) -> Column:
-        def one(x: Column, i: Column) -> Column:
-            err = v - (x["level"] + x["trend"] + x["s0"])
-            to_level, to_trend, to_season = (F.get(c, i) * err for c in shares)
-            # the oldest seasonal term is renewed and goes to the end
-            return F.struct((x["level"] + x["trend"] + to_level).alias("level"), (x["trend"] + to_trend).alias("trend"),
-                            *[x[seasons[k + 1]].alias(seasons[k]) for k in range(SEASON - 1)],
-                            (x["s0"] + to_season).alias(seasons[-1]), (x["sse"] + err * err).alias("sse"))
-
-        return F.transform(state, one)
-
-    enough = F.size("_y") >= 2 * SEASON
-    ends = F.aggregate(F.slice("_y", SEASON + 1, F.greatest(F.size("_y") - SEASON, F.lit(0))), start, step)
-    best = F.array_min(F.transform(ends, lambda x, i: F.struct(x["sse"].alias("sse"), i.alias("i"), x.alias("x"))))["x"]
-    y = y.withColumn("_b", F.when(enough, best))
-    ahead = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda h: F.col("_b.level") + h * F.col("_b.trend") + F.get(
-        F.array(*[F.col(f"_b.{s}") for s in seasons]), (h - 1) % SEASON))
-    f = F.when(enough, ahead).otherwise(F.array_repeat(F.element_at("_y", -1), steps))
-    y = y.withColumn("f", f)
-    return y.select(entity, "last_week", "f", F.transform("f", lambda v: v - 0.2 * F.abs(v)).alias("lo"), F.transform("f", lambda v: v + 0.2 * F.abs(v)).alias("hi"),
-                    F.expr(_NONE).alias("tr"), F.expr(_NONE).alias("se"))
+    # error correction form: the next level, trend and season move by these shares of the one-step error
+    grid = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a + a * b).alias("ga"), F.lit(a * b).alias("gb"), F.lit(g * (1 - a)).alias("gs"))
+                     for i, (a, b, g) in enumerate(HW_GRID)])
+    x = y.where(F.col("n") >= 2 * SEASON).withColumn("_m", mean(0)).withColumn("trend", (mean(SEASON) - F.col("_m")) / SEASON) \
+        .select(entity, "last_week", "n", "_y", (F.col("_m") + F.col("trend")).alias("next"), "trend",
+                *[(F.get("_y", F.lit(k)) - F.col("_m")).alias(s) for k, s in enumerate(seasons)], F.lit(0.0).alias("sse"), F.inline(grid))
+    state = ["next", "trend", "sse", *seasons]
+    kept = [f"`{c}`" for c in x.columns if c not in state]
+    for t in range(SEASON, longest):
+        own = seasons[t % SEASON]
+        # weeks after a series' last only carry its trend on
+        err = f"if({t} < n, get(_y, {t}) - (next + {own}), 0D)"
+        moved = {"next": f"next + trend + ga * {err}", "trend": f"trend + gb * {err}", "sse": f"sse + {err} * {err}", own: f"{own} + gs * {err}"}
+        x = x.selectExpr(*kept, *[f"{moved.get(c, c)} AS {c}" for c in state])
+        if (t - SEASON) % _WEEKS_AT_ONCE == _WEEKS_AT_ONCE - 1:
+            x = x.coalesce(1 << 30)  # no fewer partitions, but an end to the compiled method
+    ends = F.struct("sse", "i", "next", "trend", *seasons)
+    best = x.groupBy(entity, "n", "last_week").agg(F.min(ends).alias("_b"))
+    steps_ahead = F.sequence(F.lit(1), F.lit(steps))
+    behind = F.greatest(F.lit(longest), F.col("n")) - F.col("n")
+    ahead = best.select(entity, "last_week", F.transform(steps_ahead, lambda h: F.col("_b.next") + (h - 1 - behind) * F.col("_b.trend") + F.get(
+        F.array(*[F.col(f"_b.{s}") for s in seasons]), (F.col("n") + h - 1) % SEASON)).alias("f"))
+    short = y.where(F.col("n") < 2 * SEASON).select(entity, "last_week", F.array_repeat(F.element_at("_y", -1), steps).alias("f"))
+    return ahead.unionByName(short).select(
+        entity, "last_week", "f", F.transform("f", lambda v: v - 0.2 * F.abs(v)).alias("lo"), F.transform("f", lambda v: v + 0.2 * F.abs(v)).alias("hi"),
+        F.expr(_NONE).alias("tr"), F.expr(_NONE).alias("se"))
 
 
 # T4: trend and seasonality ----------------------------------------------------
@@ -205,11 +241,14 @@ def trend_basis(t: Column, n: Column) -> list[Column]:
 def trend_moments(series: DataFrame, entity: str = "channel_id") -> DataFrame:
     """One row per series: ``n``, ``last_week``, ``yy`` (sum of squares), ``xy`` (products with the basis) and ``xx``
     (products of the basis, pairs in order), which all series of one length share."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(entity))  # one row a week: bounded by the time span
-    y = F.col("views").cast("double")
-    rows = series.select(entity, "week_end", y.alias("_y"), n.alias("n"), "week_idx")
-    own = rows.groupBy(entity, "n").agg(F.max("week_end").alias("last_week"), F.sum(F.col("_y") * F.col("_y")).alias("yy"),
-                                        F.array(*[F.sum(F.col("_y") * x) for x in trend_basis(F.col("week_idx"), F.col("n"))]).alias("xy"))
+    rows = packed(series, entity).select(entity, "n", "last_week", F.explode_outer("w").alias("_x"))
+    i, y = F.col("_x.i"), F.col("_x.v")
+
+    def total(x: Column) -> Column:
+        return F.coalesce(F.sum(x), F.lit(0.0))
+
+    own = rows.groupBy(entity).agg(F.first("n").alias("n"), F.first("last_week").alias("last_week"), total(y * y).alias("yy"),
+                                   F.array(*[total(y * x) for x in trend_basis(i, F.col("n"))]).alias("xy"))
     weeks = own.select("n").distinct().select("n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("_t"))
     weeks = weeks.select("n", *[x.alias(f"x{i}") for i, x in enumerate(trend_basis(F.col("_t"), F.col("n")))])
     shared = weeks.groupBy("n").agg(F.array(*[F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in pairs(range(_BASIS), 2)]).alias("xx"))
@@ -258,26 +297,18 @@ def forecast_pooled_gbt(series: DataFrame, steps: int = 12, lookback: int = 8, e
     """One boosted-tree model on standardised lag windows of all series;
     forecasts roll forward one step per DataFrame pass. Series with fewer
     than ``min_windows`` windows get no forecast."""
-    stats = series.groupBy(entity).agg(F.avg("views").alias("_mu"),
-                                       (F.stddev_pop("views") + F.lit(1e-8)).alias("_sd"),
-                                       F.max("week_idx").alias("_last_idx"), F.max("week_end").alias("_last_week"))
-    s = series.join(stats, entity).withColumn("_z", (F.col("views") - F.col("_mu")) / F.col("_sd"))
-    # a series has one row per week, so this window is bounded by the time span
-    w = Window.partitionBy(entity).orderBy("week_idx")
+    stats = series.groupBy(entity).agg(F.avg("views").alias("_mu"), (F.stddev_pop("views") + F.lit(1e-8)).alias("_sd"))
+    # one row a series: its weeks are an array, bounded by the time span, which windows are cut from
+    own = packed(series, entity).where(F.col("n") >= lookback + min_windows).join(stats, entity)
+    own = own.select(entity, "_mu", "_sd", F.col("last_week").alias("_last_week"), F.transform(
+        weekly_values(F.col("w"), F.col("n")), lambda v: (v - F.col("_mu")) / F.col("_sd")).alias("_z")).checkpoint()
     lag_cols = [f"lag{k}" for k in range(lookback, 0, -1)]
-    for k in range(1, lookback + 1):
-        s = s.withColumn(f"lag{k}", F.lag("_z", k).over(w))
-    win = s.where(F.col(f"lag{lookback}").isNotNull())
-    counts = win.groupBy(entity).agg(F.count(F.lit(1)).alias("_nw")).where(F.col("_nw") >= min_windows)
-    win = win.join(counts.select(entity), entity)
+    win = own.select(entity, "_z", F.explode(F.sequence(F.lit(0), F.size("_z") - lookback - 1)).alias("_i")) \
+        .select(*[F.get("_z", F.col("_i") + k).alias(c) for k, c in enumerate(lag_cols)], F.get("_z", F.col("_i") + lookback).alias("_z"))
     asm = VectorAssembler(inputCols=lag_cols, outputCol="features")
     model = GBTRegressor(featuresCol="features", labelCol="_z", maxIter=max_iter, maxDepth=4, stepSize=0.1,
-                         seed=seed).fit(asm.transform(win))
-    tail = s.join(counts.select(entity), entity).where(F.col("week_idx") > F.col("_last_idx") - lookback) \
-        .groupBy(entity, "_mu", "_sd", "_last_week") \
-        .agg(F.sort_array(F.collect_list(F.struct("week_idx", "_z"))).alias("_w"))
-    # the collected list holds exactly ``lookback`` values per series
-    state = tail.select(entity, "_mu", "_sd", "_last_week", F.col("_w._z").alias("_win"))
+                         seed=seed).fit(stored_for_fit(asm.transform(win).select("features", "_z")))
+    state = own.select(entity, "_mu", "_sd", "_last_week", F.slice("_z", -lookback, lookback).alias("_win"))
     preds = None
     for h in range(1, steps + 1):
         feats = state.select("*", *[F.col("_win")[i].alias(c) for i, c in enumerate(lag_cols)])
