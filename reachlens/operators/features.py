@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from reachlens.functions import columns as C
 from reachlens.operators.gaps import with_gaps, with_group_mean
 from reachlens.operators.sequence import sequence, with_group_count
+from reachlens.session import materialize
 
 
 def creator_features(channels: DataFrame, videos: DataFrame, entity: str = "channel_id",
@@ -51,9 +52,11 @@ def one_hot_drop_first(df: DataFrame, col: str, prefix: str | None = None,
     any other level is an error.
 
     The level list is the only thing brought to the driver (one value per
-    distinct level, a small dimension)."""
+    distinct level, a small dimension). Rows whose levels are looked up are
+    stored first, so that they are computed once."""
     prefix = prefix or col
     if levels is None:
+        df = materialize(df, "levels")
         levels = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
     else:
         unknown = F.raise_error(F.concat(F.lit(f"unknown level of {col}: "), F.col(col).cast("string"))).cast(df.schema[col].dataType)

@@ -54,14 +54,25 @@ def moment_columns(cols: Sequence[str]) -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), F.array(*map(F.sum, x)).alias("s"), F.array(*[F.sum(a * b) for a, b in pairs(x, 2)]).alias("p")]
 
 
+#: Sums taken in one aggregate. The code of all at once is too long for the JVM to compile, and is interpreted row by row.
+AT_ONCE = 16
+
+
 def moments(df: DataFrame, cols: Sequence[str], fold: str) -> dict:
-    """fold: Moments of its rows; one aggregate with partial sums, one row a fold on the driver."""
+    """fold: Moments of its rows; aggregates with partial sums, one row a fold on the driver. ``df`` is read once for
+    every ``AT_ONCE`` sums, so its rows should be stored."""
+    x = [F.col(f"`{c}`") for c in cols]
+    wanted = [F.count(F.lit(1)), *map(F.sum, x), *[F.sum(a * b) for a, b in pairs(x, 2)]]
+    found: dict = {}
+    for low in range(0, len(wanted), AT_ONCE):
+        for r in df.groupBy(fold).agg(*[c.alias(f"_{i}") for i, c in enumerate(wanted[low:low + AT_ONCE])]).collect():
+            found.setdefault(r[fold], []).extend(r[1:])
     out = {}
-    for r in df.groupBy(fold).agg(*moment_columns(cols)).collect():
+    for key, (n, *sums) in found.items():
         p = np.zeros((len(cols), len(cols)))
-        for v, (i, j) in zip(r["p"], pairs(range(len(cols)), 2)):
+        for v, (i, j) in zip(sums[len(cols):], pairs(range(len(cols)), 2)):
             p[i, j] = p[j, i] = v
-        out[r[fold]] = Moments(r["n"], np.array(r["s"], float), p)
+        out[key] = Moments(n, np.array(sums[:len(cols)], float), p)
     return out
 
 

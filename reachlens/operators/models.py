@@ -26,7 +26,7 @@ from reachlens.operators import gram
 from reachlens.operators.clustering import k_means
 from reachlens.operators.quantiles import order_statistics
 from reachlens.operators.sequence import global_rank, sequence, with_group_count
-from reachlens.session import stored_for_fit
+from reachlens.session import materialize, stored_for_fit
 
 NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 # Segment names produced by the centroid labelling rule.
@@ -110,6 +110,8 @@ def growth_moments(feat: DataFrame, target: str = "growth_rate", exclude: Sequen
     # the rank stores the rows, so that the features are computed once
     r = with_group_count(global_rank(d, [order_key], rank_col="_r"), [], "_n")
     r = r.withColumn("fold", F.floor((F.col("_r") - 1) * folds / F.col("_n")).cast("int"))
+    # stored: means and moments read plain columns, the rank is not put together anew for each
+    r = materialize(r.select(order_key, "fold", *cols, "_y"), "growth")
     z, means, devs = gram.scaled(r, [*cols, "_y"])
     return z.withColumn("_y", F.col("_y") * F.lit(float(devs[-1]))).select(order_key, "fold", *cols, "_y"), cols, float(means[-1])
 
