@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachlens.functions import columns as C
+from reachlens.session import materialize
 
 
 def z_anomalies(videos: DataFrame, entity: str = "channel_id", measure: str = "views",
@@ -92,6 +93,39 @@ def _build_tree(features: list[str], psi: int, seed: int):
     return run
 
 
+def _flat_tree(t) -> tuple:
+    """(feature, threshold, children, path length, levels) of a tree's nodes, for ``path_lengths``.
+
+    A leaf is its own child on both sides; a node's children stand at 2 * node (not below the threshold) and
+    2 * node + 1 (below). A leaf's path length counts what its unsplit rows would still take."""
+    import numpy as np
+
+    inner = np.array(t["feature"]) >= 0
+    own = np.arange(len(inner))
+    left, right = np.where(inner, t["left"], own), np.where(inner, t["right"], own)
+    level = np.zeros(len(inner))
+    for i in np.flatnonzero(inner):  # parents stand before their children
+        level[left[i]] = level[right[i]] = level[i] + 1
+    children = np.column_stack([right, left]).ravel().astype(np.int32)
+    return (np.where(inner, t["feature"], 0).astype(np.int32), np.array(t["threshold"], float), children,
+            level + np.array([_c_factor(s) for s in t["size"]]), int(level.max()))
+
+
+def path_lengths(X, forest: list[tuple]):
+    """Sum over the trees of every row's path length: all rows go down a tree together, those at a leaf stay there."""
+    import numpy as np
+
+    rows, width = X.shape
+    values, base = X.ravel(), np.arange(rows) * width
+    total = np.zeros(rows)
+    for feature, threshold, children, length, levels in forest:
+        node = np.zeros(rows, np.int32)
+        for _ in range(levels):
+            node = children[2 * node + (values[base + feature[node]] < threshold[node])]
+        total += length[node]
+    return total
+
+
 def sample_limit(n: int, wanted: int) -> int:
     """Limit on a 63-bit hash that about ``wanted`` of ``n`` rows stay below;
     integer arithmetic, so it is exact for any table size."""
@@ -111,7 +145,8 @@ def isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int
     from pyspark.sql import types as T
     from reachlens.operators.quantiles import exact_percentiles
 
-    d = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
+    # stored: the rows are counted, sampled and scored, and computed once
+    d = materialize(df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]), "forest-rows")
     n = d.count()
     # one hash a row: rows below the joint limit, about 2 * psi for every tree, are all that trees choose from
     joint = d.withColumn("_u", F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 1)) \
@@ -127,7 +162,7 @@ def isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int
                            T.StructField("size", T.ArrayType(T.IntegerType())),
                            T.StructField("psi", T.IntegerType())])
     trees = samples.groupBy("tree_id").applyInPandas(_build_tree(features, psi, seed), schema).collect()
-    forest = [(t["feature"], t["threshold"], t["left"], t["right"], [_c_factor(s) for s in t["size"]]) for t in trees]
+    forest = [_flat_tree(t) for t in trees]
     psi_eff = max((t["psi"] for t in trees), default=1)
     c_psi = _c_factor(psi_eff)
     bc = df.sparkSession.sparkContext.broadcast(forest)
@@ -137,31 +172,11 @@ def isolation_forest(df: DataFrame, features: list[str], key: str, n_trees: int
         import numpy as np
         import pandas as pd
         X = np.column_stack([c.to_numpy(dtype=float) for c in cols])
-        total = np.zeros(len(X))
-        for feat, thr, left, right, rest in bc.value:
-            node = np.zeros(len(X), dtype=int)
-            depth = np.zeros(len(X))
-            active = np.ones(len(X), dtype=bool)
-            feat_a, thr_a = np.asarray(feat), np.asarray(thr)
-            left_a, right_a, rest_a = np.asarray(left), np.asarray(right), np.asarray(rest, dtype=float)
-            while active.any():
-                f = feat_a[node]
-                leaf = f < 0
-                done = active & leaf
-                if done.any():
-                    depth[done] += rest_a[node[done]]
-                active &= ~leaf
-                if not active.any():
-                    break
-                idx = np.flatnonzero(active)
-                go_left = X[idx, f[idx]] < thr_a[node[idx]]
-                node[idx] = np.where(go_left, left_a[node[idx]], right_a[node[idx]])
-                depth[idx] += 1
-            total += depth
-        mean_depth = total / max(len(bc.value), 1)
+        mean_depth = path_lengths(X, bc.value) / max(len(bc.value), 1)
         return pd.Series(-np.power(2.0, -mean_depth / c_psi if c_psi > 0 else 0.0))
 
-    scored = d.withColumn("anomaly_score", path_score(*[F.col(c) for c in features]))
+    # stored: the cut and the flags read the scores, which are taken once
+    scored = materialize(d.withColumn("anomaly_score", path_score(*[F.col(c) for c in features])), "forest-scores")
     cut = exact_percentiles(scored, [], "anomaly_score", [contamination], ["_cut"])
     return scored.crossJoin(F.broadcast(cut)) \
         .withColumn("if_anomaly", F.col("anomaly_score") < F.col("_cut")).drop("_cut")
@@ -171,8 +186,11 @@ def detect_anomalies(videos: DataFrame, entity: str = "channel_id", key: str = "
                      contamination: float = 0.05, n_trees: int = 100, seed: int = 42) -> DataFrame:
     """z-score flags (M14) + isolation forest on (views, engagement) (M15),
     combined flag and type label (M16)."""
-    z = z_anomalies(videos, entity)
-    forest = isolation_forest(z.select(key, "views", "engagement_rate"), ["views", "engagement_rate"], key,
+    # stored: the creators' means, the z-scores and the forest read the uploads, which are put together once
+    v = materialize(videos, "uploads")
+    z = z_anomalies(v, entity)
+    rate = v.select(key, "views", C.engagement_rate_or_zero().alias("engagement_rate"))
+    forest = isolation_forest(rate, ["views", "engagement_rate"], key,
                               n_trees=n_trees, contamination=contamination, seed=seed)
     j = z.join(forest.select(key, "anomaly_score", "if_anomaly"), key)
     return j.withColumn("is_anomaly", F.col("z_anomaly") | F.col("if_anomaly"))
