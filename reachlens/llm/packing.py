@@ -24,9 +24,9 @@ from .common import prepare, stored
 
 CAPACITY = 2048
 END_ID = 0
-#: Words, and parts of words, whose ids a task remembers; more are looked up anew.
-#: Words are put together from parts at little cost, parts are encoded.
-WORDS, PARTS = 400_000, 600_000
+#: Words, and parts of words, whose ids a task remembers besides those of the texts at hand; more are looked up anew.
+#: Every Python worker of an executor has such a memory.
+WORDS = 500_000
 #: Texts sent to a Python worker at once; whole partitions of long texts would fill its memory.
 BATCH_ROWS = 512
 #: Signs that stand after words; apostrophes and special tokens' signs are not among them.
@@ -51,50 +51,59 @@ def halves(word: str) -> tuple[str, str]:
     return (low if low != stem and PLAIN(low) else stem), word[len(stem):]
 
 
-class WordIds(dict):
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 for itself, then from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: chr(b) for b in own} | {b: chr(0x100 + k) for k, b in enumerate(sorted({*range(0x100)} - own))}
+
+
+class WordIds:
     """Ids of words as little-endian uint32 bytes.
 
     The tokeniser drops white space and never joins across it, so the ids of a
-    text are those of its parts between spaces, one after the other.
+    text are those of its parts between spaces, one after the other. It leaves
+    PLAIN parts as they are, so these go straight to its model.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.plain = Tokenizer(self.tokenizer.model)
-        self.plain.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.ids: dict[str, bytes] = {}
 
     def learn(self, texts: list[list[str]]) -> None:
         seen = set().union(*texts)
-        new = [w for w in seen if w not in self]
-        if len(self) + len(new) > WORDS:
-            self.clear()
-            new = list(seen)
-        cut = [halves(w) for w in new]
-        parts = {x for pair in cut for x in pair}
-        need = [x for x in parts if x not in self.parts]
-        if len(self.parts) + len(need) > PARTS:
-            self.parts.clear()
-            need = list(parts)
-        self._encode(self.plain, [x for x in need if PLAIN(x)])
-        self._encode(self.tokenizer, [x for x in need if not PLAIN(x)])
-        self.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in zip(new, cut, strict=True))
-
-    def _encode(self, tokenizer, parts: list[str]) -> None:
+        new = seen.difference(self.ids)
+        if len(self.ids) + len(new) > WORDS:
+            self.ids = {w: self.ids[w] for w in seen.intersection(self.ids)}
+        plain = set(filter(PLAIN, new))
+        new -= plain
+        cut = list(map(halves, new))
+        need = plain.union(*cut).difference(self.ids)
+        self._encode_plain(list(filter(PLAIN, need)))
+        self._encode([x for x in need if not PLAIN(x)])
+        known = self.ids
+        known.update([(w, known[a] + known[b]) for w, (a, b) in zip(new, cut, strict=True)])
+
+    def _encode_plain(self, parts: list[str]) -> None:
+        tokenize, letters = self.model.tokenize, self.letters
+        for x in parts:
+            found = tokenize(x if x.isascii() else x.encode().decode("latin-1").translate(letters))
+            self.ids[x] = b"".join([t.id.to_bytes(4, "little") for t in found])
+
+    def _encode(self, parts: list[str]) -> None:
         for i in range(0, len(parts), 4096):
             some = parts[i:i + 4096]
-            found = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
             at = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some) + 1))
             raw = ids.tobytes()
-            self.parts.update((x, raw[4 * a:4 * b]) for x, a, b in zip(some, at[:-1].tolist(), at[1:].tolist(), strict=True))
+            self.ids.update((x, raw[4 * a:4 * b]) for x, a, b in zip(some, at[:-1].tolist(), at[1:].tolist(), strict=True))
 
     def encode(self, parts: list[str]) -> bytes:
-        return b"".join(map(self.__getitem__, parts))
+        return b"".join(map(self.ids.__getitem__, parts))
 
 
 _KNOWN: dict[str, WordIds] = {}

@@ -440,3 +440,18 @@ def test_language_many_labels(spark):
     assert languages == [f"x{k:03}" for k in range(230)] and model.shape[0] == 230
     got = {r.page_id: r for r in language.identify(pages(spark, [(k, f"http://h{k}.example/", f"<p>{sign(k)} {sign(k)} {sign(k)} {sign(k)}</p>") for k in (0, 7, 229)]), languages, model).collect()}
     assert all(got[k].text_lang == f"x{k:03}" for k in (0, 7, 229))
+
+
+def test_word_memory_is_one_and_keeps_what_is_at_hand(monkeypatch):
+    """Words and their parts share one memory; when it is full the words of the texts at hand stay, others are looked up anew."""
+    known = packing.WordIds(queries.tokenizer_path())
+    letters = [c for c in map(chr, range(0x250)) if packing.PLAIN(c)]
+    blocks = [[["same", "Same,", f"word{k}x", letters[k % len(letters)] * 3 + letters[-k % len(letters)], f"Ärger{'abc'[k % 3]}!", ""]] for k in range(120)]
+    monkeypatch.setattr(packing, "WORDS", 40)
+    for block in blocks:
+        known.learn(block)
+        # at most the words at hand and their parts come on top
+        assert len(known.ids) <= 40 + 3 * len(block[0])
+        want = known.tokenizer.encode(" ".join(block[0]), add_special_tokens=False).ids
+        assert known.encode(block[0]) == b"".join(x.to_bytes(4, "little") for x in want), block
+    assert "word0x" not in known.ids and "same" in known.ids
