@@ -2,7 +2,7 @@
 
 All that least squares, ridge, lasso, their cross-validation and the variance
 inflation need of the data are counts, sums and products of pairs of columns.
-One aggregate takes them for every fold at once, of columns centred and scaled
+Aggregates take them for every fold at once, of columns centred and scaled
 beforehand so that nothing cancels; a training part is the total less its fold.
 The systems that remain have one row a column and are solved on the driver.
 """

@@ -121,7 +121,7 @@ def growth_regression(feat: DataFrame, target: str = "growth_rate", exclude: Seq
                       order_key: str = "channel_id") -> dict[str, DataFrame]:
     """OLS (with standard errors and p-values) and VIF on standardised
     features, ridge and lasso coefficients, and contiguous k-fold CV R^2, all
-    from one aggregate of cross products by fold (``gram``). A fold's models are
+    from the cross products by fold (``gram``). A fold's models are
     scaled and fitted by the other folds alone.
 
     Returns frames: ``ols`` (term, coef, std_err, t, p_value), ``fit`` (n, r2,
