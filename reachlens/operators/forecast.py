@@ -26,7 +26,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reachlens.session import ensure_checkpoint_dir, shuffle_partitions, stored_for_fit
+from reachlens.session import ensure_checkpoint_dir, materialize, shuffle_partitions, stored_for_fit
 
 SEASON = 4
 YEAR_WEEKS = 52.1775
@@ -64,7 +64,9 @@ def _solved(moments: DataFrame, entity: str, solve, steps: int) -> DataFrame:
 def packed(series: DataFrame, entity: str = "channel_id") -> DataFrame:
     """One row per series: ``n``, ``last_week`` and ``w``, its weeks with another value than 0 in order (``i``, ``v``).
 
-    Weeks of 0 are counted where they are and neither shuffled nor sorted. NULL is an entity."""
+    Weeks of 0 are counted where they are and neither shuffled nor sorted. NULL is an entity. A packed frame stays as it is."""
+    if {"n", "last_week", "w"} <= set(series.columns):
+        return series
     v = F.col("views").cast("double")
     seen = series.where(v != 0).select(entity, F.struct(F.col("week_idx").alias("i"), v.alias("v")).alias("_x"),
                                        F.lit(None).cast("long").alias("n"), F.lit(None).cast("date").alias("last_week"))
@@ -284,7 +286,7 @@ def forecast_series(series: DataFrame, steps: int = 12, entity: str = "channel_i
     """The per-series models for every entity (T2 ``arima``, T3 ``holt_winters``, T4 ``trend_seasonal``).
 
     ``series`` is as from ``weekly_series``: one row a week without gaps,
-    ``week_idx`` from 0."""
+    ``week_idx`` from 0; or as from ``packed``."""
     fits = {"arima": lambda: _solved(ar_moments(series, entity), entity, _solve_ar, steps),
             "holt_winters": lambda: holt_winters(series, steps, entity),
             "trend_seasonal": lambda: _solved(trend_moments(series, entity), entity, _solve_trend, steps)}
@@ -330,15 +332,21 @@ def compare_forecasts(series: DataFrame, steps: int = 8, train_share: float = 0.
     """Single hold-out comparison: fit on the first floor(n*share) weeks,
     score the next min(steps, n - split) weeks: MAPE on value+1 and RMSE per
     entity and model."""
-    n = series.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
-    s = series.join(n, entity).withColumn("_split", F.floor(F.col("_n") * train_share).cast("int"))
-    train = s.where(F.col("week_idx") < F.col("_split")).select(entity, "week_end", "week_idx", "views")
-    test = s.where((F.col("week_idx") >= F.col("_split")) & (F.col("week_idx") < F.col("_split") + steps)) \
-        .select(entity, (F.col("week_idx") - F.col("_split") + 1).alias("step"), F.col("views").alias("_a"))
-    fc = forecast_series(train, steps, entity)
+    # one row a series, stored: models and scores read its weeks before and after the split
+    own = materialize(packed(series, entity).where(F.col(entity).isNotNull()).withColumn("_split", F.floor(F.col("n") * train_share)), "packed-series")
+    train = own.where("_split > 0").select(
+        entity, F.col("_split").alias("n"), F.expr("date_sub(last_week, cast(7 * (n - _split) AS int))").alias("last_week"),
+        F.filter("w", lambda x: x["i"] < F.col("_split")).alias("w"))
+    ahead = F.slice(weekly_values(F.col("w"), F.col("n")), F.col("_split").cast("int") + 1, F.lit(steps))
+    test = own.select(entity, F.posexplode(ahead).alias("_p", "_a")).select(entity, (F.col("_p") + 1).alias("step"), "_a")
+    # a model's forecasts are stored before the next is planned: one plan of them all does not fit the driver
+    fits = [lambda m=m: forecast_series(train, steps, entity, (m,)) for m in ("arima", "holt_winters", "trend_seasonal")]
     if include_pooled:
-        fc = fc.unionByName(forecast_pooled_gbt(train, steps, entity=entity, max_iter=max_iter))
-    j = fc.join(test, [entity, "step"])
+        n = series.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
+        weeks = series.join(n, entity).where(F.col("week_idx") < F.floor(F.col("_n") * train_share)).select(entity, "week_end", "week_idx", "views")
+        fits.append(lambda: forecast_pooled_gbt(weeks, steps, entity=entity, max_iter=max_iter))
+    fc = [materialize(fit().select(entity, "model", "step", "forecast"), "forecasts") for fit in fits]
+    j = reduce(DataFrame.unionByName, fc).join(test, [entity, "step"])
     err = F.col("_a") - F.col("forecast")
     return j.groupBy(entity, "model").agg(F.avg(F.abs(err) / (F.col("_a") + 1)).alias("mape"),
                                           F.sqrt(F.avg(err * err)).alias("rmse"),
