@@ -21,12 +21,12 @@ from itertools import combinations_with_replacement as pairs
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reachlens.session import ensure_checkpoint_dir, materialize, shuffle_partitions, stored_for_fit
+from reachlens.session import ensure_checkpoint_dir, fit_partitions, materialize, shuffle_partitions, stored_for_fit
 
 SEASON = 4
 YEAR_WEEKS = 52.1775
@@ -294,27 +294,78 @@ def forecast_series(series: DataFrame, steps: int = 12, entity: str = "channel_i
 
 
 # T5: pooled boosted-tree autoregression ---------------------------------------
+#: What Spark's trees take by default: bins of a feature, and rows that the bounds of bins are found from.
+TREE_BINS, SPLIT_ROWS = 32, 10_000
+
+
+def split_points(values: np.ndarray, rows: float, bins: int = TREE_BINS) -> list[float]:
+    """The bounds between a feature's bins, as Spark's trees take them from a sample in which ``rows`` are expected: halfway
+    between distinct values, all of them or those nearest to even shares. Rows that are missing count as 0."""
+    found, counts = np.unique(values[values != 0], return_counts=True)
+    if rows - counts.sum() > np.finfo(float).eps * 100 * max(counts.sum(), 1):
+        at = np.searchsorted(found, 0.0)
+        found, counts = np.insert(found, at, 0.0), np.insert(counts.astype(float), at, rows - counts.sum())
+    middle = (found[:-1] + found[1:]) / 2
+    if len(middle) < bins:
+        return middle.tolist()
+    out, target, upto = [], rows / bins, np.cumsum(counts)
+    for k in range(1, len(found)):
+        if abs(upto[k - 1] - target) < abs(upto[k] - target):
+            out.append(float(middle[k - 1]))
+            target += rows / bins
+    return out
+
+
+def binned_windows(win: DataFrame, rows: int, lag_cols: list[str], label: str, seed: int) -> tuple[DataFrame, Bucketizer]:
+    """One row for each combination of bins that windows have: the bins' numbers from 1 (under the lags' names), how many
+    windows (``_k``) and their mean label. Trees see no more of a window than its bins, so a fit by weight is the same as
+    one of all windows. Also what finds the bins. The bounds are those that a fit of ``win`` itself would take."""
+    spark = win.sparkSession
+    share = min(1.0, SPLIT_ROWS / max(rows, 1))
+    # the sampler that Spark's trees use, with the seed that they draw from theirs, on the partitions of a stored frame
+    draw = spark._jvm.org.apache.spark.util.random.XORShiftRandom(seed).nextInt()
+    lags = win.select(*lag_cols).coalesce(fit_partitions(spark, rows))
+    some = DataFrame(spark._jsparkSession.createDataFrame(lags._jdf.toJavaRDD().sample(False, share, draw), lags._jdf.schema()), spark).toPandas()
+    bounds = [split_points(some[c].to_numpy(float), share * rows) for c in lag_cols]
+    # a value at a bound belongs below it, which Bucketizer has otherwise; without bounds all are in one bin
+    splits = [[-np.inf, *(np.nextafter(x, np.inf).tolist() if x else [np.finfo(float).max]), np.inf] for x in bounds]
+    bins = Bucketizer(splitsArray=splits, inputCols=lag_cols, outputCols=[f"_b{c}" for c in lag_cols])
+    own = in_bins(bins, win, lag_cols, label).groupBy(*lag_cols).agg(F.count(F.lit(1)).cast("double").alias("_k"), F.avg(label).alias(label))
+    return own, bins
+
+
+def in_bins(bins: Bucketizer, win: DataFrame, lag_cols: list[str], *kept: str) -> DataFrame:
+    # numbers from 1: to Spark's trees 0 is what a sample left out
+    return bins.transform(win).select(*kept, *[(F.col(f"_b{c}") + 1).alias(c) for c in lag_cols])
+
+
 def forecast_pooled_gbt(series: DataFrame, steps: int = 12, lookback: int = 8, entity: str = "channel_id",
                         min_windows: int = 10, max_iter: int = 50, seed: int = 42) -> DataFrame:
     """One boosted-tree model on standardised lag windows of all series;
     forecasts roll forward one step per DataFrame pass. Series with fewer
-    than ``min_windows`` windows get no forecast."""
+    than ``min_windows`` windows get no forecast.
+
+    The windows are neither stored nor fitted one by one but counted by their bins (``binned_windows``), of which
+    series with many weeks of 0 have few. Without such weeks there may be as many as windows."""
     stats = series.groupBy(entity).agg(F.avg("views").alias("_mu"), (F.stddev_pop("views") + F.lit(1e-8)).alias("_sd"))
     # one row a series: its weeks are an array, bounded by the time span, which windows are cut from
     own = packed(series, entity).where(F.col("n") >= lookback + min_windows).join(stats, entity)
-    own = own.select(entity, "_mu", "_sd", F.col("last_week").alias("_last_week"), F.transform(
-        weekly_values(F.col("w"), F.col("n")), lambda v: (v - F.col("_mu")) / F.col("_sd")).alias("_z")).checkpoint()
+    own = own.select(entity, "_mu", "_sd", F.col("last_week").alias("_last_week"), "n", "w").checkpoint()
+    rows = own.agg(F.sum(F.col("n") - lookback)).first()[0] or 0
+    own = own.select(entity, "_mu", "_sd", "_last_week", F.transform(weekly_values(F.col("w"), F.col("n")), lambda v: (v - F.col("_mu")) / F.col("_sd")).alias("_z"))
     lag_cols = [f"lag{k}" for k in range(lookback, 0, -1)]
-    win = own.select(entity, "_z", F.explode(F.sequence(F.lit(0), F.size("_z") - lookback - 1)).alias("_i")) \
+    win = own.select("_z", F.explode(F.sequence(F.lit(0), F.size("_z") - lookback - 1)).alias("_i")) \
         .select(*[F.get("_z", F.col("_i") + k).alias(c) for k, c in enumerate(lag_cols)], F.get("_z", F.col("_i") + lookback).alias("_z"))
+    counted, bins = binned_windows(win, rows, lag_cols, "_z", seed)
     asm = VectorAssembler(inputCols=lag_cols, outputCol="features")
-    model = GBTRegressor(featuresCol="features", labelCol="_z", maxIter=max_iter, maxDepth=4, stepSize=0.1,
-                         seed=seed).fit(stored_for_fit(asm.transform(win).select("features", "_z")))
+    # bins enough, and so rows for their bounds, that each number is one
+    model = GBTRegressor(featuresCol="features", labelCol="_z", weightCol="_k", maxIter=max_iter, maxDepth=4, stepSize=0.1, maxBins=1 << 10,
+                         seed=seed).fit(stored_for_fit(asm.transform(counted).select("features", "_z", "_k")))
     state = own.select(entity, "_mu", "_sd", "_last_week", F.slice("_z", -lookback, lookback).alias("_win"))
     preds = None
     for h in range(1, steps + 1):
         feats = state.select("*", *[F.col("_win")[i].alias(c) for i, c in enumerate(lag_cols)])
-        p = model.transform(asm.transform(feats)).select(entity, "_mu", "_sd", "_last_week", "_win", "prediction").checkpoint()
+        p = model.transform(asm.transform(in_bins(bins, feats, lag_cols, entity, "_mu", "_sd", "_last_week", "_win"))).select(entity, "_mu", "_sd", "_last_week", "_win", "prediction").checkpoint()
         step = p.select(entity, F.lit("pooled_gbt").alias("model"), F.lit(h).alias("step"),
                         F.date_add("_last_week", 7 * h).alias("week_end"),
                         (F.col("prediction") * F.col("_sd") + F.col("_mu")).alias("forecast"))
