@@ -46,6 +46,8 @@ OUTSIDE = 0xFF
 FULL = np.uint64(1 << 63)
 NO_ID = np.iinfo(np.int64).max
 _BASE = 0x9E3779B97F4A7C15
+#: Spreads anchors over the buckets: their own hashes are the least of many, so most share their first bits.
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _SQUEEZE, _OPEN = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
@@ -123,8 +125,8 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def _cells(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (bucket, 32-bit rest) of the hashes, sorted, as one number, their first index by bucket, and each hash's index."""
-    distinct, inverse = np.unique(h >> np.uint64(32 - bits), return_inverse=True)
+    """Distinct (bucket, 32-bit rest) of the hashes, spread and sorted, as one number, their first index by bucket, and each hash's index."""
+    distinct, inverse = np.unique(h * _SPREAD >> np.uint64(32 - bits), return_inverse=True)
     return distinct, np.searchsorted(distinct, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32)), inverse
 
 
@@ -155,8 +157,9 @@ def _suffixes(data: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> tuple[np
     ends = np.cumsum(lengths)
     doc = np.searchsorted(ends, at, side="right")
     before, after = np.minimum(at - (ends - lengths)[doc], LEFT), np.minimum(ends[doc] - at, LENGTH)
-    shift = np.concatenate([np.arange(LENGTH), -1 - np.arange(LEFT)])
-    out = data[np.clip(at[:, None] + shift, 0, len(data) - 1)]
+    out = np.empty((len(at), WIDTH), np.uint8)
+    for k, shift in enumerate([*range(LENGTH), *range(-1, -1 - LEFT, -1)]):  # places of all columns at once would take eight times as much
+        out[:, k] = data[np.clip(at + shift, 0, len(data) - 1)]
     out[:, :LENGTH][np.arange(LENGTH) >= after[:, None]] = OUTSIDE
     out[:, LENGTH:][np.arange(LEFT) >= before[:, None]] = OUTSIDE
     return out, before, after, doc
